@@ -8,6 +8,7 @@ and exploded; nothing here shuffles.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -238,47 +239,51 @@ def candidates(
     if unknown:
         raise ValueError(f"Unknown augmentation method: {unknown[0]}")
 
-    sentence, entities, key = F.col("sentence"), F.col("entities"), sample_key(df)
-    tries = F.array(*[
-        F.struct(F.lit(m).alias("method"), known[m](sentence, entities, key, settings).alias("out"))
-        for m in wanted
-    ])
+    key = sample_key(df)
     carried = [c for c in ("sample_id", "seq") if c in df.columns]
-    fanned = df.select(
-        *carried,
+    prepared = df.select(
+        *carried, "sentence", "intent", listed(F.col("entities")).alias("entities"),
+        key.alias("_key"), F.size(words(F.col("sentence"))).alias("_was"))
+    sentence, entities, was = F.col("sentence"), F.col("entities"), F.col("_was")
+
+    def judged(method: str, out: Column) -> Column:
+        size = F.size(words(out["sentence"]))
+        return let(F.struct(out.alias("out"), size.alias("size")), lambda t: F.struct(
+            F.lit(method).alias("method"),
+            t["out"]["sentence"].alias("augmented_sentence"),
+            t["out"]["entities"].alias("augmented_entities"),
+            t["size"].alias("augmented_length"),
+            F.when(was > 0, first_failed_rule(
+                sentence, t["out"]["sentence"], entities, t["out"]["entities"],
+                was, t["size"], settings, extra_checks)).alias("failed_rule"),
+        ))
+
+    # A variant is judged where it is made, before the explode: a later filter on
+    # the verdict then reads a field and never re-evaluates the rewriting.
+    tries = F.array(*[let(known[m](sentence, entities, F.col("_key"), settings), partial(judged, m))
+                      for m in wanted])
+    fanned = prepared.select(*carried, "sentence", "intent", "entities", "_was",
+                             F.posexplode(tries).alias("method_no", "_try"))
+    error = F.when(was == 0, "division by zero")
+    return fanned.select(
+        *carried, "method_no",
         sentence.alias("original_sentence"),
+        F.col("_try.augmented_sentence"),
         F.col("intent").alias("original_intent"),
-        listed(entities).alias("original_entities"),
-        F.size(words(sentence)).alias("_was"),
-        F.posexplode(tries).alias("method_no", "_try"),
-    )
-    shaped = fanned.select(
-        *carried, "original_sentence", "original_intent", "original_entities", "method_no", "_was",
-        F.col("_try.method").alias("method"),
-        F.col("_try.out.sentence").alias("augmented_sentence"),
-        F.col("_try.out.entities").alias("augmented_entities"),
-        F.size(words(F.col("_try.out.sentence"))).alias("_is"),
-    )
-    error = F.when(F.col("_was") == 0, "division by zero")
-    rule = first_failed_rule(
-        F.col("original_sentence"), F.col("augmented_sentence"),
-        F.col("original_entities"), F.col("augmented_entities"),
-        F.col("_was"), F.col("_is"), settings, extra_checks,
-    )
-    return shaped.withColumn("error", error).withColumn("failed_rule", F.when(F.col("_was") > 0, rule)).select(
-        *carried, "method_no",
-        "original_sentence", "augmented_sentence", "original_intent",
-        F.col("original_intent").alias("augmented_intent"),
-        "original_entities", "augmented_entities", "method",
+        F.col("intent").alias("augmented_intent"),
+        entities.alias("original_entities"),
+        F.col("_try.augmented_entities"),
+        F.col("_try.method"),
         F.struct(
-            "method",
-            F.col("_was").alias("original_length"),
-            F.col("_is").alias("augmented_length"),
-            (F.col("_is") / F.nullif(F.col("_was"), F.lit(0))).alias("length_ratio"),
-            (F.size("augmented_entities") == F.size("original_entities")).alias("entity_count_preserved"),
+            F.col("_try.method").alias("method"),
+            was.alias("original_length"),
+            F.col("_try.augmented_length").alias("augmented_length"),
+            (F.col("_try.augmented_length") / F.nullif(was, F.lit(0))).alias("length_ratio"),
+            (F.size("_try.augmented_entities") == F.size(entities)).alias("entity_count_preserved"),
         ).alias("metadata"),
-        (F.col("failed_rule").isNull() & F.col("error").isNull()).alias("quality_passed"),
-        "failed_rule", "error",
+        (F.col("_try.failed_rule").isNull() & (was > 0)).alias("quality_passed"),
+        F.col("_try.failed_rule"),
+        error.alias("error"),
     )
 
 

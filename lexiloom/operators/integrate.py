@@ -31,26 +31,25 @@ def first_n_per_group(df: DataFrame, group: str, targets: DataFrame, order: str
     holds ``(group, target)`` with targets above zero.
     """
     levels = df.schema[order].dataType.names
-    cut = targets.select(F.col(group), F.col("target").cast("bigint").alias("_left"))
-    known: list[str] = []
-    for level in levels:
-        here = df.select(group, *[F.col(f"{order}.{f}").alias(f"_{f}") for f in (*known, level)])
-        reached = [f"_{f}" for f in known]
+    at = {level: f"_at_{level}" for level in levels}
+    cut = targets.select(group, F.col("target").cast("bigint").alias("_left"))
+    for depth, level in enumerate(levels):
+        known = [at[f] for f in levels[:depth]]
+        here = df.select(group, *[F.col(f"{order}.{f}").alias(at[f]) for f in levels[:depth + 1]])
         counts = (
-            here.join(cut, [group, *reached])
-            .groupBy(group, *reached, "_left", f"_{level}").agg(F.count("*").alias("_n"))
+            here.join(cut, [group, *known])
+            .groupBy(group, *known, "_left", at[level]).agg(F.count("*").alias("_n"))
         )
-        running = Window.partitionBy(group).orderBy(f"_{level}").rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("_n").over(running), F.lit(0))
+        earlier = Window.partitionBy(group).orderBy(at[level]).rowsBetween(Window.unboundedPreceding, -1)
         cut = settle(
-            counts.withColumn("_before", before).filter("_before < _left")
+            counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+            .filter("_before < _left")
             .groupBy(group).agg(F.max_by(
-                F.struct(*reached, f"_{level}", (F.col("_left") - F.col("_before")).alias("_left")),
-                F.col(f"_{level}")).alias("_cut"))
+                F.struct(*known, at[level], (F.col("_left") - F.col("_before")).alias("_left")),
+                F.col(at[level])).alias("_cut"))
             .select(group, "_cut.*")
         )
-        known.append(level)
-    last = cut.select(group, F.struct(*[F.col(f"_{f}").alias(f) for f in levels]).alias("_last"))
+    last = cut.select(group, F.struct(*[F.col(at[f]).alias(f) for f in levels]).alias("_last"))
     return df.join(last, group).filter(F.col(order) <= F.col("_last")).select(*df.columns)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lexiloom.config import Settings
 from lexiloom.functions.entities import listed, types_of
 from lexiloom.functions.text import (
-    BLANK, has_diacritics, has_text, has_vietnamese_letters, let, two_decimals, words,
+    ONE_BLANK, has_diacritics, has_text, has_vietnamese_letters, let, two_decimals, words,
 )
 
 # Words that may stand twice in a row.
@@ -28,15 +28,19 @@ REPETITION_FROM = 4
 # --- generation gate -------------------------------------------------------
 
 def coherent(text: Column, n_words: Column) -> Column:
-    """At most 20 words, and in more than 3 words none makes up more than half."""
-    def most_frequent(w: Column) -> Column:
-        return F.array_max(F.transform(F.array_distinct(w), lambda x: F.size(F.filter(w, lambda y: y == x))))
+    """At most 20 words, and in more than 3 words none makes up more than half.
+
+    A word that makes up more than half of a sorted list also stands in its
+    middle, so only that word is counted.
+    """
+    half = F.floor(n_words / 2).cast("int")
+
+    def balanced(w: Column) -> Column:
+        return n_words - F.size(F.array_remove(w, F.get(w, half))) <= half
 
-    # Length first: counting words is quadratic and never runs on a long text.
     return (
         F.when(n_words > MAX_WORDS, False)
-        .when(n_words >= REPETITION_FROM,
-              let(words(F.lower(text)), most_frequent) <= F.floor(n_words / 2))
+        .when(n_words >= REPETITION_FROM, let(F.sort_array(words(F.lower(text))), balanced))
         .otherwise(True)
     )
 
@@ -121,7 +125,7 @@ def grammar_issue(text: Column) -> Column:
     return (
         F.when(twice.isNotNull(), F.concat(F.lit("Repeated word: '"), twice, F.lit("'")))
         .when(F.contains(text, F.lit("  ")), "Multiple spaces detected")
-        .when(text.rlike(rf"[{BLANK}][,.!?]"), "Orphaned punctuation")
+        .when(text.rlike(rf"[,.!?](?<={ONE_BLANK}.)"), "Orphaned punctuation")
     )
 
 
