@@ -215,17 +215,10 @@ def training_shape(final: DataFrame, reviewed_at: str | Column | None = None) ->
     )
 
 
-def review_batch(augmentations: DataFrame, max_samples: int = 100, order: list[str] | None = None) -> DataFrame:
-    """The first ``max_samples`` augmentations, numbered from 1, with empty review columns.
-
-    The numbering window runs over those rows only, after the limit.
-    """
-    order = order or ["seq", "method_no"]
-    head = augmentations.orderBy(*order).limit(max_samples)
-    number_ = F.row_number().over(Window.orderBy(*order))
+def _review_values(sample_id: Column) -> list[Column]:
     empty = F.lit("")
     values = {
-        "Sample_ID": F.col("_no").cast("string"),
+        "Sample_ID": sample_id.cast("string"),
         "Original_Sentence": F.col("original_sentence"),
         "Original_Intent": F.col("original_intent"),
         "Original_Entities": entities_json(F.col("original_entities")),
@@ -236,8 +229,23 @@ def review_batch(augmentations: DataFrame, max_samples: int = 100, order: list[s
         "Quality_Score_1_5": empty, "Naturalness_Score_1_5": empty,
         "Comments": empty, "Approved_Yes_No": empty,
     }
-    return head.withColumn("_no", number_).orderBy("_no").select(
-        *[values[c].alias(c) for c in REVIEW_COLUMNS])
+    return [values[c].alias(c) for c in REVIEW_COLUMNS]
+
+
+def review_rows(augmentations: DataFrame) -> DataFrame:
+    """Every augmentation as a review row, numbered uniquely but not consecutively."""
+    return augmentations.select(*_review_values(F.monotonically_increasing_id() + 1))
+
+
+def review_batch(augmentations: DataFrame, max_samples: int = 100, order: list[str] | None = None) -> DataFrame:
+    """The first ``max_samples`` augmentations, numbered from 1, with empty review columns.
+
+    The numbering window runs over those rows only, after the limit.
+    """
+    order = order or ["seq", "method_no"]
+    head = augmentations.orderBy(*order).limit(max_samples)
+    numbered = head.withColumn("_no", F.row_number().over(Window.orderBy(*order)))
+    return numbered.orderBy("_no").select(*_review_values(F.col("_no")))
 
 
 def integration_report(review: DataFrame, final: DataFrame, settings: Settings, strategy: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,15 +17,15 @@ def lookup_terms(texts: DataFrame, terms: DataFrame, text: str = "text") -> Data
     lengths = [r["n"] for r in terms.select(F.char_length("original").alias("n")).distinct()
                .orderBy("n").collect()]
     low = F.lower(text)
-    windows = [
-        F.when(F.char_length(low) >= n, F.transform(
-            F.sequence(F.lit(1), F.char_length(low) - n + 1),
-            lambda i, n=n: F.substring(low, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-        for n in lengths if n
-    ]
+
+    def windows(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.char_length(low) - n + 1)
+        return F.when(F.char_length(low) >= n, F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))) \
+            .otherwise(F.array().cast("array<string>"))
+
     parts = (
         texts.select(text).distinct()
-        .select(text, F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *windows))).alias("original"))
+        .select(text, F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[windows(n) for n in lengths if n]))).alias("original"))
     )
     return (
         parts.join(terms.select("ord", "original"), "original")

@@ -13,13 +13,10 @@ from lexiloom.schema import ENTITIES
 _ENGINE_COLUMNS = ("seq", "sample_id")
 
 
-def _plain(df: DataFrame) -> DataFrame:
-    return df.drop(*_ENGINE_COLUMNS)
-
-
-def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> str:
-    """UTF-8 JSON lines; NULL fields are written out."""
-    _plain(df).write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS) -> str:
+    """UTF-8 JSON lines; NULL fields are written out, the engine's own columns are not."""
+    kept = df.select(*[c for c in df.columns if c not in without])
+    kept.write.mode(mode).option("ignoreNullFields", False).json(path)
     return path
 
 
