@@ -16,7 +16,7 @@ from lexiloom.catalog import oracles as O
 from lexiloom.catalog import tables as T
 from lexiloom.catalog.tables import SETTINGS
 from lexiloom.config import vocabulary_from, vocabulary_table
-from lexiloom.functions.entities import normalise, repair_json
+from lexiloom.functions.entities import normalise, parse_entities, repair_json
 from lexiloom.functions.text import clean_text, has_diacritics, has_vietnamese_letters, words
 from lexiloom.operators import augment, integrate, profile, quality, review, vocabulary
 from lexiloom.operators.rarity import rare_samples
@@ -97,8 +97,8 @@ def q5_vietnamese_letters(spark, sf):
 SELECT sample_id, NOT (n > 20 OR (n > 3 AND list_max(list_transform(list_distinct(lw), lambda x: len(list_filter(lw, lambda y: y = x)))) > n // 2)) AS coherent
 FROM (SELECT sample_id, n, CASE WHEN n <= 20 THEN {O.words('lower(sentence)')} END AS lw FROM utt)"""))
 def q6_coherence(spark, sf):
-    n = F.size(words(F.col("sentence")))
-    return T.utterances(spark, sf).select("sample_id", quality.coherent(F.col("sentence"), n).alias("coherent"))
+    low = T.utterances(spark, sf).withColumn("low", words(F.lower("sentence")))
+    return low.select("sample_id", quality.coherent(F.col("low")).alias("coherent"))
 
 
 @query("q8_diacritics", f"SELECT doc_id, regexp_matches(lower(text), '[{O.DIA}]') AS diacritics FROM documents")
@@ -576,7 +576,6 @@ final_query("p5_final_scores", "score_only", "ok")
 SELECT event_id, coalesce(trim(text), '') = '' OR json_valid(text) AS ok,
   CASE WHEN event_id % 8 = 0 THEN 1 ELSE 0 END AS n_entities FROM t""")
 def p6_parse_entities(spark, sf):
-    from lexiloom.functions.entities import parse_entities
     parsed = T.entity_texts(spark, sf).withColumn("p", parse_entities(F.col("text")))
     return parsed.select("event_id", F.col("p.ok").alias("ok"), big(F.size("p.entities"), "n_entities"))
 
@@ -773,7 +772,7 @@ def s5_newest_batch(spark, sf):
     rows = T.reviews(spark, sf)
     writers.write_review(rows.filter("Original_Intent = 'en'"), f"{path}/review_samples_1.csv")
     writers.write_review(rows.filter("Original_Intent <> 'en'"), f"{path}/review_samples_2.csv")
-    newest = readers.newest_file(spark, f"{path}/review_samples_*.csv", by="name")
+    newest = readers.newest_batch(spark, f"{path}/review_samples_*.csv", by="name")
     return readers.read_review(spark, newest).select(F.col("Sample_ID").alias("sample_id"))
 
 

@@ -7,9 +7,11 @@ and inlined into plans as a literal. ``lookup_terms`` in
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TERM_KINDS = ("devices", "locations", "actions", "times")
@@ -184,19 +186,17 @@ def vocabulary_from(table: DataFrame) -> Vocabulary:
     })
 
 
-def entries_literal(terms: dict[str, list[str]], **extra) -> "F.Column":
-    """Terms as a literal ``array<struct<original, synonyms, …>>`` in vocabulary order.
+def literal(value, ddl: str) -> Column:
+    """A nested constant; the optimizer folds the parsing away."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), ddl)
+
+
+def entries_literal(terms: dict[str, list[str]], **extra: Callable[[str], str]) -> Column:
+    """Terms as a constant ``array<struct<original, synonyms, …>>`` in vocabulary order.
 
     Each keyword adds a string field computed from the term.
     """
-    if not terms:
-        fields = "".join(f",{name}:string" for name in extra)
-        return F.array().cast(f"array<struct<original:string,synonyms:array<string>{fields}>>")
-    return F.array(*[
-        F.struct(
-            F.lit(term).alias("original"),
-            F.array(*[F.lit(s) for s in synonyms]).cast("array<string>").alias("synonyms"),
-            *[F.lit(make(term)).alias(name) for name, make in extra.items()],
-        )
-        for term, synonyms in terms.items()
-    ])
+    entries = [{"original": term, "synonyms": list(synonyms), **{name: make(term) for name, make in extra.items()}}
+               for term, synonyms in terms.items()]
+    fields = "".join(f",{name}:string" for name in extra)
+    return literal(entries, f"array<struct<original:string,synonyms:array<string>{fields}>>")

@@ -8,12 +8,11 @@ and exploded; nothing here shuffles.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.config import Settings, entries_literal
+from lexiloom.config import Settings, entries_literal, literal
 from lexiloom.functions.draw import chance, choose, draw
 from lexiloom.functions.entities import listed
 from lexiloom.functions.text import (
@@ -100,9 +99,8 @@ def replace_action(sentence: Column, sample: Column, settings: Settings) -> Colu
     actions = settings.vocabulary.actions
     if not actions:
         return F.array_join(words(sentence), " ")
-    names = F.array(*[F.lit(a) for a in actions])
-    synonyms = F.create_map(*[part for a, s in actions.items()
-                              for part in (F.lit(a), F.array(*[F.lit(x) for x in s]).cast("array<string>"))])
+    names = literal(list(actions), "array<string>")
+    synonyms = literal(actions, "map<string,array<string>>")
     drawn = draw(settings.seed, sample, "synonym_replacement", "action")
 
     def swapped(w: Column, at: Column) -> Column:
@@ -134,7 +132,7 @@ def add_politeness(sentence: Column, entities: Column, sample: Column, settings:
             return F.lit(None).cast("string")
         gate = draw(settings.seed, sample, "politeness_addition", f"{slot}_gate")
         pick = draw(settings.seed, sample, "politeness_addition", slot)
-        return F.when(chance(gate, probability), choose(F.array(*[F.lit(o) for o in options]), pick))
+        return F.when(chance(gate, probability), choose(literal(options, "array<string>"), pick))
 
     prefix = phrase(settings.vocabulary.prefixes, settings.prefix_chance, "prefix")
     suffix = phrase(settings.vocabulary.suffixes, settings.suffix_chance, "suffix")
@@ -246,22 +244,30 @@ def candidates(
         key.alias("_key"), F.size(words(F.col("sentence"))).alias("_was"))
     sentence, entities, was = F.col("sentence"), F.col("entities"), F.col("_was")
 
-    def judged(method: str, out: Column) -> Column:
-        size = F.size(words(out["sentence"]))
-        return let(F.struct(out.alias("out"), size.alias("size")), lambda t: F.struct(
-            F.lit(method).alias("method"),
+    def split_once(t: Column) -> Column:
+        # Most variants of some methods equal their original, whose words are counted already.
+        low = F.when(t["out"]["sentence"] != sentence, words(F.lower(t["out"]["sentence"])))
+        return F.struct(t["method"].alias("method"), t["out"].alias("out"), low.alias("low"))
+
+    def judged(t: Column) -> Column:
+        size = F.when(t["low"].isNull(), was).otherwise(F.size(t["low"]))
+        rule = first_failed_rule(sentence, t["out"]["sentence"], entities, t["out"]["entities"],
+                                 was, size, t["low"], settings, extra_checks)
+        return F.struct(
+            t["method"].alias("method"),
             t["out"]["sentence"].alias("augmented_sentence"),
             t["out"]["entities"].alias("augmented_entities"),
-            t["size"].alias("augmented_length"),
-            F.when(was > 0, first_failed_rule(
-                sentence, t["out"]["sentence"], entities, t["out"]["entities"],
-                was, t["size"], settings, extra_checks)).alias("failed_rule"),
-        ))
+            size.alias("augmented_length"),
+            F.when(was > 0, rule).alias("failed_rule"),
+        )
 
     # A variant is judged where it is made, before the explode: a later filter on
     # the verdict then reads a field and never re-evaluates the rewriting.
-    tries = F.array(*[let(known[m](sentence, entities, F.col("_key"), settings), partial(judged, m))
-                      for m in wanted])
+    made = F.array(*[
+        F.struct(F.lit(m).alias("method"), known[m](sentence, entities, F.col("_key"), settings).alias("out"))
+        for m in wanted
+    ])
+    tries = F.transform(F.transform(made, split_once), judged)
     fanned = prepared.select(*carried, "sentence", "intent", "entities", "_was",
                              F.posexplode(tries).alias("method_no", "_try"))
     error = F.when(was == 0, "division by zero")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
@@ -142,24 +142,32 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 
 def integration_summary(original_counts: DataFrame, augmented_counts: DataFrame,
-                        merged: DataFrame, final: DataFrame, settings: Settings) -> DataFrame:
-    """One row of sizes; the counts are settled ``label_counts``."""
-    def sized(df: DataFrame, size, name: str) -> DataFrame:
-        return df.agg(size.alias("value")).select(F.lit(name).alias("name"), F.coalesce("value", F.lit(0)).alias("value"))
+                        chosen: DataFrame, final: DataFrame, settings: Settings) -> DataFrame:
+    """One row of sizes, for the selected rows and the stored final set.
+
+    The counts are settled ``label_counts``; only ``chosen`` is scanned, pruned
+    to the columns that its selection reads.
+    """
+    def sized(df: DataFrame, size: Column, name: str) -> DataFrame:
+        return df.agg(size.alias("value")).select(
+            F.lit(name).alias("name"), F.coalesce("value", F.lit(0)).alias("value"))
 
     intents = F.sum(F.when(F.col("dimension") == INTENT, F.col("n")))
     rows = (
         sized(original_counts, intents, "original")
         .unionByName(sized(augmented_counts, intents, "augmented"))
-        .unionByName(sized(merged, F.count_if(F.col("seq.side") == 1), "selected"))
-        .unionByName(sized(merged, F.count("*"), "merged"))
+        .unionByName(sized(chosen, F.count("*"), "selected"))
         .unionByName(sized(final, F.count("*"), "final"))
     )
-    value = lambda name: F.max(F.when(F.col("name") == name, F.col("value")))
+
+    def value(name: str) -> Column:
+        return F.max(F.when(F.col("name") == name, F.col("value")))
+
+    kept = value("original") if settings.preserve_original else F.lit(0)
     return rows.agg(
         value("original").alias("original_samples"),
         value("augmented").alias("augmented_samples"),
         value("selected").alias("selected_augmented"),
         value("final").alias("final_samples"),
-        (value("merged") - value("final")).alias("duplicates_removed"),
+        (kept + value("selected") - value("final")).alias("duplicates_removed"),
     ).withColumn("strategy_used", F.lit(settings.strategy))

@@ -27,20 +27,21 @@ REPETITION_FROM = 4
 
 # --- generation gate -------------------------------------------------------
 
-def coherent(text: Column, n_words: Column) -> Column:
-    """At most 20 words, and in more than 3 words none makes up more than half.
+def coherent(low_words: Column) -> Column:
+    """At most 20 lower-case words, and in more than 3 none makes up more than half.
 
     A word that makes up more than half of a sorted list also stands in its
     middle, so only that word is counted.
     """
-    half = F.floor(n_words / 2).cast("int")
+    n = F.size(low_words)
+    half = F.floor(n / 2).cast("int")
 
     def balanced(w: Column) -> Column:
-        return n_words - F.size(F.array_remove(w, F.get(w, half))) <= half
+        return n - F.size(F.array_remove(w, F.get(w, half))) <= half
 
     return (
-        F.when(n_words > MAX_WORDS, False)
-        .when(n_words >= REPETITION_FROM, let(F.sort_array(words(F.lower(text))), balanced))
+        F.when(n > MAX_WORDS, False)
+        .when(n >= REPETITION_FROM, let(F.sort_array(low_words), balanced))
         .otherwise(True)
     )
 
@@ -51,11 +52,14 @@ def same_types_sorted(before: Column, after: Column) -> Column:
 
 def first_failed_rule(
     original: Column, augmented: Column, original_entities: Column, augmented_entities: Column,
-    n_original: Column, n_augmented: Column, settings: Settings,
+    n_original: Column, n_augmented: Column, low_words: Column, settings: Settings,
     extra_checks: Mapping[str, Callable[[Column, Column, Column], Column]] | None = None,
 ) -> Column:
     """Name of the first gate rule broken; NULL when the variant passes.
 
+    ``low_words`` are the lower-case words of the variant; they are read only
+    where it differs from its original.
+
     ``extra_checks`` are user rules ``(original, augmented, augmented entities)
     → boolean``; a NULL result counts as broken.
     """
@@ -71,7 +75,7 @@ def first_failed_rule(
         rule = rule.when(~same_types_sorted(original_entities, augmented_entities), "entity_types")
     if settings.require_vietnamese_characters:
         rule = rule.when(~has_vietnamese_letters(augmented), "vietnamese_characters")
-    rule = rule.when(~coherent(augmented, n_augmented), "coherence")
+    rule = rule.when(~coherent(low_words), "coherence")
     for name, check in (extra_checks or {}).items():
         rule = rule.when(~F.coalesce(check(original, augmented, augmented_entities), F.lit(False)), name)
     return rule

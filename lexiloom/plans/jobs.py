@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
@@ -113,11 +113,10 @@ def merge_augmented(original: DataFrame, augmented: DataFrame, settings: Setting
     original_counts = settle(profile.label_counts(original))
     augmented_counts = settle(profile.label_counts(augmented))
     chosen = integrate.balance(original_counts, augmented, settings, target_distribution)
-    merged = integrate.merge(original, chosen, settings)
-    final = settle(integrate.deduplicate(merged))
+    final = settle(integrate.deduplicate(integrate.merge(original, chosen, settings)))
     return Merge(
         final=final,
-        summary=integrate.integration_summary(original_counts, augmented_counts, merged, final, settings),
+        summary=integrate.integration_summary(original_counts, augmented_counts, chosen, final, settings),
         original_counts=original_counts,
         augmented_counts=augmented_counts,
         final_counts=profile.label_counts(final),
@@ -192,7 +191,6 @@ def quality_report(validated: DataFrame, counts: DataFrame, sentence: str = "sen
     )))
 
     def ranked(table: DataFrame, section: str, key: str, k: int | None) -> DataFrame:
-        from pyspark.sql import Window
         position = F.row_number().over(Window.orderBy(F.desc("n"), F.asc(key)))
         return profile.top(table.select(key, "n"), k, key).select(
             F.lit(section).alias("section"), position.alias("position"), F.col(key).alias("key"), "n",

@@ -7,6 +7,9 @@ files are split.
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,20 +115,27 @@ def read_review(spark: SparkSession, path: str | list[str], drop_short: bool = F
     return rows.select(*REVIEW_COLUMNS, *[c for c in header if c not in REVIEW_COLUMNS])
 
 
-def newest_file(spark: SparkSession, pattern: str, by: str = "time") -> str | None:
-    """The newest file matching a glob, by modification time (then name) or by name.
+def newest_batch(spark: SparkSession, pattern: str, by: str = "time") -> str | None:
+    """The newest file or folder matching a glob, by modification time (then name) or by name.
 
     Only the listing is read: the content column is pruned.
     """
     keys = [F.desc("modificationTime"), F.desc("path")] if by == "time" else [F.desc("path")]
     try:
         files = spark.read.format("binaryFile").load(pattern)
-    except Exception as problem:
-        if "PATH_NOT_FOUND" in str(problem):
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
     newest = files.select("path", "modificationTime").orderBy(*keys).limit(1).collect()
-    return newest[0]["path"] if newest else None
+    if not newest:
+        return None
+    # A batch written by Spark is a folder: cut its part file off the path.
+    parts = newest[0]["path"].split("/")
+    last = pattern.rsplit("/", 1)[-1]
+    while not fnmatch(parts[-1], last):
+        parts.pop()
+    return "/".join(parts)
 
 
 def head(df: DataFrame, n: int = 50, order: str = "seq") -> DataFrame:

@@ -79,8 +79,8 @@ def export_for_training(df: DataFrame, folder: str, fmt: str = "jsonl", mode: st
 
 
 def write_review(review: DataFrame, path: str, mode: str = "error") -> str:
-    """One review batch, as CSV in a single part file: it is a few rows for a person to read."""
-    return _write_csv(review.coalesce(1), path, mode)
+    """A review table as CSV. A numbered batch is one partition and so one file."""
+    return _write_csv(review, path, mode)
 
 
 def parsed_review(review: DataFrame) -> DataFrame:
