@@ -74,7 +74,7 @@ def originals(spark: SparkSession, sf: str) -> DataFrame:
     f"regexp_replace(regexp_replace({O.strip('text')}, '{O.WS}+', ' ', 'g'), '[^a-zA-Z0-9_ .,!?\\p{{L}}\\p{{N}}-]', '', 'g')")
     } AS cleaned FROM documents""")
 def p8_clean_text(spark, sf):
-    return T.load(spark, sf, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+    return T.documents(spark, sf, "doc_id", "text").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
 
 
 _CLEAN = lambda x: O.strip(f"regexp_replace({x}, '[^a-zA-Z0-9_ .,!?\\p{{L}}\\p{{N}}-]', '', 'g')")
@@ -103,7 +103,7 @@ def q6_coherence(spark, sf):
 
 @query("q8_diacritics", f"SELECT doc_id, regexp_matches(lower(text), '[{O.DIA}]') AS diacritics FROM documents")
 def q8_diacritics(spark, sf):
-    return T.load(spark, sf, "documents").select("doc_id", has_diacritics(F.col("text")).alias("diacritics"))
+    return T.documents(spark, sf, "doc_id", "text").select("doc_id", has_diacritics(F.col("text")).alias("diacritics"))
 
 
 def pair_query(name: str, issue: str, sql: str) -> None:
@@ -341,17 +341,16 @@ def n2_vocabulary_lookup(spark, sf):
 # --- profiles --------------------------------------------------------------
 
 def frequent(spark, sf):
-    """Settings whose thresholds are shares of the table, so that both kinds of label occur at any size."""
-    u = T.utterances(spark, sf)
-    total = u.count()
-    return u, replace(SETTINGS, min_intent_frequency=total // 20, min_entity_frequency=total // 100)
+    """Settings whose thresholds follow the number of documents, so that both kinds of label occur at any size."""
+    n = T.load(spark, sf, "documents").count()
+    return T.utterances(spark, sf), replace(SETTINGS, min_intent_frequency=n * 2, min_entity_frequency=n * 2 // 5)
 
 
 _RARE = """labels AS (
   SELECT 'intent' AS dimension, intent AS label, count(*) AS n FROM utt GROUP BY 2
   UNION ALL SELECT 'entity_type', e.type, count(*) FROM (SELECT unnest(entities) AS e FROM utt) GROUP BY 2),
-rarity AS (SELECT dimension, label, n, n < CASE dimension WHEN 'intent' THEN t // 20 ELSE t // 100 END AS rare
-  FROM labels, (SELECT count(*) AS t FROM utt))"""
+rarity AS (SELECT dimension, label, n, n < CASE dimension WHEN 'intent' THEN t * 2 ELSE t * 2 // 5 END AS rare
+  FROM labels, (SELECT count(*) AS t FROM documents))"""
 
 
 @query("g1_rarity_profile", O.sql(O.UTT + ",\n" + _RARE, "SELECT dimension, label, n, rare FROM rarity"))

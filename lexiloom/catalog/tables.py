@@ -42,6 +42,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Whole documents, pruned to some columns."""
+    return spread(load(spark, sf_dir, "documents").select(*columns), "doc_id")
+
+
 def _entity(when: Column, kind: Column, filler: Column) -> Column:
     return F.when(when, F.struct(kind.alias("type"), filler.alias("filler")))
 
@@ -61,8 +66,7 @@ def _entities(w: Column, n: Column, group: Column) -> Column:
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sentence of every document; the intent is the language and a length class."""
-    documents = spread(load(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
-    pieces = documents.select(
+    pieces = documents(spark, sf_dir, "doc_id", "lang", "text").select(
         "doc_id", "lang", F.posexplode(F.split("text", "[.!?\n]+")).alias("sent_no", "piece"))
     rows = pieces.select("doc_id", "sent_no", "lang", strip(F.col("piece")).alias("sentence")).filter("sentence <> ''")
     rows = rows.withColumn("w", words(F.col("sentence"))).withColumn("n", F.size("w"))
@@ -153,7 +157,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event properties as entity JSON: intact, with bare words, quoted, without commas, cut off, blank."""
-    e = load(spark, sf_dir, "events")
+    e = spread(load(spark, sf_dir, "events").select("event_id", "event_type", "props"), "event_id")
     k = F.regexp_extract("props", r"(\d+)", 1)
     i = F.col("event_id") % 8
     text = (

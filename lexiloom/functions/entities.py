@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiloom.functions.text import BLANK, clean_text, strip
+from lexiloom.functions.text import BLANK, clean_text, let, strip
 from lexiloom.schema import ENTITIES, ENTITIES_DDL
 
 
@@ -82,29 +82,27 @@ def repair_json(text: Column) -> Column:
     Bare keys and values are quoted. If that is not enough, the objects of an
     array are repaired one by one; a single hopeless object empties the array.
     """
-    plain = strip(F.coalesce(text, F.lit("")))
-    body = F.when(
-        (F.char_length(plain) > 1) & plain.startswith('"') & plain.endswith('"'),
-        F.substring(plain, F.lit(2), F.char_length(plain) - 2),
-    ).otherwise(plain)
-    quoted = _quote_pairs(body, rf"[{{,]{_GAP}")
-
-    pieces = F.filter(
-        F.split(F.substring(quoted, F.lit(2), F.char_length(quoted) - 2), rf"(?={_GAP}\{{)"),
-        lambda p: strip(p) != "",
-    )
-    objects = F.transform(pieces, lambda p: _quote_pairs(
+    def valid(t: Column) -> Column:
+        return F.try_parse_json(t).isNotNull()
+
+    def repaired(body: Column) -> Column:
+        return let(_quote_pairs(body, rf"[{{,]{_GAP}"), lambda quoted: F.when(valid(quoted), quoted)
+                   .when(quoted.startswith("[") & quoted.endswith("]"), let(_object_texts(quoted), lambda objects: F.when(
+                       F.forall(objects, valid), F.concat(F.lit("["), F.array_join(objects, ","), F.lit("]")))
+                       .otherwise("[]")))
+                   .otherwise("[]"))
+
+    def unwrapped(plain: Column) -> Column:
+        wrapped = (F.char_length(plain) > 1) & plain.startswith('"') & plain.endswith('"')
+        body = F.when(wrapped, F.substring(plain, F.lit(2), F.char_length(plain) - 2)).otherwise(plain)
+        return let(body, lambda b: F.when(b == "", "[]").when(valid(b), b).otherwise(repaired(b)))
+
+    return let(strip(F.coalesce(text, F.lit(""))), unwrapped)
+
+
+def _object_texts(array: Column) -> Column:
+    """The texts of an array's objects, each with its pairs quoted."""
+    inner = F.substring(array, F.lit(2), F.char_length(array) - 2)
+    pieces = F.filter(F.split(inner, rf"(?={_GAP}\{{)"), lambda p: strip(p) != "")
+    return F.transform(pieces, lambda p: _quote_pairs(
         F.when(p.startswith("{"), p).otherwise(F.concat(F.lit("{"), strip(p))), ""))
-    deep = F.when(
-        quoted.startswith("[") & quoted.endswith("]")
-        & F.forall(objects, lambda o: F.try_parse_json(o).isNotNull()),
-        F.concat(F.lit("["), F.array_join(objects, ","), F.lit("]")),
-    ).otherwise("[]")
-
-    return (
-        F.when(plain == "", "[]")
-        .when(F.try_parse_json(plain).isNotNull() & ~plain.startswith('"'), plain)
-        .when(F.try_parse_json(body).isNotNull(), body)
-        .when(F.try_parse_json(quoted).isNotNull(), quoted)
-        .otherwise(deep)
-    )
