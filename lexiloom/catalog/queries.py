@@ -61,11 +61,15 @@ def extra(spark: SparkSession, sf: str) -> DataFrame:
     return settle(kept)
 
 
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The utterances as a table, for jobs that pass over them several times."""
+    return settle(T.utterances(spark, sf))
+
+
 def originals(spark: SparkSession, sf: str) -> DataFrame:
-    """The utterances in the order fields of ``extra``."""
-    u = T.utterances(spark, sf)
+    """The stored utterances in the order fields of ``extra``."""
     order = F.struct("seq.block", "seq.doc", "seq.sent", F.lit(0).alias("method"))
-    return u.select(order.alias("seq"), "sentence", "intent", "entities")
+    return settle(T.utterances(spark, sf).select(order.alias("seq"), "sentence", "intent", "entities"))
 
 
 # --- text, entities and predicates over whole texts ------------------------
@@ -343,7 +347,7 @@ def n2_vocabulary_lookup(spark, sf):
 def frequent(spark, sf):
     """Settings whose thresholds follow the number of documents, so that both kinds of label occur at any size."""
     n = T.load(spark, sf, "documents").count()
-    return T.utterances(spark, sf), replace(SETTINGS, min_intent_frequency=n * 2, min_entity_frequency=n * 2 // 5)
+    return stored(spark, sf), replace(SETTINGS, min_intent_frequency=n * 2, min_entity_frequency=n * 2 // 5)
 
 
 _RARE = """labels AS (
@@ -937,7 +941,7 @@ SELECT (SELECT count(*) FROM utt) AS input_samples, count(*) AS final_samples,
   (count(*)::DOUBLE / (SELECT count(*) FROM utt) - 1) * 100 AS augmentation_ratio FROM variants WHERE failed_rule IS NULL"""))
 def j4_generate_and_integrate(spark, sf):
     """All variants reviewed, not just a batch: the batch limit is set to the table's size."""
-    u = T.utterances(spark, sf)
+    u = stored(spark, sf)
     every = replace(SETTINGS, min_intent_frequency=2 ** 62)
     generation = jobs.generate(u, every)
     everything = review.stamp_decisions(review.review_rows(generation.augmentations))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Up to this many terms, of a few dozen bytes each, are sent to every task.
+BROADCAST_TERMS = 100_000
+
 
 def lookup_terms(texts: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """For each distinct text, the first term (lowest ``ord``) that it contains.
@@ -14,8 +17,8 @@ def lookup_terms(texts: DataFrame, terms: DataFrame, text: str = "text") -> Data
     terms are joined on equality. Texts are made distinct first: a hot text is
     looked up once. Texts without a term are left out.
     """
-    lengths = [r["n"] for r in terms.select(F.char_length("original").alias("n")).distinct()
-               .orderBy("n").collect()]
+    sizes = terms.groupBy(F.char_length("original").alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
+    lengths = [r["length"] for r in sizes]
     low = F.lower(text)
 
     def windows(n: int) -> Column:
@@ -27,8 +30,12 @@ def lookup_terms(texts: DataFrame, terms: DataFrame, text: str = "text") -> Data
         texts.select(text).distinct()
         .select(text, F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[windows(n) for n in lengths if n]))).alias("original"))
     )
+    known = terms.select("ord", "original")
+    few = sum(r["n"] for r in sizes) <= BROADCAST_TERMS
+    # The pieces are many more bytes than their source; never let them be the broadcast side.
+    known = F.broadcast(known) if few else known.hint("merge")
     return (
-        parts.join(terms.select("ord", "original"), "original")
+        parts.join(known, "original")
         .groupBy(text).agg(F.min(F.struct("ord", "original")).alias("_hit"))
         .select(text, F.col("_hit.ord").alias("ord"), F.col("_hit.original").alias("original"))
     )
