@@ -145,7 +145,11 @@ pair_query("q10_entity_boundaries", "entity_boundaries", PAIR_SQL["entity_bounda
 pair_query("q11_basic_grammar", "basic_grammar", PAIR_SQL["basic_grammar"])
 pair_query("q12_intent_consistency", "intent_consistency", PAIR_SQL["intent_consistency"])
 
-CHECKED = O.PAIRS + ",\nchecked AS (SELECT *, " + ", ".join(f"{sql} AS {name}" for name, sql in PAIR_SQL.items()) + " FROM pairs)"
+_CHECKS = ",\nchecked AS (SELECT *, " + ", ".join(f"{sql} AS {name}" for name, sql in PAIR_SQL.items()) + " FROM pairs)"
+CHECKED = O.PAIRS + _CHECKS
+CHECKED_VARIANTS = O.CAND + """,
+pairs AS (SELECT sample_id, method, sentence AS os, a AS s, intent AS oi, intent AS i, entities AS oe, ae AS e
+  FROM variants WHERE failed_rule IS NULL)""" + _CHECKS
 _SAID = ", ".join(f"CASE WHEN {name} IS NOT NULL THEN '{name}: ' || {name} END" for name in PAIR_SQL)
 _FINE = " AND ".join(f"{name} IS NULL" for name in PAIR_SQL)
 
@@ -159,7 +163,8 @@ def q12_validate_pairs(spark, sf):
         F.col("checks.length_ratio").alias("length_ok"), F.col("checks.basic_grammar").alias("grammar_ok"))
 
 
-@query("q12_validate_variants")
+@query("q12_validate_variants", O.sql(CHECKED_VARIANTS, f"""
+SELECT sample_id, method, {_FINE} AS valid, array_to_string(list_filter([{_SAID}], lambda x: x IS NOT NULL), ' | ') AS issues FROM checked"""))
 def q12_validate_variants(spark, sf):
     checked = quality.validate_pairs(augment.accepted(variants(spark, sf)), SETTINGS)
     return checked.select("sample_id", "method", "valid", F.array_join("issues", " | ").alias("issues"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
@@ -28,11 +28,15 @@ def _write_csv(df: DataFrame, path: str, mode: str) -> str:
 
 
 def write_augmentations(augmentations: DataFrame, path: str, stamp: str, mode: str = "error") -> str:
-    """The augmentations as JSON lines and, next to them, one row describing the run."""
-    write_jsonl(augmentations.drop("method_no"), f"{path}/augmentations", mode)
-    written = augmentations.sparkSession.read.text(f"{path}/augmentations")
-    envelope = written.agg(F.count("*").alias("total_augmentations")).select(
-        F.lit(stamp).alias("timestamp"), "total_augmentations",
+    """The augmentations as JSON lines and, next to them, one row describing the run.
+
+    The rows are counted while they are written, not by another pass.
+    """
+    counted = Observation()
+    watched = augmentations.drop("method_no").observe(counted, F.count(F.lit(1)).alias("n"))
+    write_jsonl(watched, f"{path}/augmentations", mode)
+    envelope = augmentations.sparkSession.range(1).select(
+        F.lit(stamp).alias("timestamp"), F.lit(counted.get["n"]).cast("bigint").alias("total_augmentations"),
         F.current_timestamp().cast("string").alias("generation_timestamp"))
     envelope.write.mode(mode).json(f"{path}/metadata")
     return path
