@@ -67,9 +67,9 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def originals(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored utterances in the order fields of ``extra``."""
+    """The utterances in the order fields of ``extra``."""
     order = F.struct("seq.block", "seq.doc", "seq.sent", F.lit(0).alias("method"))
-    return settle(T.utterances(spark, sf).select(order.alias("seq"), "sentence", "intent", "entities"))
+    return T.utterances(spark, sf).select(order.alias("seq"), "sentence", "intent", "entities")
 
 
 # --- text, entities and predicates over whole texts ------------------------
@@ -349,10 +349,11 @@ def n2_vocabulary_lookup(spark, sf):
 
 # --- profiles --------------------------------------------------------------
 
-def frequent(spark, sf):
+def frequent(spark, sf, several_passes: bool = True):
     """Settings whose thresholds follow the number of documents, so that both kinds of label occur at any size."""
     n = T.load(spark, sf, "documents").count()
-    return stored(spark, sf), replace(SETTINGS, min_intent_frequency=n * 2, min_entity_frequency=n * 2 // 5)
+    u = stored(spark, sf) if several_passes else T.utterances(spark, sf)
+    return u, replace(SETTINGS, min_intent_frequency=n * 2, min_entity_frequency=n * 2 // 5)
 
 
 _RARE = """labels AS (
@@ -364,7 +365,7 @@ rarity AS (SELECT dimension, label, n, n < CASE dimension WHEN 'intent' THEN t *
 
 @query("g1_rarity_profile", O.sql(O.UTT + ",\n" + _RARE, "SELECT dimension, label, n, rare FROM rarity"))
 def g1_rarity_profile(spark, sf):
-    u, settings = frequent(spark, sf)
+    u, settings = frequent(spark, sf, several_passes=False)
     return profile.rarity_profile(u, settings)
 
 
@@ -373,7 +374,7 @@ SELECT (SELECT count(*) FROM utt) AS total_samples, """ + O.counted(
     ("unique_intents", "dimension = 'intent'"), ("unique_entities", "dimension <> 'intent'"),
     ("intent_targets", "dimension = 'intent' AND rare"), ("entity_targets", "dimension <> 'intent' AND rare")) + " FROM rarity"))
 def g1_rarity_summary(spark, sf):
-    u, settings = frequent(spark, sf)
+    u, settings = frequent(spark, sf, several_passes=False)
     return profile.rarity_summary(profile.rarity_profile(u, settings))
 
 
@@ -499,7 +500,7 @@ def u5_selective(spark, sf):
 
 @query("u1_p10_merge_tagged", O.sql(_SELECTIVE + _MERGED, f"SELECT side, {_KEYS}, source, source <> 'original' AS augmented FROM merged"))
 def u1_p10_merge_tagged(spark, sf):
-    first = originals(spark, sf)
+    first = settle(originals(spark, sf))
     settings = replace(SETTINGS, strategy="selective")
     merged = integrate.merge(first, integrate.balance(settled_counts(first), extra(spark, sf), settings), settings)
     return merged.select(
@@ -524,7 +525,7 @@ def w2_deduplicate_documents(spark, sf):
 
 def merge_query(name: str, strategy: str, ctes: str) -> None:
     def run(spark, sf):
-        result = jobs.merge_augmented(originals(spark, sf), extra(spark, sf), replace(SETTINGS, strategy=strategy))
+        result = jobs.merge_augmented(settle(originals(spark, sf)), extra(spark, sf), replace(SETTINGS, strategy=strategy))
         return result.final.select(
             F.col("seq.doc").alias("doc_id"), big("seq.sent", "sent_no"), big("seq.method", "method_no"),
             "sentence", "intent", flat("entities").alias("entities"), "metadata.source")
@@ -541,7 +542,7 @@ SELECT (SELECT count(*) FROM utt) AS original_samples, (SELECT count(*) FROM ext
   (SELECT count(*) FROM chosen) AS selected_augmented, (SELECT count(*) FROM final) AS final_samples,
   (SELECT count(*) FROM merged) - (SELECT count(*) FROM final) AS duplicates_removed, 'balanced' AS strategy_used"""))
 def g10_integration_summary(spark, sf):
-    return jobs.merge_augmented(originals(spark, sf), extra(spark, sf), SETTINGS).summary
+    return jobs.merge_augmented(settle(originals(spark, sf)), extra(spark, sf), SETTINGS).summary
 
 
 # --- review ----------------------------------------------------------------
