@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiloom.llm import url_filter
+from lexiloom.llm import simhash, url_filter
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
 
@@ -29,3 +30,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, else by the regression."""
     model = url_filter.train(labelled_urls(spark))
     return url_filter.judge(load(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, model)
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), size=3, radius=3)
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
