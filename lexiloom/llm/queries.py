@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import simhash, url_filter
+from lexiloom.llm import quality_rules, simhash, url_filter
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
 
@@ -37,3 +37,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), size=3, radius=3)
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    documents = load(spark, sf_dir, "documents", "doc_id", "text")
+    forest = quality_rules.train(documents, load(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality_rules.judge(documents, forest)
