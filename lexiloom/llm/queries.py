@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import quality_rules, simhash, url_filter
+from lexiloom.llm import language_id, quality_rules, simhash, url_filter
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
 
@@ -45,3 +45,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     forest = quality_rules.train(documents, load(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality_rules.judge(documents, forest)
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    documents = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language_id.predict(documents.select("doc_id", "text"), language_id.train(documents))
