@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import language_id, quality_rules, simhash, url_filter
+from lexiloom.llm import bpe, language_id, packing, quality_rules, simhash, url_filter
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
 
@@ -52,3 +56,25 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
     documents = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return language_id.predict(documents.select("doc_id", "text"), language_id.train(documents))
+
+
+def _crc32(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 1024 tokens."""
+    return packing.pack_documents(
+        load(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+        capacity=1024, end_id=2, derive={"ids_crc32": ("long", pa.int64(), _crc32)})
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again."""
+    return bpe.encode(load(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), {
+        "n_tokens": bpe.WHOLE["n_tokens"],
+        "ids_sha256": ("string", pa.string(), lambda c: bpe.sha256(c.ids_text)),
+        "decoded_sha256": ("string", pa.string(), lambda c: bpe.sha256(c.decoded)),
+    })
