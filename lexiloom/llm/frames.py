@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.session import settle
+
 
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Some columns of a whole table."""
@@ -26,3 +28,10 @@ def per_batch(fn: Callable[[pa.RecordBatch], dict]) -> Callable[[Iterator[pa.Rec
 def without_nulls(column: str, name: str | None = None):
     """A text column in which null counts as the empty text."""
     return F.coalesce(F.col(column), F.lit("")).alias(name or column)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared work folder and read back; shuffle files that nothing refers to any more are freed."""
+    kept = settle(df)
+    df.sparkSession.sparkContext._jvm.System.gc()  # Spark's cleaner follows the driver's garbage collection
+    return kept

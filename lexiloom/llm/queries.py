@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, language_id, packing, quality_rules, simhash, url_filter
+from lexiloom.llm import bpe, language_id, packing, quality_rules, simhash, suffix_dedup, url_filter
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
 
@@ -78,3 +78,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ids_sha256": ("string", pa.string(), lambda c: bpe.sha256(c.ids_text)),
         "decoded_sha256": ("string", pa.string(), lambda c: bpe.sha256(c.decoded)),
     })
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses where strings of 400 bytes are repeated."""
+    documents = load(spark, sf_dir, "documents", "doc_id", "text")
+    spans = suffix_dedup.repeated_spans(documents, length=400)
+    lost = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    digests = spans.select("key", lost.alias("lost"), F.size("spans").cast("long").alias("runs"), F.sha2("kept", 256).alias("left"))
+    text = F.coalesce("text", F.lit(""))
+    whole = documents.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
+    zero = F.lit(0).cast("long")
+    return whole.withColumn("key", F.unhex("whole")).join(digests, "key", "left").select(
+        "doc_id", "n_bytes", F.coalesce("lost", zero).alias("n_removed"), F.coalesce("runs", zero).alias("n_spans"),
+        F.coalesce("left", "whole").alias("kept_sha256"))
