@@ -168,9 +168,10 @@ def train(documents: DataFrame, per_language: int = 800, sample: int = 8000) ->
     # A share of each language's hashes, so that rare languages are seen as often as frequent ones.
     shares = known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
     place = F.pmod("mark", F.lit(1_000_003)) / 1_000_003
-    chosen = (known.join(shares, "lang").where(place < F.col("share")).select("mark", "lang", "text")
-              .orderBy("mark", "lang").limit(sample))
-    # Put in order and bounded by its size before it goes to the driver as sparse counts.
+    marks = (known.select("mark", "lang").join(shares, "lang").where(place < F.col("share")).select("mark", "lang").distinct()
+             .orderBy("mark", "lang").limit(sample))
+    # ``sample`` pairs of a number and a language at most, so the texts needn't be shuffled.
+    chosen = known.join(F.broadcast(marks), ["mark", "lang"]).select("mark", "lang", "text").limit(sample)
     rows = chosen.mapInArrow(_vectors, "mark long, lang string, buckets array<int>, counts array<int>").toArrow()
     if not rows.num_rows:
         return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)

@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bpe, language_id, packing, quality_rules, simhash, suffix_dedup, url_filter
+from lexiloom.llm import (
+    bpe, hamming_search, language_id, packing, quality_rules, simhash, suffix_dedup, token_counts, url_filter, warc,
+)
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
 
@@ -93,3 +95,48 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.withColumn("key", F.unhex("whole")).join(digests, "key", "left").select(
         "doc_id", "n_bytes", F.coalesce("lost", zero).alias("n_removed"), F.coalesce("runs", zero).alias("n_spans"),
         F.coalesce("left", "whole").alias("kept_sha256"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, and read back through their index."""
+    pages = load(spark, sf_dir, "pages", "page_id", "url", "html")
+    archive = warc.write(pages, least_bytes=0)
+    found = warc.read(archive, warc.captures(archive))
+    kind = pages.schema["page_id"].dataType
+    return found.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+# Base32 takes five hexadecimal digits as four characters.
+ORACLES["op4_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, """ + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(x, {5 * i + 1}, 5) AS INTEGER) >> {15 - 5 * j}) & 31), 1)"
+    for i in range(8) for j in range(4)) + """ AS payload_digest,
+CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN page_id > first THEN first END AS refers_to FROM q"""
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the corpus for every context limit that is some document's length."""
+    encoded = token_counts.lengths(load(spark, sf_dir, "documents", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.with_sums(token_counts.histogram(encoded))
+
+
+@query
+def op10_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every vector whose id is divisible by 100, among all vectors."""
+    vectors = load(spark, sf_dir, "embeddings", "vec_id", "embedding").select(
+        "vec_id", hamming_search.sign_code(F.col("embedding")).alias("code"))
+    return hamming_search.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+ORACLES["op10_hamming_search"] = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CASE WHEN x >= 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
+d AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(64 - list_sum(list_transform(list_zip(a.bits, b.bits),
+  lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance FROM v a, v b WHERE a.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, vec_id, distance, rank FROM r WHERE rank <= 10"""
