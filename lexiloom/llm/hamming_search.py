@@ -20,8 +20,6 @@ Defined results
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +35,9 @@ def sign_code(vector: Column) -> Column:
     return F.when((F.size(vector) == BITS) & ~F.exists(vector, lambda x: x.isNull()), code)
 
 
-def masks(width: int, distance: int) -> list[int]:
-    return [sum(1 << b for b in bits) for bits in combinations(range(width), distance)]
+def masks(width: int, distance: int) -> Column:
+    """All values of ``width`` bits with ``distance`` of them set."""
+    return F.filter(F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda m: F.bit_count(m) == distance)
 
 
 def _first(rows: DataFrame, per: str | list[str], k: int, *order: str) -> DataFrame:
@@ -49,6 +48,8 @@ def _first(rows: DataFrame, per: str | list[str], k: int, *order: str) -> DataFr
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, segments: int = 4) -> DataFrame:
     """query_id, vec_id, distance and rank of the k nearest rows; both tables have vec_id and code."""
+    if segments < 4 or BITS % segments:
+        raise ValueError("segments must divide the bits into parts of 16 at most")
     width = BITS // segments
     low = F.lit((1 << width) - 1)
 
@@ -61,7 +62,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, segments: int =
     pending = stored(queries.where("code IS NOT NULL").select(F.col("vec_id").alias("query_id"), F.col("code").alias("q")).distinct())
     best, done = None, []
     for s in range(width + 1):
-        near = F.explode(F.array(*map(F.lit, masks(width, s))))
+        near = F.explode(masks(width, s))
         parts = pending.select("query_id", "q", F.posexplode(cut(F.col("q"))).alias("segment", "part")).withColumn("mask", near)
         probes = parts.select("query_id", "q", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("value"))
         found = probes.join(index, ["segment", "value"]).select(

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,16 +58,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(documents.select("doc_id", "text"), language_id.train(documents))
 
 
-def _crc32(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
-
-
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 1024 tokens."""
     return packing.pack_documents(
         load(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
-        capacity=1024, end_id=2, derive={"ids_crc32": ("long", pa.int64(), _crc32)})
+        capacity=1024, end_id=2, derive={"ids_crc32": packing.CRC32})
 
 
 @query
