@@ -35,11 +35,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates, the document that names it; of repeated rows of it, one."""
-    found = simhash.near_duplicates(docs, size=3, radius=3)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp")
-    first = kept.groupBy("doc_id").agg(F.min("fp").alias("fp"))
-    return docs.join(first.select("doc_id"), F.lit(True) & docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """Of each component of near-duplicates, one document: the one that names it."""
+    return simhash.one_of_each(docs, size=3, radius=3)
 
 
 def repeated_string_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

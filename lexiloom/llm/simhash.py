@@ -146,19 +146,38 @@ def links(fps: DataFrame, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
     raise AssertionError
 
 
-def near_duplicates(documents: DataFrame, size: int = 3, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
-    """doc_id, fp (long) and component_id of every row of ``documents`` (doc_id, text)."""
-    texts = documents.select("doc_id", without_nulls("text")).withColumn("key", F.unhex(F.sha2("text", 256)))
+def classified(documents: DataFrame, size: int = 3, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
+    """doc_id, key (of the text), fp (long), root (of the component, a fingerprint) and component_id of every row."""
+    texts = documents.select("doc_id", without_nulls("text")).withColumn("key", text_key(F.col("text")))
     known = settle(fingerprints(texts.select("key", "text"), size))
     rows = settle(texts.select("doc_id", "key").join(known, "key", "left")
-                  .select("doc_id", F.coalesce("fp", F.lit(0)).alias("fp")))
+                  .select("doc_id", "key", F.coalesce("fp", F.lit(0)).alias("fp")))
     least = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(links(least.select("fp"), radius, bucket_limit))
     rooted = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(ids, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(ids, "root").select("fp", "root", "component_id")
+    return rows.join(classes, "fp")
+
+
+def near_duplicates(documents: DataFrame, size: int = 3, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
+    """doc_id, fp (long) and component_id of every row of ``documents`` (doc_id, text)."""
+    return classified(documents, size, radius, bucket_limit).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(documents: DataFrame, size: int = 3, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
+    """One row of every component, that of the least id (null comes last; of equal ids, the least text hash)."""
+    found = classified(documents, size, radius, bucket_limit)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    chosen = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("id"), F.col("first.key").alias("chosen"))
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", text_key(F.coalesce("text", F.lit(""))).alias("key"))
+    same = (rows["key"] == chosen["chosen"]) & rows["doc_id"].eqNullSafe(chosen["id"])
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("row.*")
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
 
 
 def hex_fingerprint(fp: Column) -> Column:

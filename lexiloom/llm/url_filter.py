@@ -112,12 +112,13 @@ def judge(urls: DataFrame, rules: list[Rule], model: Model, threshold: float = 0
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are allowed")
     ordered = sorted(set(rules), key=lambda r: (-len(r.text), r.text))
     kept = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score")]
-    scored = unwanted(url_features(urls.select(*kept)), model)
+    rows = urls.select(F.struct(*kept).alias("row"), F.col("url"))
+    scored = unwanted(url_features(rows), model)
     host, path = F.col("_host"), F.col("_path")
     first = F.coalesce(F.lit(None), *(
         F.when(fits(r, host, path), F.struct(F.lit(r.text).alias("rule"), F.lit(r.verdict).alias("verdict")))
         for r in ordered)) if ordered else F.lit(None).cast("struct<rule:string,verdict:string>")
     learned = F.when(F.col("score") > threshold, "block").otherwise("allow")
     return scored.withColumn("_first", first).select(
-        *kept, host.alias("host"), path.alias("path"), F.col("_first.rule").alias("rule"),
+        "row.*", host.alias("host"), path.alias("path"), F.col("_first.rule").alias("rule"),
         F.coalesce(F.col("_first.verdict"), learned).alias("verdict"), "score")
