@@ -50,7 +50,7 @@ TRIGGER = 16
 TRIGGER_BITS = 6
 BANDS = (128, 16, 1)
 CHUNK = 1 << 20
-# A place is 18 bits of partition, 37 of an address in it and 8 of a band's width.
+# A place is 18 bits of partition, 37 of an address in it (of the band's anchor) and 8 of the width down to the least start.
 # Every document starts at a page of its own.
 WIDTH_BITS, ADDRESS_BITS, PAGE_BITS = 8, 37, 14
 _random = np.random.default_rng(20)
@@ -81,13 +81,14 @@ class Names:
         raw ^= raw >> np.uint64(29)
         return (raw * _MIX).view(np.int64)
 
+    def rolling(self, first: int, last: int) -> np.ndarray:
+        """Hashes of the TRIGGER bytes behind each position from first until last."""
+        raw = (self.sums[0][first + TRIGGER:last + TRIGGER] - self.sums[0][first:last]) * Names.powers[0][1][first:last]
+        return raw * _MIX
+
     def triggers(self) -> np.ndarray:
         """Positions whose next TRIGGER bytes are a trigger string."""
-        n = self.size - TRIGGER + 1
-        if n <= 0:
-            return np.zeros(0, np.int64)
-        raw = (self.sums[0][TRIGGER:] - self.sums[0][:n]) * Names.powers[0][1][:n]
-        return np.flatnonzero((raw * _MIX) >> np.uint64(64 - TRIGGER_BITS) == 0)
+        return np.flatnonzero(self.rolling(0, max(self.size - TRIGGER + 1, 0)) >> np.uint64(64 - TRIGGER_BITS) == 0)
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,20 +98,44 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[of] + np.arange(len(of)) - np.repeat(count.cumsum() - count, count), of
 
 
-def split(names: Names, anchor: np.ndarray, low: np.ndarray, last: np.ndarray, length: int, width: int):
-    """(anchor, low, c, f, source) of the bands of ``width`` starts below each anchor, down to low; last: the document's last start."""
+def split(names: Names, anchor: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, width: int):
+    """(anchor, low, skip, c, f, source) of the bands of ``width`` starts that hold the starts from low to high.
+
+    Bands hang below their anchors; ``skip`` starts right at the anchor are not of the band, but of another.
+    """
     k, of = _ranges(np.zeros(len(anchor), np.int64), (anchor - low) // width)
-    top, least, last = anchor[of] - k * width, low[of], last[of]
-    bottom = np.maximum(top - width + 1, least)
+    top = anchor[of] - k * width
+    bottom, last = np.maximum(top - width + 1, low[of]), np.minimum(top, high[of])
     kept = bottom <= last
     top, bottom, last, of = top[kept], bottom[kept], last[kept], of[kept]
-    c = names.of(0, top, top - width + 1 + length)
-    f = names.of(1, bottom, np.minimum(top, last) + length)
-    return top, bottom, c, f, of
+    return top, bottom, top - last, names.of(0, top, top - width + 1 + length), names.of(1, bottom, last + length), of
+
+
+def _least_anchors(names: Names, low: int, high: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For starts without a trigger in their string: anchors instead, and the least start of each (they ascend).
+
+    The anchor is the place in the string whose rolling hash is least, the first of equal ones.
+    """
+    reach = length - TRIGGER + 1
+    found = []
+    for first in range(low, high + 1, CHUNK):
+        last = min(high, first + CHUNK - 1)
+        count = last - first + reach
+        least = (names.rolling(first, first + count) >> np.uint64(24) << np.uint64(24)) | np.arange(count, dtype=np.uint64)
+        size = 1
+        while 2 * size <= reach:
+            least = np.minimum(least[:-size], least[size:])
+            size *= 2
+        n = last - first + 1
+        least = np.minimum(least[:n], least[reach - size:reach - size + n])
+        anchor = first + (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+        opens = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        found.append((anchor[opens], first + opens))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
 def first_bands(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int):
-    """(document, anchor, low, c, f) of all bands of the documents that lie in ``data`` from starts to ends."""
+    """(document, anchor, low, skip, c, f) of all bands of the documents that lie in ``data`` from starts to ends."""
     names = Names(data)
     at = names.triggers()
     document = np.searchsorted(starts, at, side="right") - 1
@@ -120,15 +145,22 @@ def first_bands(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     before = np.where(fresh, starts[document] - 1, np.append(-1, at[:-1])[:len(at)])
     # Starts whose first trigger lies in the string; the rest have none in it and stand alone.
     reach = np.maximum(before + 1, at - (length - TRIGGER))
-    bands = split(names, at, reach, ends[document] - length, length, BANDS[0])
+    bands = split(names, at, reach, np.minimum(at, ends[document] - length), length, BANDS[0])
     final = starts - 1
     final[document] = at  # the last trigger of a document is the one that stays
     low, high = np.append(before + 1, final + 1), np.append(reach - 1, ends - length)
-    alone, of = _ranges(low, np.minimum(high, np.append(ends[document], ends) - length))
-    owner = np.append(document, np.arange(len(starts)))[of]
-    single = names.of(0, alone, alone + length), names.of(1, alone, alone + length)
-    return (np.append(document[bands[4]], owner), np.append(bands[0], alone), np.append(bands[1], alone),
-            np.append(bands[2], single[0]), np.append(bands[3], single[1]))
+    owner = np.append(document, np.arange(len(starts)))
+    high = np.minimum(high, ends[owner] - length)
+    some = np.flatnonzero(low <= high)
+    runs = [_least_anchors(names, int(low[i]), int(high[i]), length) for i in some]
+    if not runs:
+        return document[bands[5]], *bands[:5]
+    anchor, least = (np.concatenate(x) for x in zip(*runs))
+    of = np.repeat(some, [len(a) for a, _ in runs])
+    # The starts of an anchor end where those of the next one, or the run, do.
+    upto = np.where(np.append(of[1:] == of[:-1], False), np.append(least[1:], 0) - 1, high[of])
+    more = split(names, anchor, least, upto, length, BANDS[0])
+    return tuple(np.append(x, y) for x, y in zip((document[bands[5]], *bands[:5]), (owner[of][more[5]], *more[:5])))
 
 
 def _parse(length: int):
@@ -146,7 +178,7 @@ def _parse(length: int):
                     continue
                 first = offsets[rows[0]]
                 starts, ends = offsets[rows] - first, offsets[rows + 1] - first
-                owner, anchor, low, c, f = first_bands(whole[first:offsets[rows[-1] + 1]], starts, ends, length)
+                owner, anchor, low, skip, c, f = first_bands(whole[first:offsets[rows[-1] + 1]], starts, ends, length)
                 pages = ((ends - starts) >> PAGE_BITS) + 1
                 base = (partition << ADDRESS_BITS) + ((page + pages.cumsum() - pages) << PAGE_BITS)
                 page += int(pages.sum())
@@ -155,21 +187,47 @@ def _parse(length: int):
                 yield pa.RecordBatch.from_pydict({
                     "c": pa.array(np.append(c, np.zeros(d, np.int64))), "f": pa.array(np.append(f, np.zeros(d, np.int64))),
                     "place": pa.array(np.append(place, base << WIDTH_BITS)),
+                    "skip": pa.array(np.append(skip, np.zeros(d, np.int64)).astype(np.int32)),
                     "key": pa.concat_arrays([pa.nulls(n, pa.binary()), batch.column("key").take(pa.array(rows))]),
                     "n_bytes": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(ends - starts)])})
     return run
 
 
+def _listed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """anchor, low and high of each row's bands."""
+    lists = batch.column("bands")
+    columns = [lists.values.field(c).to_numpy() for c in ("anchor", "low", "high")]
+    offsets = lists.offsets.to_numpy()
+    for a, b in zip(offsets[:-1], offsets[1:]):
+        yield tuple(c[a:b] for c in columns)
+
+
+def _union(low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+    """The maximal runs (start, end) that the strings from low to high of each band cover."""
+    order = np.argsort(low, kind="stable")
+    low, end = low[order], np.maximum.accumulate(high[order] + length)
+    opens = np.flatnonzero(np.append(True, low[1:] > end[:-1]))
+    return np.stack([low[opens], end[np.append(opens[1:] - 1, len(end) - 1)]], 1)
+
+
+def _uncovered(length: int):
+    """The keys of texts that keep a part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = [_union(*bands[1:], length).tolist() == [[0, n]] for n, bands in zip(batch.column("n_bytes").to_pylist(), _listed(batch))]
+            yield batch.select(["key"]).filter(pa.array([not w for w in whole], pa.bool_()))
+    return run
+
+
 def _resplit(length: int, width: int):
     """Bands of ``width`` of the listed bands (anchor, low) of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for base, text, listed in zip(*(batch.column(c).to_pylist() for c in ("base", "text", "bands"))):
-                data = np.frombuffer(text.encode(), np.uint8)
-                anchor, low = np.array([(b["anchor"], b["low"]) for b in listed], np.int64).T
-                last = np.full(len(anchor), len(data) - length)
-                top, bottom, c, f, _ = split(Names(data), anchor, low, last, length, width)
-                yield pa.RecordBatch.from_pydict({"c": c, "f": f, "place": ((base + top) << WIDTH_BITS) + (top - bottom + 1)})
+            for base, text, (anchor, low, high) in zip(batch.column("base").to_pylist(), batch.column("text"), _listed(batch)):
+                data = np.frombuffer(text.as_py().encode(), np.uint8)
+                top, bottom, skip, c, f, _ = split(Names(data), anchor, low, high, length, width)
+                yield pa.RecordBatch.from_pydict({
+                    "c": c, "f": f, "place": ((base + top) << WIDTH_BITS) + (top - bottom + 1), "skip": skip.astype(np.int32)})
     return run
 
 
@@ -177,18 +235,20 @@ def resolve(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Places of bands all of whose starts are repeated, and of those that must be split: one of each different whole."""
     shared = bands.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
     open_cores = stored(bands.join(shared, "c", "left_semi"))
-    wholes = stored(open_cores.groupBy("c", "f").agg(F.count("*").alias("n"), F.min("place").alias("place")))
-    repeated = open_cores.join(wholes.where("n > 1").select("c", "f"), ["c", "f"], "left_semi").select("place")
+    wholes = stored(open_cores.groupBy("c", "f").agg(F.count("*").alias("n"), F.min("place").alias("place"),
+                                                    F.min_by("skip", "place").alias("skip")))
+    repeated = open_cores.join(wholes.where("n > 1").select("c", "f"), ["c", "f"], "left_semi").select("place", "skip")
     undecided = wholes.where("n = 1").select("c").distinct()
-    return stored(repeated), stored(wholes.join(undecided, "c", "left_semi").select("place"))
+    return stored(repeated), stored(wholes.join(undecided, "c", "left_semi").select("place", "skip"))
 
 
 def _located(places: DataFrame, pages: DataFrame) -> DataFrame:
-    """key, base, n_bytes, anchor and low of each place."""
+    """key, base, n_bytes, and the anchor, least and last start of each place."""
     found = places.withColumn("page", F.shiftright("place", WIDTH_BITS + PAGE_BITS)).join(pages, "page")
     anchor = F.shiftright("place", WIDTH_BITS) - F.col("base")
     width = F.col("place").bitwiseAND(F.lit((1 << WIDTH_BITS) - 1))
-    return found.select("key", "base", "n_bytes", anchor.alias("anchor"), (anchor - width + 1).alias("low"))
+    return found.select("key", "base", "n_bytes", anchor.alias("anchor"), (anchor - width + 1).alias("low"),
+                        (anchor - F.col("skip")).alias("high"))
 
 
 def key_of(text: Column) -> Column:
@@ -199,26 +259,27 @@ def _spans(length: int):
     """The maximal removed runs of each text, and the bytes that remain (none where the text isn't needed for them)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, kept = [], []
-            for n, text, listed in zip(*(batch.column(c).to_pylist() for c in ("n_bytes", "text", "bands"))):
-                low, anchor = np.array(sorted((b["low"], b["anchor"]) for b in listed), np.int64).T
-                end = np.maximum.accumulate(np.minimum(anchor + length, n))
-                opens = np.append(True, low[1:] > end[:-1])
-                runs = np.stack([low[opens], end[np.append(np.flatnonzero(opens)[1:] - 1, len(end) - 1)]], 1)
-                data = (text or "").encode()
+            spans, kept, texts = [], [], []
+            for n, text, bands in zip(batch.column("n_bytes").to_pylist(), batch.column("text"), _listed(batch)):
+                runs = _union(*bands[1:], length)
+                data = (text.as_py() or "").encode()
                 edges = [0, *runs.ravel().tolist(), n]
-                spans.append([{"start": int(a), "end": int(b)} for a, b in runs])
+                spans.append([{"start": a, "end": b} for a, b in runs.tolist()])
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                texts.append(kept[-1].decode(errors="ignore"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], ["key", "spans", "kept"])
+                 pa.array(kept, pa.binary()), pa.array(texts, pa.string())], ["key", "spans", "kept", "kept_text"])
     return run
 
 
 def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
-    """key (SHA-256), spans and kept (bytes) of every different text of ``documents`` with something to remove."""
+    """key (SHA-256), spans, kept (bytes) and kept_text of every different text of ``documents`` with something to remove.
+
+    ``kept_text`` lacks the characters that were cut in two.
+    """
     texts = documents.select(without_nulls("text")).withColumn("key", key_of(F.col("text")))
-    parsed = stored(texts.mapInArrow(_parse(length), "c long, f long, place long, key binary, n_bytes long"))
+    parsed = stored(texts.mapInArrow(_parse(length), "c long, f long, place long, skip int, key binary, n_bytes long"))
     heads = parsed.where("n_bytes IS NOT NULL").select(F.shiftright("place", WIDTH_BITS).alias("base"), "key", "n_bytes")
     pages = heads.select("*", F.explode(F.sequence(
         F.shiftright("base", PAGE_BITS), F.shiftright("base", PAGE_BITS) + F.shiftright("n_bytes", PAGE_BITS))).alias("page"))
@@ -226,33 +287,32 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
     def gathered(places: DataFrame) -> DataFrame:
         """The bands of each document, as many as its length allows."""
         return _located(places, pages).groupBy("base", "key", "n_bytes").agg(
-            F.collect_list(F.struct("anchor", "low")).alias("bands"))
+            F.collect_list(F.struct("anchor", "low", "high")).alias("bands"))
 
-    repeated, pending = resolve(parsed.where("n_bytes IS NULL").select("c", "f", "place"))
-    starts = F.least("anchor", F.col("n_bytes") - length) - F.col("low") + 1
-    partly = _located(repeated, pages).groupBy("base", "key", "n_bytes").agg(F.sum(starts).alias("n")).where(
-        F.col("n") <= F.col("n_bytes") - length)
+    repeated, pending = resolve(parsed.where("n_bytes IS NULL").select("c", "f", "place", "skip"))
+    partly = gathered(repeated).select("key", "n_bytes", "bands").mapInArrow(_uncovered(length), "key binary")
     # Only texts that are split further or keep a part are needed again, one of each.
-    wanted = partly.select("key").union(_located(pending, pages).select("key")).distinct()
+    wanted = partly.union(_located(pending, pages).select("key")).distinct()
     needed = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
     found = repeated
     for width in BANDS[1:]:
         listed = gathered(pending).join(needed, "key").select("base", "text", "bands")
-        bands = stored(listed.mapInArrow(_resplit(length, width), "c long, f long, place long"))
+        bands = stored(listed.mapInArrow(_resplit(length, width), "c long, f long, place long, skip int"))
         more, pending = resolve(bands)
         found = found.union(more)
     # Copies have the same spans: one of them is enough.
     one = gathered(found).groupBy("key").agg(F.min("base").alias("base"))
     spans = gathered(found).join(one, ["base", "key"], "left_semi").join(needed, "key", "left")
     return stored(spans.select("key", "n_bytes", "text", "bands").mapInArrow(
-        _spans(length), "key binary, spans array<struct<start:long,end:long>>, kept binary"))
+        _spans(length), "key binary, spans array<struct<start:long,end:long>>, kept binary, kept_text string"))
 
 
 def cut_documents(documents: DataFrame, length: int = 400) -> DataFrame:
-    """Every row without its repeated bytes: text (what is left of a character that was cut goes) and n_chars."""
-    spans = repeated_spans(documents, length)
-    joined = documents.withColumn("_key", key_of(without_nulls("text"))).join(
-        spans.select(F.col("key").alias("_key"), F.col("kept").alias("_kept")), "_key", "left")
-    left = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.col("_left"))
-    whole = joined.withColumn("_left", F.regexp_replace(F.try_validate_utf8(F.col("_kept").cast("string")), "�", ""))
-    return whole.withColumn("text", left).select(*documents.columns)
+    """Every row without its repeated bytes, in text and, where there is such a column, n_chars."""
+    spans = repeated_spans(documents, length).select("key", "kept_text")
+    rows = documents.select(F.struct("*").alias("row"), key_of(F.coalesce("text", F.lit(""))).alias("key"))
+    kept, row = F.col("kept_text"), F.col("row")
+    changed = row.withField("text", F.coalesce(kept, row["text"]))
+    if "n_chars" in documents.columns:
+        changed = changed.withField("n_chars", F.when(kept.isNull(), row["n_chars"]).otherwise(F.char_length(kept)))
+    return rows.join(spans, "key", "left").select(changed.alias("row")).select("row.*")
