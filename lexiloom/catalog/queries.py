@@ -444,19 +444,21 @@ _TARGETS = """original_counts AS (SELECT intent, count(*) AS n FROM utt GROUP BY
 targets AS (SELECT intent, n, CASE WHEN n < m * 0.5 THEN m - n ELSE 0 END AS target
   FROM original_counts, (SELECT max(n) AS m FROM original_counts))"""
 _BALANCED = _SETS + ",\n" + _TARGETS + """,
-chosen AS (SELECT * FROM (SELECT extra.*, target, row_number() OVER (PARTITION BY intent ORDER BY doc_id, sent_no, method_no) AS rn
-  FROM extra JOIN targets USING (intent)) WHERE rn <= target)"""
+turns AS (SELECT intent, row_number() OVER (ORDER BY place) AS turn FROM (
+  SELECT intent, min(doc_id * 1000000 + sent_no) AS place FROM utt GROUP BY 1)),
+chosen AS (SELECT * FROM (SELECT extra.*, target, turn, row_number() OVER (PARTITION BY intent ORDER BY doc_id, sent_no, method_no) AS rn
+  FROM extra JOIN targets USING (intent) JOIN turns USING (intent)) WHERE rn <= target)"""
 _SELECTIVE = _SETS + """,
-chosen AS (SELECT * FROM extra WHERE
+chosen AS (SELECT *, 0 AS turn FROM extra WHERE
   intent IN (SELECT intent FROM utt GROUP BY 1 HAVING count(*) < (SELECT count(*) FROM utt) * 0.05)
   OR list_has_any(list_transform(entities, lambda e: e.type), (SELECT list(t) FROM (
     SELECT t FROM (SELECT unnest(list_transform(entities, lambda e: e.type)) AS t FROM utt) GROUP BY 1
     HAVING count(*) < (SELECT count(*) FROM utt) * 0.05))))"""
 _MERGED = """,
 merged AS (
-  SELECT 0 AS side, doc_id, sent_no, 0 AS method_no, sentence, intent, entities, 'original' AS source FROM utt
-  UNION ALL SELECT 1, doc_id, sent_no, method_no, sentence, intent, entities, 'augmentation' FROM chosen),
-final AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(sentence) ORDER BY side, doc_id, sent_no, method_no) AS k
+  SELECT 0 AS side, 0 AS turn, doc_id, sent_no, 0 AS method_no, sentence, intent, entities, 'original' AS source FROM utt
+  UNION ALL SELECT 1, turn, doc_id, sent_no, method_no, sentence, intent, entities, 'augmentation' FROM chosen),
+final AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(sentence) ORDER BY side, turn, doc_id, sent_no, method_no) AS k
   FROM merged) WHERE k = 1)"""
 _KEYS = "doc_id, sent_no, method_no, sentence, intent"
 
@@ -532,7 +534,7 @@ def merge_query(name: str, strategy: str, ctes: str) -> None:
     query(name, O.sql(ctes + _MERGED, f"SELECT {_KEYS}, {O.flat('entities')} AS entities, source FROM final"))(run)
 
 
-merge_query("j3_merge_all", "all", _SETS + ",\nchosen AS (SELECT * FROM extra)")
+merge_query("j3_merge_all", "all", _SETS + ",\nchosen AS (SELECT *, 0 AS turn FROM extra)")
 merge_query("j3_merge_balanced", "balanced", _BALANCED)
 merge_query("j3_merge_selective", "selective", _SELECTIVE)
 
@@ -801,6 +803,68 @@ def s7_k1_training_roundtrip(spark, sf):
         big("_quality_score", "_quality_score"), big("_sample_id", "_sample_id"))
 
 
+@query("s7_k2_json_roundtrip", O.sql(O.UTT, f"SELECT sentence, intent, {O.flat('entities')} AS entities FROM utt"))
+def s7_k2_json_roundtrip(spark, sf):
+    """A training set exported as JSON in several part files, read back whole."""
+    path = writers.export_for_training(T.utterances(spark, sf).repartition(4), work_folder(spark), "json")
+    return readers.read_training_set(spark, path).select("sentence", "intent", flat("entities").alias("entities"))
+
+
+@query("s3_mixed_headers", O.sql(O.REVIEW, """
+SELECT sid AS sample_id, CASE WHEN doc_id % 2 = 0 THEN comments END AS comments, nullif(ap, '') AS approved FROM review"""))
+def s3_mixed_headers(spark, sf):
+    """One batch of files with twelve columns and with eleven."""
+    path = work_folder(spark)
+    rows = T.reviews(spark, sf)
+    even = F.col("Sample_ID").cast("bigint") % 2 == 0
+    writers.write_review(rows.filter(even), f"{path}/review_samples_1.csv")
+    writers.write_review(rows.filter(~even).drop("Comments"), f"{path}/review_samples_2.csv")
+    return readers.read_review(spark, f"{path}/*.csv").select(
+        F.col("Sample_ID").alias("sample_id"), F.col("Comments").alias("comments"), F.col("Approved_Yes_No").alias("approved"))
+
+
+@query("p5_large_ids", O.sql(O.FINAL, "SELECT doc_id + 3000000000000 AS sample_id FROM final WHERE approved"))
+def p5_large_ids(spark, sf):
+    far = (F.col("Sample_ID").cast("bigint") + 3_000_000_000_000).cast("string")
+    return review.final_samples(T.reviews(spark, sf).withColumn("Sample_ID", far), SETTINGS).select("sample_id")
+
+
+def odd_entity_lines(spark, sf):
+    """Utterances as JSON lines: entities as they are, among text, or no array at all."""
+    path, typed = work_folder(spark), F.to_json("entities")
+    shape = F.col("seq.doc") % 3
+    loose = F.concat(F.lit('["loose"'), F.when(F.size("entities") > 0, ",").otherwise(""), F.substring(typed, F.lit(2), F.char_length(typed)))
+    entities = F.when(shape == 0, typed).when(shape == 1, loose).otherwise('"none"')
+    T.utterances(spark, sf).select(F.to_json(F.struct("sentence", "intent", F.parse_json(entities).alias("entities")))).write.text(path)
+    return path
+
+
+@query("s1_odd_entities", O.sql(O.UTT, f"SELECT sentence, intent, CASE WHEN doc_id % 3 = 2 THEN '' ELSE {O.flat('entities')} END AS entities FROM utt"))
+def s1_odd_entities(spark, sf):
+    return readers.read_utterances(spark, odd_entity_lines(spark, sf)).select("sentence", "intent", flat("entities").alias("entities"))
+
+
+@query("s2_odd_entities", O.sql(O.UTT, f"SELECT sentence, CASE WHEN doc_id % 3 < 2 THEN {O.flat('entities')} END AS entities FROM utt"))
+def s2_odd_entities(spark, sf):
+    return readers.read_lenient(spark, odd_entity_lines(spark, sf)).select("sentence", flat("entities").alias("entities"))
+
+
+@query("p9_odd_entity_issues", O.sql(O.UTT, """
+SELECT CASE doc_id % 3 WHEN 1 THEN '"loose"' ELSE '"none"' END AS entity, count(*) AS n FROM utt WHERE doc_id % 3 > 0 GROUP BY 1"""))
+def p9_odd_entity_issues(spark, sf):
+    return readers.odd_entities(spark, odd_entity_lines(spark, sf)).groupBy("entity").agg(F.count("*").alias("n"))
+
+
+@query("k11_final_set_twice", O.sql(O.FINAL, "SELECT doc_id AS _sample_id, 'batch' AS batch FROM final WHERE approved"))
+def k11_final_set_twice(spark, sf):
+    """A batch written twice is there once."""
+    path = work_folder(spark)
+    final = review.training_shape(review.final_samples(T.reviews(spark, sf), SETTINGS))
+    for batch in ("other", "batch", "batch"):
+        writers.write_final(final, path, batch)
+    return spark.read.schema("_sample_id bigint, batch string").json(path).filter("batch = 'batch'")
+
+
 @query("k2_augmentation_envelope", O.sql(O.CAND, "SELECT 'batch' AS timestamp, count(*) AS total_augmentations FROM variants WHERE failed_rule IS NULL"))
 def k2_augmentation_envelope(spark, sf):
     path = work_folder(spark)

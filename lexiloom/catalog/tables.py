@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from lexiloom.config import Settings, Vocabulary
 from lexiloom.functions.text import strip, words
 from lexiloom.schema import ENTITIES_DDL
-from lexiloom.session import spread
+
+#: Into how many partitions to deal the source tables; None leaves their scans alone. For
+#: files of a single row group, which are one task otherwise.
+PARTITIONS: int | None = None
 
 # Frequent words of the four languages of the tables.
 VOCABULARY = Vocabulary(
@@ -42,9 +45,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    return df if PARTITIONS is None else df.repartition(PARTITIONS, *keys)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Whole documents, pruned to some columns."""
-    return spread(load(spark, sf_dir, "documents").select(*columns), "doc_id")
+    return dealt(load(spark, sf_dir, "documents").select(*columns), "doc_id")
 
 
 def _entity(when: Column, kind: Column, filler: Column) -> Column:
@@ -84,7 +91,7 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation turn, the whole turn as its sentence and the role as its intent."""
-    said = spread(load(spark, sf_dir, "conversations"), "conv_id")
+    said = dealt(load(spark, sf_dir, "conversations"), "conv_id")
     rows = said.withColumn("w", words(F.col("text"))).withColumn("n", F.size("w"))
     return rows.select(
         F.concat_ws("-", "conv_id", "turn").alias("sample_id"),
@@ -157,7 +164,7 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event properties as entity JSON: intact, with bare words, quoted, without commas, cut off, blank."""
-    e = spread(load(spark, sf_dir, "events").select("event_id", "event_type", "props"), "event_id")
+    e = dealt(load(spark, sf_dir, "events").select("event_id", "event_type", "props"), "event_id")
     k = F.regexp_extract("props", r"(\d+)", 1)
     i = F.col("event_id") % 8
     text = (

@@ -27,14 +27,18 @@ def normalise(entities: Column) -> Column:
     return F.filter(cleaned, lambda e: (e["type"] != "") & (e["filler"] != ""))
 
 
-def normalise_variant(entities: Column) -> Column:
-    """``normalise`` over a VARIANT column; elements that are not objects are dropped."""
+def objects(entities: Column) -> Column:
+    """The objects of a VARIANT array as typed entities; what is no array holds none."""
     items = F.coalesce(F.try_variant_get(entities, "$", "array<variant>"), F.array().cast("array<variant>"))
-    objects = F.filter(items, is_object)
-    return normalise(F.transform(objects, lambda e: F.struct(
+    return F.transform(F.filter(items, is_object), lambda e: F.struct(
         F.try_variant_get(e, "$.type", "string").alias("type"),
         F.try_variant_get(e, "$.filler", "string").alias("filler"),
-    )))
+    ))
+
+
+def normalise_variant(entities: Column) -> Column:
+    """``normalise`` over a VARIANT column; elements that are not objects are dropped."""
+    return normalise(objects(entities))
 
 
 def is_object(value: Column) -> Column:

@@ -7,6 +7,7 @@ and exploded; nothing here shuffles.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -105,7 +106,8 @@ def replace_action(sentence: Column, sample: Column, settings: Settings) -> Colu
 
     def swapped(w: Column, at: Column) -> Column:
         new = choose(F.try_element_at(synonyms, F.lower(F.get(w, (at - 1).cast("int")))), drawn)
-        return F.when(at == 0, w).otherwise(F.concat(
+        # NULL, an error, for an action without synonyms.
+        return F.when(at == 0, w).when(new.isNotNull(), F.concat(
             F.slice(w, F.lit(1), (at - 1).cast("int")), F.array(new),
             F.slice(w, (at + 1).cast("int"), F.size(w))))
 
@@ -141,7 +143,7 @@ def add_politeness(sentence: Column, entities: Column, sample: Column, settings:
 
 def _moved(sentence: Column, markers: tuple[str, ...], keep_tail: bool) -> tuple[Column, Column]:
     """(found, text with the first marked expression moved to the front)."""
-    one = "|".join(markers)
+    one = "|".join(map(re.escape, markers))
     # The lead runs from the start of the marker's line. Anchoring it there keeps
     # the search linear, and the look-ahead test skips it for most sentences.
     pattern = rf"(?:^|\n)([^\n]*?)({one}) ([^,{BLANK}]+)([{BLANK}]|,|$)"
@@ -258,7 +260,7 @@ def candidates(
             t["out"]["sentence"].alias("augmented_sentence"),
             t["out"]["entities"].alias("augmented_entities"),
             size.alias("augmented_length"),
-            F.when(was > 0, rule).alias("failed_rule"),
+            F.when((was > 0) & t["out"]["sentence"].isNotNull(), rule).alias("failed_rule"),
         )
 
     # A variant is judged where it is made, before the explode: a later filter on
@@ -270,7 +272,8 @@ def candidates(
     tries = F.transform(F.transform(made, split_once), judged)
     fanned = prepared.select(*carried, "sentence", "intent", "entities", "_was",
                              F.posexplode(tries).alias("method_no", "_try"))
-    error = F.when(was == 0, "division by zero")
+    made_one = F.col("_try.augmented_sentence").isNotNull()
+    error = F.when(was == 0, "division by zero").when(~made_one, "no synonym to choose")
     return fanned.select(
         *carried, "method_no",
         sentence.alias("original_sentence"),
@@ -287,7 +290,7 @@ def candidates(
             (F.col("_try.augmented_length") / F.nullif(was, F.lit(0))).alias("length_ratio"),
             (F.size("_try.augmented_entities") == F.size(entities)).alias("entity_count_preserved"),
         ).alias("metadata"),
-        (F.col("_try.failed_rule").isNull() & (was > 0)).alias("quality_passed"),
+        (F.col("_try.failed_rule").isNull() & (was > 0) & made_one).alias("quality_passed"),
         F.col("_try.failed_rule"),
         error.alias("error"),
     )

@@ -67,17 +67,35 @@ def balance_targets(original_counts: DataFrame) -> DataFrame:
     )
 
 
+def first_seen(original: DataFrame) -> DataFrame:
+    """``(intent, turn)``: where each intent of the original set occurs first."""
+    return original.groupBy(F.coalesce("intent", F.lit("unknown")).alias("intent")).agg(F.min("seq").alias("turn"))
+
+
 def balanced(augmented: DataFrame, original_counts: DataFrame,
-             target_distribution: Mapping[str, int] | None = None) -> DataFrame:
-    """The first rows of each under-represented intent, up to its target."""
+             target_distribution: Mapping[str, int] | None = None,
+             turns: DataFrame | None = None) -> DataFrame:
+    """The first rows of each under-represented intent, up to its target.
+
+    The selection goes intent by intent: in the order of ``target_distribution``,
+    or else of ``turns`` (``first_seen`` of the original set). With either,
+    ``seq`` gains a leading field ``turn``, so that order decides which copy a
+    later de-duplication keeps.
+    """
     if target_distribution:
-        targets = augmented.sparkSession.createDataFrame(
-            list(target_distribution.items()), "intent string, target bigint")
+        given = [(intent, n, i) for i, (intent, n) in enumerate(target_distribution.items())]
+        targets = augmented.sparkSession.createDataFrame(given, "intent string, target bigint, turn int")
     else:
         targets = balance_targets(original_counts).select("intent", "target")
+        targets = targets if turns is None else targets.join(turns, "intent")
     named = augmented.withColumn("_intent", F.coalesce("intent", F.lit("unknown")))
-    wanted = targets.filter("target > 0").select(F.col("intent").alias("_intent"), "target")
-    return first_n_per_group(named, "_intent", wanted).select(*augmented.columns)
+    wanted = targets.filter("target > 0").withColumnRenamed("intent", "_intent")
+    chosen = first_n_per_group(named, "_intent", wanted.select("_intent", "target"))
+    if "turn" not in wanted.columns:
+        return chosen.select(*augmented.columns)
+    order = F.struct("turn", *[F.col(f"seq.{f}").alias(f) for f in augmented.schema["seq"].dataType.names])
+    placed = chosen.join(wanted.select("_intent", "turn"), "_intent").withColumn("seq", order)
+    return placed.select(*augmented.columns)
 
 
 def selective(augmented: DataFrame, original_counts: DataFrame) -> DataFrame:
@@ -93,11 +111,12 @@ def selective(augmented: DataFrame, original_counts: DataFrame) -> DataFrame:
 
 
 def balance(original_counts: DataFrame, augmented: DataFrame, settings: Settings,
-            target_distribution: Mapping[str, int] | None = None) -> DataFrame:
+            target_distribution: Mapping[str, int] | None = None,
+            turns: DataFrame | None = None) -> DataFrame:
     if settings.strategy == "all":
         return augmented
     if settings.strategy == "balanced":
-        return balanced(augmented, original_counts, target_distribution)
+        return balanced(augmented, original_counts, target_distribution, turns)
     if settings.strategy == "selective":
         return selective(augmented, original_counts)
     raise ValueError(f"Unknown strategy: {settings.strategy}")
@@ -111,10 +130,15 @@ def merge(original: DataFrame, augmented: DataFrame, settings: Settings) -> Data
     """Original rows (unless switched off), then augmented ones, tagged with their source.
 
     The tag overwrites what an original row carries, and is only added to an
-    augmented row that has none. ``seq`` gains a leading field for the side.
+    augmented row that has none. ``seq`` gains leading fields: the side and, for
+    a selection made intent by intent, the intent's turn (NULL for original rows).
     """
+    ordered = {f.name: f.dataType for f in augmented.schema["seq"].dataType.fields}
+
     def placed(df: DataFrame, side: int) -> DataFrame:
         fields = [F.col(f"seq.{f}").alias(f) for f in df.schema["seq"].dataType.names]
+        if "turn" in ordered and side == 0:
+            fields.insert(0, F.lit(None).cast(ordered["turn"]).alias("turn"))
         return df.withColumn("seq", F.struct(F.lit(side).alias("side"), *fields))
 
     first, second = placed(original, 0), placed(augmented, 1)
@@ -131,11 +155,13 @@ def deduplicate(df: DataFrame) -> DataFrame:
     """The first row per trimmed lower-case sentence; rows without text are dropped.
 
     ``row_number() = 1`` keeps one row per sentence in each map task before the
-    shuffle, so copies of a hot sentence do not travel.
+    shuffle, so copies of a hot sentence do not travel; sentences are compared
+    by their SHA-256, so a text travels once at most, and not at all where the
+    result lacks it.
     """
-    key = F.lower(strip(F.coalesce("sentence", F.lit(""))))
+    plain = F.lower(strip(F.coalesce("sentence", F.lit(""))))
     return (
-        df.withColumn("_key", key).filter("_key <> ''")
+        df.filter(plain != "").withColumn("_key", F.unhex(F.sha2(plain, 256)))
         .withColumn("_rank", F.row_number().over(Window.partitionBy("_key").orderBy("seq")))
         .filter("_rank = 1").drop("_key", "_rank")
     )

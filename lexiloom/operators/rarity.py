@@ -2,57 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
 from lexiloom.functions.entities import types_of
 from lexiloom.operators.profile import INTENT, TYPE
 
-# Up to this many label names become a literal hash set in the plan; a longer
-# list stays a table and is joined.
-LITERAL_LABELS = 1000
-
-
-def _names(labels: DataFrame) -> list[str] | None:
-    """The label names when they are few, None when they must stay a table."""
-    found = labels.limit(LITERAL_LABELS + 1).collect()
-    return [r["label"] for r in found] if len(found) <= LITERAL_LABELS else None
-
-
-def with_any_label(df: DataFrame, intents: DataFrame | None, types: DataFrame | None,
-                   missing: str, order: str = "seq") -> DataFrame:
+def with_any_label(df: DataFrame, intents: DataFrame | None, types: DataFrame | None, missing: str) -> DataFrame:
     """Rows whose intent is in ``intents`` or one of whose entity types is in ``types``.
 
-    Both are settled ``(label)`` tables of distinct names, None to ignore that
-    side. ``order`` identifies a row; it is used only when a table is too long
-    for a literal.
+    Both are ``(label)`` tables of distinct names, None to ignore that side. The
+    labels are matched against the different combinations of intent and types,
+    which are few beside the rows; a row is then kept by its own combination.
     """
-    test: Column = F.lit(False)
-    joined = df
-    added = []
-    intent = F.coalesce("intent", F.lit(missing))
+    kinds = F.array_sort(F.array_distinct(types_of(F.col("entities"), missing)))
+    marked = df.withColumn("_labels", F.struct(F.coalesce("intent", F.lit(missing)).alias("intent"), kinds.alias("types")))
+    combinations = marked.select("_labels").distinct()
+    wanted = []
     if intents is not None:
-        names = _names(intents)
-        if names is None:
-            marks = intents.select(F.col("label").alias("_intent"), F.lit(True).alias("_by_intent"))
-            joined = joined.join(marks, intent == F.col("_intent"), "left").drop("_intent")
-            added.append("_by_intent")
-            test = test | F.coalesce("_by_intent", F.lit(False))
-        elif names:
-            test = test | intent.isin(*names)
+        wanted.append(combinations.join(intents, F.col("_labels.intent") == F.col("label"), "left_semi"))
     if types is not None:
-        names = _names(types)
-        if names is None:
-            # A row matches once however many of its types do.
-            carried = df.select(order, F.explode(types_of(F.col("entities"), missing)).alias("label"))
-            hits = carried.join(types.select("label"), "label", "left_semi").select(order).distinct()
-            joined = joined.join(hits.withColumn("_by_type", F.lit(True)), order, "left")
-            added.append("_by_type")
-            test = test | F.coalesce("_by_type", F.lit(False))
-        elif names:
-            test = test | F.exists(types_of(F.col("entities"), missing), lambda t: t.isin(*names))
-    return joined.filter(test).select(*df.columns)
+        each = combinations.select("_labels", F.explode("_labels.types").alias("label"))
+        wanted.append(each.join(types.select("label"), "label", "left_semi").select("_labels"))
+    if not wanted:
+        return df.limit(0)
+    found = reduce(DataFrame.union, wanted).distinct()
+    return marked.join(found, "_labels", "left_semi").select(*df.columns)
 
 
 def rare_samples(df: DataFrame, profile: DataFrame, settings: Settings) -> DataFrame:

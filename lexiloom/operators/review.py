@@ -37,6 +37,12 @@ def whole(text: Column) -> Column:
     return number(text).try_cast("int")
 
 
+def identifier(text: Column) -> Column:
+    """A bigint from digits as they are; a number with a fraction is truncated."""
+    plain = strip(text)
+    return F.coalesce(F.when(plain.rlike(r"^[+-]?\d+$"), plain.try_cast("bigint")), number(text).try_cast("bigint"))
+
+
 def _says(column: str, word: str) -> Column:
     return F.coalesce(strip(F.lower(column)) == word, F.lit(False))
 
@@ -184,7 +190,7 @@ def final_samples(review: DataFrame, settings: Settings, strategy: str = "balanc
         "_a": parse_entities(F.col("Augmented_Entities")),
     }).filter("_o.ok AND _a.ok")
     return parsed.select(
-        whole(F.col("Sample_ID")).alias("sample_id"),
+        identifier(F.col("Sample_ID")).alias("sample_id"),
         F.col("Original_Sentence").alias("original_sentence"),
         F.col("Original_Intent").alias("original_intent"),
         F.col("_o.entities").alias("original_entities"),

@@ -2,40 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many terms, of a few dozen bytes each, are sent to every task.
-BROADCAST_TERMS = 100_000
-
 
 def lookup_terms(texts: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """For each distinct text, the first term (lowest ``ord``) that it contains.
 
-    ``terms`` is ``(ord, original)``. A text contains a term exactly if one of
-    its substrings equals it, so substrings of the lengths that occur among the
-    terms are joined on equality. Texts are made distinct first: a hot text is
-    looked up once. Texts without a term are left out.
+    ``terms`` is ``(ord, original)``. A text that contains a term also contains
+    the term's first characters, so its pieces of that length (that of the
+    shortest term) are joined on equality and the whole term is checked then.
+    Texts are made distinct first: a hot text is looked up once. Texts without a
+    term are left out, and empty terms match nothing.
     """
-    sizes = terms.groupBy(F.char_length("original").alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
-    lengths = [r["length"] for r in sizes]
-    low = F.lower(text)
-
-    def windows(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.char_length(low) - n + 1)
-        return F.when(F.char_length(low) >= n, F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))) \
-            .otherwise(F.array().cast("array<string>"))
-
-    parts = (
-        texts.select(text).distinct()
-        .select(text, F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[windows(n) for n in lengths if n]))).alias("original"))
-    )
-    known = terms.select("ord", "original")
-    few = sum(r["n"] for r in sizes) <= BROADCAST_TERMS
-    # The pieces are many more bytes than their source; never let them be the broadcast side.
-    known = F.broadcast(known) if few else known.hint("merge")
+    known = terms.filter("original <> ''").select("ord", "original")
+    shortest = known.agg(F.min(F.char_length("original"))).first()[0] or 1
+    size, low = F.lit(shortest), F.lower(text)
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length(low) - shortest + 1, F.lit(1)))
+    pieces = F.array_distinct(F.transform(starts, lambda i: F.substring(low, i, size)))
+    probes = texts.select(text).distinct().select(text, F.explode(pieces).alias("_piece"))
     return (
-        parts.join(known, "original")
+        probes.join(known.withColumn("_piece", F.substring("original", F.lit(1), size)), "_piece")
+        .filter(F.contains(low, F.col("original")))
         .groupBy(text).agg(F.min(F.struct("ord", "original")).alias("_hit"))
         .select(text, F.col("_hit.ord").alias("ord"), F.col("_hit.original").alias("original"))
     )

@@ -112,7 +112,8 @@ def merge_augmented(original: DataFrame, augmented: DataFrame, settings: Setting
         raise ValueError(f"Unknown strategy: {settings.strategy}")
     original_counts = settle(profile.label_counts(original))
     augmented_counts = settle(profile.label_counts(augmented))
-    chosen = integrate.balance(original_counts, augmented, settings, target_distribution)
+    turns = integrate.first_seen(original) if settings.strategy == "balanced" and not target_distribution else None
+    chosen = integrate.balance(original_counts, augmented, settings, target_distribution, turns)
     final = settle(integrate.deduplicate(integrate.merge(original, chosen, settings)))
     return Merge(
         final=final,

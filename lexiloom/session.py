@@ -34,13 +34,3 @@ def settle(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores, spread over them by key.
-
-    A small table may sit in one row group, which is one task however much work
-    its rows make. A large scan already has more splits than cores and is left
-    alone: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, *keys)

@@ -7,21 +7,24 @@ files are split.
 
 from __future__ import annotations
 
+import csv
 from fnmatch import fnmatch
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiloom.functions.entities import listed
+from lexiloom.functions.entities import is_object, objects
 from lexiloom.schema import REVIEW_COLUMNS, REVIEW_REQUIRED, UTTERANCE
 
 _CORRUPT = "_corrupt"
 # Whether a line parsed depends on the columns asked for, so the test names them
 # all: a count then sees the same lines as a full read. The extra terms are
 # never true.
-_PARSED = f"({_CORRUPT} IS NULL OR char_length(sentence) < 0 OR char_length(intent) < 0 OR size(entities) < -1)"
+_PARSED = f"({_CORRUPT} IS NULL OR char_length(sentence) < 0 OR char_length(intent) < 0 OR (entities IS NULL AND entities IS NOT NULL))"
 
 
 def _with_order(df: DataFrame) -> DataFrame:
@@ -42,13 +45,20 @@ def _with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("sample_id", F.md5(content))
 
 
+def _any_entities(extra_fields: list[T.StructField] | None) -> T.StructType:
+    """The columns of an utterance, its entities in whatever shape they have."""
+    first = [f for f in UTTERANCE.fields if f.name != "entities"]
+    return T.StructType([*first, T.StructField("entities", T.VariantType()), *(extra_fields or []), T.StructField(_CORRUPT, T.StringType())])
+
+
 def scan_utterances(spark: SparkSession, path: str | list[str],
                     extra_fields: list[T.StructField] | None = None) -> DataFrame:
     """JSON lines as read, unparsable ones held in ``_corrupt``; blank lines are skipped.
 
-    Keys outside the schema are kept by naming them in ``extra_fields``.
+    Entities may have any shape: what is an object counts, the rest is left to
+    ``odd_entities``. Keys outside the schema are kept by naming them in ``extra_fields``.
     """
-    schema = T.StructType(UTTERANCE.fields + list(extra_fields or []) + [T.StructField(_CORRUPT, T.StringType())])
+    schema = _any_entities(extra_fields)
     rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
     return _with_order(rows)
 
@@ -58,7 +68,17 @@ def read_utterances(spark: SparkSession, path: str | list[str],
     """Lines that parse and have a sentence and an intent; entities default to none."""
     rows = scan_utterances(spark, path, extra_fields)
     good = rows.filter(f"{_PARSED} AND sentence IS NOT NULL AND intent IS NOT NULL")
-    return _with_id(good.drop(_CORRUPT).withColumn("entities", listed(F.col("entities"))))
+    return _with_id(good.drop(_CORRUPT).withColumn("entities", objects(F.col("entities"))))
+
+
+def odd_entities(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(seq, reason, entity)`` of entities that the readers leave out of a row that they keep."""
+    rows = scan_utterances(spark, path).filter(_PARSED)
+    items = F.try_variant_get("entities", "$", "array<variant>")
+    given = F.col("entities").isNotNull() & ~F.is_variant_null("entities")
+    odd = F.when(items.isNotNull(), F.filter(items, lambda e: ~is_object(e))).when(given, F.array("entities"))
+    return rows.select("seq", F.explode(odd).alias("entity")).select(
+        "seq", F.lit("Entity is not an object").alias("reason"), F.to_json("entity").alias("entity"))
 
 
 def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -76,7 +96,8 @@ def read_lenient(spark: SparkSession, path: str | list[str],
                  extra_fields: list[T.StructField] | None = None) -> DataFrame:
     """Every line that parses, whatever it lacks."""
     rows = scan_utterances(spark, path, extra_fields)
-    return _with_id(rows.filter(_PARSED).drop(_CORRUPT))
+    kept = F.when(F.try_variant_get("entities", "$", "array<variant>").isNotNull(), objects(F.col("entities")))
+    return _with_id(rows.filter(_PARSED).drop(_CORRUPT).withColumn("entities", kept))
 
 
 def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -89,35 +110,49 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return kept.withColumn("sample_id", F.md5(content))
 
 
-def read_training_set(spark: SparkSession, path: str) -> DataFrame:
-    """A training set: JSON lines, or one JSON array for a ``.json`` path."""
+def read_training_set(spark: SparkSession, path: str | list[str], one_array: bool = False) -> DataFrame:
+    """A training set: JSON lines or, with ``one_array``, files that are one JSON array each (a task per file)."""
     provenance = "_augmented boolean, _augmentation_method string, _original_sentence string, " \
-        "_quality_score int, _naturalness_score int, _review_timestamp string, _sample_id int"
+        "_quality_score int, _naturalness_score int, _review_timestamp string, _sample_id bigint"
     schema = T.StructType(UTTERANCE.fields + T.StructType.fromDDL(provenance).fields)
-    rows = spark.read.schema(schema).option("multiLine", path.endswith(".json")).json(path)
+    rows = spark.read.schema(schema).option("multiLine", one_array).json(path)
     return _with_id(_with_order(rows))
 
 
+def _headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of a batch by their header. Only first lines, one of each file, reach the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value").filter("block = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    files = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    return {tuple(next(csv.reader([r["header"].lstrip("\ufeff")]), [])): sorted(map(unquote, r["files"])) for r in files}
+
+
 def read_review(spark: SparkSession, path: str | list[str], drop_short: bool = False) -> DataFrame:
     """A review table, all text. Raises on a file without the required columns.
 
+    Files of one batch may have different headers: each is read under its own.
     Quoted cells may hold line breaks, so a review file is read by one task;
-    a batch is many files. ``drop_short`` drops rows whose number of cells
-    differs from the header's, instead of padding them.
+    a batch is many files. ``drop_short`` drops rows with fewer cells than the
+    header, instead of padding them; further cells are ignored.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True) \
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    header = reader.csv(path).columns
-    missing = [c for c in REVIEW_REQUIRED if c not in header]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    mode = "DROPMALFORMED" if drop_short else "PERMISSIVE"
-    rows = reader.schema(schema).option("mode", mode).csv(path)
-    for c in REVIEW_COLUMNS:
-        if c not in header:
-            rows = rows.withColumn(c, F.lit(None).cast("string"))
-    return rows.select(*REVIEW_COLUMNS, *[c for c in header if c not in REVIEW_COLUMNS])
+    tables = []
+    for header, files in sorted(_headers(spark, path).items()):
+        missing = [c for c in REVIEW_REQUIRED if c not in header]
+        if missing:
+            raise ValueError(f"Missing required columns: {missing} in {files[0]}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _CORRUPT)])
+        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True) \
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+            .option("columnNameOfCorruptRecord", _CORRUPT).schema(schema).csv(files)
+        if drop_short:
+            rows = rows.filter(F.col(_CORRUPT).isNull() | F.col(f"`{header[-1]}`").isNotNull())
+        tables.append(rows.drop(_CORRUPT).withColumns({c: F.lit(None).cast("string") for c in REVIEW_COLUMNS if c not in header}))
+    if not tables:
+        raise ValueError(f"Missing required columns: {REVIEW_REQUIRED}")
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return whole.select(*REVIEW_COLUMNS, *[c for c in whole.columns if c not in REVIEW_COLUMNS])
 
 
 def newest_batch(spark: SparkSession, pattern: str, by: str = "time") -> str | None:

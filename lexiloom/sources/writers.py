@@ -74,11 +74,11 @@ def training_table(df: DataFrame) -> DataFrame:
 
 
 def export_for_training(df: DataFrame, folder: str, fmt: str = "jsonl", mode: str = "error") -> str:
-    path = f"{folder}/training_data.{fmt}"
+    """A folder of JSON lines (``json`` and ``jsonl`` are the same) or of CSV."""
     if fmt in ("jsonl", "json"):
-        return write_jsonl(df, path, mode)
+        return write_jsonl(df, f"{folder}/training_data.jsonl", mode)
     if fmt == "csv":
-        return _write_csv(training_table(df), path, mode)
+        return _write_csv(training_table(df), f"{folder}/training_data.csv", mode)
     raise ValueError(f"Unsupported format: {fmt}")
 
 
@@ -106,15 +106,18 @@ def export_reviewed(review: DataFrame, path: str, fmt: str = "csv", mode: str =
     raise ValueError(f"Unsupported format: {fmt}")
 
 
-def write_final(final: DataFrame, path: str, batch: str, fmt: str = "jsonl", mode: str = "append") -> str:
-    """Final samples under their batch; entity arrays become JSON text in CSV."""
+def write_final(final: DataFrame, path: str, batch: str, fmt: str = "jsonl", mode: str = "overwrite") -> str:
+    """Final samples under their batch; entity arrays become JSON text in CSV.
+
+    Only the batch is replaced, so a job that runs again leaves it as it was.
+    """
     tagged = final.withColumn("batch", F.lit(batch))
     if fmt == "jsonl":
-        tagged.write.mode(mode).partitionBy("batch").option("ignoreNullFields", False).json(path)
+        tagged.write.mode(mode).partitionBy("batch").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).json(path)
     elif fmt == "csv":
         arrays = [f.name for f in final.schema.fields if f.dataType == ENTITIES or f.name.endswith("entities")]
         flat = tagged.withColumns({c: entities_json(F.col(c)) for c in arrays})
-        flat.write.mode(mode).partitionBy("batch").option("header", True).option("escape", '"') \
+        flat.write.mode(mode).partitionBy("batch").option("partitionOverwriteMode", "dynamic").option("header", True).option("escape", '"') \
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     else:
         raise ValueError(f"Unsupported output format: {fmt}")

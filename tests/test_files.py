@@ -1,3 +1,4 @@
+from collections import Counter
 import json
 from dataclasses import replace
 
@@ -73,6 +74,36 @@ def test_review_columns_are_checked(spark, tmp_path):
     assert readers.read_review(spark, str(full), drop_short=True).select("Sample_ID", "Approved_Yes_No").collect()[0][1] == "k"
 
 
+def test_review_files_with_different_headers(spark, tmp_path):
+    full = ["1", *"abcdefgh", "said", "yes"]
+    cells = dict(zip(REVIEW_COLUMNS, ["1", *"abcdefghi", "said", "yes"]))
+    for name, header in (("a.csv", REVIEW_COLUMNS), ("b.csv", REVIEW_REQUIRED), ("c.csv", [*reversed(REVIEW_COLUMNS), "Extra"])):
+        (tmp_path / name).write_text(",".join(header) + "\n" + ",".join(cells.get(c, "more") for c in header) + "\n", encoding="utf-8")
+    rows = readers.read_review(spark, f"{tmp_path}/*.csv").collect()
+    assert [r["Approved_Yes_No"] for r in rows] == ["yes"] * 3 and Counter(r["Comments"] for r in rows) == {"said": 2, None: 1}
+    assert {r["Extra"] for r in rows} == {"more", None} and len(full) == 11
+
+
+def test_rows_with_too_few_or_too_many_cells(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_text(",".join(REVIEW_REQUIRED) + "\n" + "1" + ",x" * 10 + "\n2,x\n3" + ",x" * 12 + "\n", encoding="utf-8")
+    assert [r["Sample_ID"] for r in readers.read_review(spark, str(path)).collect()] == ["1", "2", "3"]
+    assert [r["Sample_ID"] for r in readers.read_review(spark, str(path), drop_short=True).collect()] == ["1", "3"]
+
+
+def test_odd_entities_keep_their_row(spark, tmp_path):
+    path = tmp_path / "odd.jsonl"
+    path.write_text('{"sentence": "a", "intent": "i", "entities": ["loose", {"type": "t", "filler": "f"}, 5]}\n'
+                    '{"sentence": "b", "intent": "i", "entities": "none"}\n{"sentence": "c", "intent": "i", "entities": null}\n'
+                    '{"sentence": "d", "intent": "i"}\nnot json\n')
+    kept = {r["sentence"]: [tuple(e) for e in r["entities"]] for r in readers.read_utterances(spark, str(path)).collect()}
+    assert kept == {"a": [("t", "f")], "b": [], "c": [], "d": []}
+    assert sorted(r["entity"] for r in readers.odd_entities(spark, str(path)).collect()) == ['"loose"', '"none"', "5"]
+    assert [r["reason"] for r in readers.rejected_lines(spark, str(path)).collect()] == ["Invalid JSON"]
+    lenient = {r["sentence"]: r["entities"] for r in readers.read_lenient(spark, str(path)).collect()}
+    assert lenient["c"] is None and lenient["d"] is None and len(lenient["a"]) == 1
+
+
 def test_newest_batch(spark, tmp_path):
     import os
     for name, age in (("review_samples_2.csv", 50), ("review_samples_1.csv", 10)):
@@ -124,8 +155,10 @@ def test_formats(spark, tmp_path, utterances):
     rows = spark.read.option("header", True).option("escape", '"').csv(flat).collect()
     assert {r["source"] for r in rows} == {"original"}
     assert json.loads([r for r in rows if r["intent"] == "mở"][0]["entities"])[1] == {"type": "time_at", "filler": "9 giờ tối"}
-    for fmt in ("jsonl", "json", "csv"):
-        assert writers.export_for_training(utterances, f"{tmp_path}/t", fmt).endswith(f"training_data.{fmt}")
+    for fmt in ("jsonl", "json"):
+        path = writers.export_for_training(utterances.repartition(3), f"{tmp_path}/{fmt}", fmt)
+        assert path.endswith("training_data.jsonl") and readers.read_training_set(spark, path).count() == utterances.count()
+    assert writers.export_for_training(utterances, f"{tmp_path}/t", "csv").endswith("training_data.csv")
     for call in (lambda: writers.export_for_training(utterances, f"{tmp_path}/t", "xml"),
                  lambda: writers.write_dataset(tagged, f"{tmp_path}/x", replace(S, output_format="xml")),
                  lambda: writers.write_final(tagged, f"{tmp_path}/x", "b", "xml")):
@@ -136,7 +169,7 @@ def test_formats(spark, tmp_path, utterances):
 def test_one_array_training_set(spark, tmp_path):
     path = tmp_path / "set.json"
     path.write_text(json.dumps([{"sentence": "a", "intent": "i", "entities": []}, {"sentence": "b", "intent": "i"}], indent=2))
-    assert readers.read_training_set(spark, str(path)).count() == 2
+    assert readers.read_training_set(spark, str(path), one_array=True).count() == 2
 
 
 def test_settings_file(spark, tmp_path):

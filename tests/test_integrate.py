@@ -71,13 +71,38 @@ def test_balanced_and_selective_against_plain_python(spark):
     assert ("odd", "unseen") not in names(selective) and ("new", "unseen") in names(selective)
 
 
-def test_long_label_lists_are_joined(spark, monkeypatch):
-    rows = made_up(600, 4)
-    df = table(spark, rows)
-    counts = settle(profile.label_counts(df))
-    short = names(integrate.selective(df, counts))
-    monkeypatch.setattr(rarity, "LITERAL_LABELS", 0)
-    assert names(integrate.selective(df, counts)) == short and short
+def test_labels_are_tested_row_by_row(spark):
+    """Rows that share ``seq``, lists of any length, any partitioning."""
+    rows = [(s, i, t) for s, i, t in made_up(400, 4)]
+    df = table(spark, rows).withColumn("seq", F.expr("named_struct('block', 0, 'row', 0)"))
+    for n in (1, 1500):
+        labels = spark.createDataFrame([("rare",)] + [(f"l{k}",) for k in range(n)], "label string")
+        intents = spark.createDataFrame([("cold",)] + [(f"l{k}",) for k in range(n)], "label string")
+        want = Counter((s, i) for s, i, ts in rows if i == "cold" or "rare" in ts)
+        for parts in (1, 7):
+            assert names(rarity.with_any_label(df.repartition(parts), intents, labels, "unknown")) == want
+        assert names(rarity.with_any_label(df, None, labels, "unknown")) == Counter((s, i) for s, i, ts in rows if "rare" in ts)
+    assert rarity.with_any_label(df, None, None, "unknown").count() == 0
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_balanced_merge_keeps_the_copy_of_the_first_intent(spark, seed):
+    """Sentences under several intents: the order of the intents in the original set decides."""
+    rng = random.Random(seed)
+    original = [(f"o{k}", rng.choice(["hot"] * 8 + ["b", "a", "c"]), []) for k in range(300)]
+    augmented = [(f"dup{rng.randrange(25)}", rng.choice("abc"), []) for _ in range(200)]
+    for wanted in (None, {"c": 20, "a": 30, "b": 10}):
+        result = jobs.merge_augmented(table(spark, original), settle(table(spark, augmented)), S, wanted)
+        targets = None
+        if wanted is None:
+            first = list(dict.fromkeys(i for _, i, _ in original))
+            counts = Counter(i for _, i, _ in original)
+            top = max(counts.values())
+            targets = {i: top - counts[i] if counts[i] < top * 0.5 else 0 for i in first}
+        kept = {}
+        for s, i, _ in original + brute_balanced(original, augmented, targets or wanted):
+            kept.setdefault(s, (s, i))
+        assert names(result.final) == Counter(kept.values())
 
 
 def test_merge_deduplicate_and_summary(spark):
