@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lexiloom.catalog import oracles as O
 from lexiloom.catalog import tables as T
 from lexiloom.catalog.tables import SETTINGS
-from lexiloom.config import vocabulary_from, vocabulary_table
+from lexiloom.config import load_settings, vocabulary_from, vocabulary_table
 from lexiloom.functions.entities import normalise, parse_entities, repair_json
 from lexiloom.functions.text import clean_text, has_diacritics, has_vietnamese_letters, words
 from lexiloom.operators import augment, integrate, profile, quality, review, vocabulary
@@ -369,6 +369,15 @@ def g1_rarity_profile(spark, sf):
     return profile.rarity_profile(u, settings)
 
 
+@query("s4_settings_file", O.sql(O.UTT + ",\n" + _RARE.replace("t * 2 // 5", "t * 3 // 5"), "SELECT dimension, label, n, rare FROM rarity"))
+def s4_settings_file(spark, sf):
+    """Thresholds from a settings file."""
+    n, path = T.load(spark, sf, "documents").count(), work_folder(spark)
+    text = f"augmentation:\n  min_intent_frequency: {n * 2}\n  min_entity_frequency: {n * 3 // 5}\n"
+    spark.range(1).select(F.lit(text)).write.text(path)
+    return profile.rarity_profile(T.utterances(spark, sf), load_settings(spark, f"{path}/part-*"))
+
+
 @query("g1_rarity_summary", O.sql(O.UTT + ",\n" + _RARE, """
 SELECT (SELECT count(*) FROM utt) AS total_samples, """ + O.counted(
     ("unique_intents", "dimension = 'intent'"), ("unique_entities", "dimension <> 'intent'"),
@@ -392,7 +401,8 @@ def g2_distribution(spark, sf):
 
 
 @query("g3_generation_statistics", O.sql(O.CAND4, """
-SELECT method, count(*) FILTER (WHERE failed_rule IS NULL) AS generated, count(*) FILTER (WHERE failed_rule IS NOT NULL) AS failed,
+SELECT method, count(DISTINCT sample_id) AS processed_samples,
+  count(*) FILTER (WHERE failed_rule IS NULL) AS generated, count(*) FILTER (WHERE failed_rule IS NOT NULL) AS failed,
   count(*) FILTER (WHERE failed_rule IS NULL)::DOUBLE / count(*) AS success_rate FROM variants GROUP BY ROLLUP (method)"""))
 def g3_generation_statistics(spark, sf):
     return profile.generation_statistics(variants(spark, sf, ALL_METHODS))
@@ -940,11 +950,16 @@ UNION ALL SELECT 'failed_checks', row_number() OVER (ORDER BY n DESC, k), k, n,
 UNION ALL SELECT * FROM (SELECT 'intents', row_number() OVER (ORDER BY n DESC, k) AS p, k, n, NULL FROM roles) WHERE p <= 10
 UNION ALL SELECT * FROM (SELECT 'entity_types', row_number() OVER (ORDER BY n DESC, k) AS p, k, n, NULL FROM kinds) WHERE p <= 10"""))
 def k8_quality_report(spark, sf):
-    pairs = T.turn_pairs(spark, sf)
-    augmented = pairs.select(F.col("augmented_intent").alias("intent"), F.col("augmented_entities").alias("entities"))
-    counts = settle(profile.label_counts(augmented, pairs=False))
-    report = jobs.quality_report(quality.validate_pairs(pairs, SETTINGS), counts, "augmented_sentence", pairs=True)
-    return report.select("section", big("position", "position"), "key", "n", "rate")
+    """The report of all pairs, written and read back."""
+    path = work_folder(spark)
+    # Checked once; everything in the report is counted from what is kept of it.
+    checked = settle(quality.validate_pairs(T.turn_pairs(spark, sf), SETTINGS).select(
+        "original_sentence", "augmented_sentence", F.col("augmented_intent").alias("intent"),
+        F.col("augmented_entities").alias("entities"), "checks", "valid"))
+    counts = settle(profile.label_counts(checked, pairs=False))
+    jobs.write_quality_report(jobs.quality_report(checked, counts, "augmented_sentence", pairs=True), path)
+    schema = "section string, position bigint, key string, n bigint, rate double"
+    return spark.read.schema(schema).json(f"{path}/quality_report_stats")
 
 
 _REPAIRED = f"""CASE doc_id % 8 WHEN 0 THEN e WHEN 7 THEN e WHEN 4 THEN e WHEN 5 THEN e
@@ -998,8 +1013,37 @@ def j1_k6_generate(spark, sf):
         "sample_id", "method", "original_sentence", "augmented_sentence", "augmented_intent")
 
 
+@query("k6_generation_files", O.sql(_J1, """
+SELECT 'augmentation' AS kind, sentence AS original_sentence, a AS augmented_sentence, method FROM variants WHERE failed_rule IS NULL
+UNION ALL SELECT 'issue', sentence, a, method FROM variants WHERE failed_rule IS NOT NULL"""))
+def k6_generation_files(spark, sf):
+    """Everything that a generation writes, read back."""
+    u, settings = frequent(spark, sf)
+    path = work_folder(spark)
+    jobs.write_generation(jobs.generate(u, settings), path, "batch")
+    columns = ["original_sentence", "augmented_sentence", "method"]
+    schema = ", ".join(f"{c} string" for c in columns)
+
+    def back(folder, kind):
+        return spark.read.schema(schema).json(f"{path}/augmented/{folder}").select(F.lit(kind).alias("kind"), *columns)
+
+    return back("augmented_data_batch/augmentations", "augmentation").unionByName(
+        back("generation_stats_batch/quality_issues", "issue"))
+
+
+@query("j4_chain_final", O.sql(O.CAND, """
+SELECT row_number() OVER (ORDER BY doc_id, sent_no, method_no) AS sample_id, sentence AS original_sentence, a AS augmented_sentence,
+  method AS augmentation_method FROM variants WHERE failed_rule IS NULL ORDER BY doc_id, sent_no, method_no LIMIT 100"""))
+def j4_chain_final(spark, sf):
+    """The whole chain as a user runs it: one review batch, all of it accepted."""
+    every = replace(SETTINGS, min_intent_frequency=2 ** 62)
+    chain = jobs.generate_and_integrate(stored(spark, sf), every, review.stamp_decisions, max_review_samples=100)
+    return chain.integration.final.select("sample_id", "original_sentence", "augmented_sentence", "augmentation_method")
+
+
 @query("j1_statistics", O.sql(_J1, """
-SELECT method, count(*) FILTER (WHERE failed_rule IS NULL) AS generated, count(*) FILTER (WHERE failed_rule IS NOT NULL) AS failed,
+SELECT method, count(DISTINCT sample_id) AS processed_samples,
+  count(*) FILTER (WHERE failed_rule IS NULL) AS generated, count(*) FILTER (WHERE failed_rule IS NOT NULL) AS failed,
   count(*) FILTER (WHERE failed_rule IS NULL)::DOUBLE / count(*) AS success_rate FROM variants GROUP BY ROLLUP (method)"""))
 def j1_statistics(spark, sf):
     u, settings = frequent(spark, sf)

@@ -150,6 +150,10 @@ def settings_from(document: dict) -> Settings:
         "augment_rare_intents": generate.get("augment_rare_intents"),
         "augment_rare_entities": generate.get("augment_rare_entities"),
         "max_variations": generate.get("max_variations_per_sample"),
+        **{name: generate.get(name) for name in ("prefix_chance", "suffix_chance", "seed", "require_present", "keep_tail")},
+        **{name: tuple(generate.get(name, ())) or None for name in ("time_markers", "place_markers")},
+        "min_quality": quality.get("min_quality_score"),
+        "min_naturalness": quality.get("min_naturalness_score"),
         "methods": tuple(generate.get("sample_augmentation_methods", ())) or None,
         "min_length_ratio": quality.get("min_length_ratio"),
         "max_length_ratio": quality.get("max_length_ratio"),

@@ -80,12 +80,16 @@ def top(counts: DataFrame, k: int | None, key: str = "label") -> DataFrame:
 
 
 def generation_statistics(variants: DataFrame) -> DataFrame:
-    """Accepted, dropped and success rate per method; the row without a method is the total."""
+    """Processed samples, accepted, dropped and success rate per method; the row without a method is the total.
+
+    Every method is tried on every sample, so the total of samples is that of any method.
+    """
     each = variants.groupBy("method").agg(
-        F.count_if("quality_passed").alias("generated"), F.count_if(~F.col("quality_passed")).alias("failed"))
+        F.count("*").alias("processed_samples"), F.count_if("quality_passed").alias("generated"), F.count_if(~F.col("quality_passed")).alias("failed"))
     zero = F.lit(0).cast("bigint")
     # A total of zeros where nothing was generated.
-    total = each.agg(*(F.coalesce(F.sum(c), zero).alias(c) for c in ("generated", "failed")))
+    total = each.agg(F.coalesce(F.max("processed_samples"), zero).alias("processed_samples"),
+                     *(F.coalesce(F.sum(c), zero).alias(c) for c in ("generated", "failed")))
     tried = F.col("generated") + F.col("failed")
     rate = F.when(tried == 0, 0.0).otherwise(F.col("generated") / tried)
     return each.unionByName(total, allowMissingColumns=True).withColumn("success_rate", rate)

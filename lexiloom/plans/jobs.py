@@ -124,6 +124,12 @@ def merge_augmented(original: DataFrame, augmented: DataFrame, settings: Setting
     )
 
 
+def write_merge(result: Merge, folder: str, settings: Settings) -> None:
+    """The merged set in the format of the settings, and its report."""
+    writers.write_dataset(result.final, f"{folder}/merged", settings)
+    writers.write_report(result.summary, f"{folder}/merge_report")
+
+
 @dataclass
 class Chain:
     generation: Generation
@@ -208,8 +214,17 @@ def quality_report(validated: DataFrame, counts: DataFrame, sentence: str = "sen
     )
 
 
+def write_quality_report(report: DataFrame, folder: str) -> None:
+    """The report table as JSON lines, and rendered as text."""
+    kept = settle(report)
+    writers.write_jsonl(kept, f"{folder}/quality_report_stats")
+    text = kept.sparkSession.range(1).select(F.lit(render_quality_report(kept)).alias("value"))
+    text.write.text(f"{folder}/quality_report")
+
+
 # Headings of the rendered report.
 _HEADINGS = {
+    "totals": "Totals",
     "failed_checks": "Failed Checks Distribution",
     "intents": "Intent Distribution",
     "entity_types": "Entity Type Distribution",
