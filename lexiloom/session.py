@@ -8,11 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``.
+def _root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
-    The folder must be visible to every executor, so a machine-local one is
-    made up only for a local master on which none is configured.
+    It must be visible to every executor, so a machine-local one is made up only
+    for a local master on which none is configured.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
@@ -20,7 +20,18 @@ def work_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="lexiloom-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/lexiloom/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/lexiloom"
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A fresh path for intermediate files."""
+    return f"{_root(spark)}/{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes all intermediate files, at the end of a job: results that are still to be computed need them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -1,11 +1,11 @@
-from collections import Counter
 import json
+from collections import Counter
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from lexiloom import Settings, load_settings
+from lexiloom import Settings, load_settings, session
 from lexiloom.operators import review
 from lexiloom.plans import jobs
 from lexiloom.schema import REVIEW_COLUMNS, REVIEW_REQUIRED, TRAINING_COLUMNS
@@ -186,3 +186,10 @@ def test_audit(spark, tmp_path, lines):
     assert result.label_map.count() == 3
     assert result.format_issues.count() == 5
     assert "Intent Distribution" in jobs.render_quality_report(result.quality_report)
+
+
+def test_intermediate_files_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_root", lambda _: f"{tmp_path}/work")
+    assert session.settle(spark.range(5)).count() == 5 and list(tmp_path.iterdir())
+    session.clear_work(spark)
+    assert not list(tmp_path.iterdir())
