@@ -24,14 +24,13 @@ TOKENIZER, CAPACITY, END_ID = "byte_bpe_50k.json", 1024, 2
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base limits and the trees."""
     forest = quality_rules.train(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "labels", "doc_id", "quality"))
-    return quality_rules.judge(docs, forest, texts=True).where("kept").select(*docs.columns)
+    return docs.where(quality_rules.verdict(F.col("text"), forest).getField("kept"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that the model is sure enough of."""
-    model = language_id.train(load(spark, sf_dir, "documents", "doc_id", "text", "lang"))
-    judged = language_id.predict(docs, model, texts=True)
-    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    found = language_id.prediction(F.col("text"), language_id.train(load(spark, sf_dir, "documents", "doc_id", "text", "lang")))
+    return docs.where((found.getField("lang_pred") != language_id.UNKNOWN) & (found.getField("score") >= LEAST_LANGUAGE_SCORE))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

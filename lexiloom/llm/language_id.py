@@ -23,9 +23,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -187,21 +186,18 @@ def train(documents: DataFrame, per_language: int = 800, sample: int = 8000) ->
     return Model(languages, idf, weights, bias, fit_temperature(margins, labels[back]))
 
 
-def predict(documents: DataFrame, model: Model, texts: bool = False) -> DataFrame:
-    """Adds held_out, lang_pred and score to every document; ``texts`` keeps the text column."""
-    kept = [c for c in documents.columns if c not in ADDED]
-    passed = [c for c in kept if texts or c != "text"]
-    source = documents.select(*kept, held_out().alias("held_out"))
-    schema = T.StructType([source.schema[c] for c in (*passed, "held_out")] + [
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = [model.predict(t) for t in batch.column("text").to_pylist()]
-                columns = [batch.column(c) for c in (*passed, "held_out")]
-                yield pa.RecordBatch.from_arrays(
-                    columns + [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                    [f.name for f in schema])
-
-    return source.mapInArrow(run, schema)
+def prediction(text: Column, model: Model) -> Column:
+    """lang_pred and score of a text, as a struct; only the text goes to Python."""
+    @F.arrow_udf("lang_pred string, score double")
+    def predicted(texts: pa.Array) -> pa.Array:
+        found = [model.predict(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays(
+            [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], ["lang_pred", "score"])
+
+    return predicted(text)
+
+
+def predict(documents: DataFrame, model: Model) -> DataFrame:
+    """Adds held_out, lang_pred and score to every document."""
+    rows = documents.select(F.struct("*").alias("row"), held_out().alias("held_out"), prediction(F.col("text"), model).alias("found"))
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in documents.columns if c not in ADDED), "held_out", "found.*")

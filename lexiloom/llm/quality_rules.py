@@ -17,9 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexiloom.llm import trees
 
@@ -84,9 +83,10 @@ def statistics(text: str) -> tuple[list[int], list[float]]:
         upper / whole, digits / whole, (upper + letters) / whole, n / filled]
 
 
-def _measured(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    made = [statistics(t or "") for t in batch.column("text").to_pylist()]
-    return np.array([b for b, _ in made], np.int64), np.array([f for _, f in made], np.float64)
+def _measured(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    made = [statistics(t.as_py() or "") for t in texts]
+    base = np.array([b for b, _ in made], np.int64).reshape(-1, len(BASE))
+    return base, np.array([f for _, f in made], np.float64).reshape(-1, len(FEATURES))
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -102,7 +102,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 20_000) -> tree
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                features = _measured(batch)[1]
+                features = _measured(batch.column("text"))[1]
                 yield pa.RecordBatch.from_pydict({"x": list(features), "y": batch.column("quality").cast(pa.int32())})
     rows = (labelled_sample(documents, labels, sample).mapInArrow(run, "x array<double>, y int")
             .limit(sample).toArrow())  # ids may repeat in documents: the bound holds all the same
@@ -114,26 +114,21 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 20_000) -> tree
     return trees.fit(x[order], y[order].astype(float), np.array(list(FEATURES.values())))
 
 
-def judge(documents: DataFrame, forest: trees.Forest | None, threshold: float = 0.5, texts: bool = False) -> DataFrame:
-    """Adds the base counts, base_failed, score and kept to every document; ``texts`` keeps the text column."""
-    kept = [c for c in documents.columns if c not in ADDED]
-    passed = [c for c in kept if texts or c != "text"]
-    source = documents.select(*kept)
-    longs = [T.StructField(c, T.LongType()) for c in BASE]
-    schema = T.StructType([source.schema[c] for c in passed] + longs + [
-        T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()),
-        T.StructField("kept", T.BooleanType())])
+def verdict(text: Column, forest: trees.Forest | None, threshold: float = 0.5) -> Column:
+    """The base counts, base_failed, score and kept of a text, as a struct; only the text goes to Python."""
+    @F.arrow_udf(", ".join([*(f"{c} long" for c in BASE), "base_failed boolean, score double, kept boolean"]))
+    def judged(texts: pa.Array) -> pa.Array:
+        base, features = _measured(texts)
+        n, repeated = base[:, 0], base[:, 4]
+        failed = (n < 50) | (100 * repeated > 50 * n)
+        score = forest.probability(features) if forest else np.ones(len(base))
+        columns = [*base.T, failed, score, ~failed & (score >= threshold)]
+        return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], list(ADDED))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            base, features = _measured(batch)
-            n, repeated = base[:, 0], base[:, 4]
-            failed = (n < 50) | (100 * repeated > 50 * n)
-            score = forest.probability(features) if forest else np.ones(len(base))
-            columns = [batch.column(c) for c in passed] + [pa.array(c) for c in base.T] + [
-                pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold))]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
-
-    return source.mapInArrow(run, schema)
+    return judged(text)
+
+
+def judge(documents: DataFrame, forest: trees.Forest | None, threshold: float = 0.5) -> DataFrame:
+    """Adds the base counts, base_failed, score and kept to every document."""
+    rows = documents.select(F.struct("*").alias("row"), verdict(F.col("text"), forest, threshold).alias("verdict"))
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in documents.columns if c not in ADDED), "verdict.*")

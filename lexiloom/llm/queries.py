@@ -48,14 +48,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     forest = quality_rules.train(documents, load(spark, sf_dir, "labels", "doc_id", "quality"))
-    return quality_rules.judge(documents, forest)
+    return quality_rules.judge(documents, forest).drop("text")
 
 
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
     documents = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return language_id.predict(documents.select("doc_id", "text"), language_id.train(documents))
+    return language_id.predict(documents.select("doc_id", "text"), language_id.train(documents)).drop("text")
 
 
 @query
