@@ -7,8 +7,9 @@ bits have been found by then, as one of their segments differs in at most s. A
 query is done once its kth verified distance is below that; the others go on.
 
 The index holds different codes, each with its ``k`` least ids: more of one code
-can't be among the best, so copies of one vector make no hot entry. Distances
-that many codes share are kept to k for each query before any shuffle.
+can't be among the best, so copies of one vector make no hot entry. Codes that
+are farther than a query's kth so far are dropped where they are met, and what
+is left is kept to k for each query before it is shuffled.
 
 Defined results
 - the neighbours of a query are the k rows of least (distance, id), the query's
@@ -59,23 +60,30 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, segments: int =
     codes = _first(vectors.where("code IS NOT NULL").select("vec_id", "code").distinct(), "code", k, "vec_id").groupBy("code").agg(
         F.collect_list("vec_id").alias("ids"))
     index = stored(codes.select("code", "ids", F.posexplode(cut(F.col("code"))).alias("segment", "value")))
-    pending = stored(queries.where("code IS NOT NULL").select(F.col("vec_id").alias("query_id"), F.col("code").alias("q")).distinct())
+    pending = stored(queries.where("code IS NOT NULL").select(
+        F.col("vec_id").alias("query_id"), F.col("code").alias("q"), F.lit(BITS).alias("bound")).distinct())
     best, done = None, []
+    distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
     for s in range(width + 1):
         near = F.explode(masks(width, s))
-        parts = pending.select("query_id", "q", F.posexplode(cut(F.col("q"))).alias("segment", "part")).withColumn("mask", near)
-        probes = parts.select("query_id", "q", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("value"))
-        found = probes.join(index, ["segment", "value"]).select(
-            "query_id", "q", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"), F.explode("ids").alias("vec_id"))
+        parts = pending.select("query_id", "q", "bound", F.posexplode(cut(F.col("q"))).alias("part_no", "part")).withColumn("mask", near)
+        probes = parts.select("query_id", "q", "bound", "part_no", F.col("part").bitwiseXOR(F.col("mask")).alias("probe"))
+        # What is farther than the kth so far can't be among the best. Probes outgrow the
+        # statistics of the table they are made of, so they must never be the broadcast side.
+        met = (F.col("part_no") == F.col("segment")) & (F.col("probe") == F.col("value")) & (distance <= F.col("bound"))
+        found = probes.join(index.hint("merge"), met).select(
+            "query_id", "q", distance.alias("distance"), F.explode("ids").alias("vec_id"))
         seen = found if best is None else found.union(best)
         best = stored(_first(seen.distinct(), ["query_id", "q"], k, "distance", "vec_id"))
         # Whatever differs in at most this many bits has been found.
         covered = segments * (s + 1) - 1 if s < width else BITS
-        closed = best.groupBy("query_id", "q").agg(F.count("*").alias("n"), F.max("distance").alias("kth")).where(
-            (F.col("kth") <= covered) & ((F.col("n") >= k) | F.lit(covered >= BITS))).select("query_id", "q")
+        state = best.groupBy("query_id", "q").agg(F.count("*").alias("n"), F.max("distance").alias("kth"))
+        closed = state.where((F.col("kth") <= covered) & ((F.col("n") >= k) | F.lit(covered >= BITS))).select("query_id", "q")
         done.append(best.join(closed, ["query_id", "q"], "left_semi"))
         if s < width:
-            pending = stored(pending.join(closed, ["query_id", "q"], "left_anti"))
+            bound = F.when(F.col("n") >= k, F.col("kth")).otherwise(BITS).alias("bound")
+            pending = stored(pending.select("query_id", "q").join(closed, ["query_id", "q"], "left_anti")
+                             .join(state, ["query_id", "q"], "left").select("query_id", "q", bound))
             if pending.isEmpty():
                 break
             best = best.join(pending, ["query_id", "q"], "left_semi").select("query_id", "q", "distance", "vec_id")
