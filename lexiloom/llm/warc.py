@@ -187,14 +187,19 @@ class Archive:
     folder: str
     directory: DataFrame
 
+    def parts(self, blocks: int = 64) -> int:
+        """Into how many tasks to deal reads, whose rows are small beside what they read: some blocks of captures for each."""
+        return max(self.directory.sparkSession.sparkContext.defaultParallelism, self.directory.count() // blocks)
+
 
 def write(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, block_lines: int = 1000,
           file_bytes: int = 1 << 26) -> Archive:
     """Archives of pages (page_id, url, html) and their index."""
     folder = folder or work_folder(pages.sparkSession)
     rows = pages.select("page_id", "url", without_nulls("html")).withColumn("sha", F.unhex(F.sha1("html")))
-    shared = rows.where(F.octet_length("html") >= least_bytes).groupBy("sha").agg(
-        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
+    # Stored, so that the join has plain exchanges on both sides: Spark can split that of a hot payload.
+    shared = stored(rows.where(F.octet_length("html") >= least_bytes).groupBy("sha").agg(
+        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n"))
     later = F.coalesce(F.col("page_id") > F.col("first"), F.col("first").isNotNull())
     records = rows.join(shared, "sha", "left").select(
         F.col("page_id").cast("string").alias("page"), "url", "html", url_key(F.col("url")).alias("key"),
@@ -228,7 +233,7 @@ def captures(archive: Archive) -> DataFrame:
             for lines in _lines_of(folder, batch):
                 yield _as_captures(lines)
 
-    return archive.directory.repartition("file", "offset").mapInArrow(run, CAPTURE)
+    return archive.directory.repartition(archive.parts(), "file", "offset").mapInArrow(run, CAPTURE)
 
 
 def lookup(archive: Archive, urls: list[str]) -> DataFrame:
@@ -268,4 +273,4 @@ def read(archive: Archive, chosen: DataFrame) -> DataFrame:
                 ("payload_digest", pa.string()), ("payload", pa.binary())]))
 
     stretch = F.shiftright("offset", 22)  # about 4 MB of an archive
-    return chosen.repartition("file", stretch).sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
+    return chosen.repartition(archive.parts(), "file", stretch).sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
