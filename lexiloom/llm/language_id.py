@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.llm.frames import stored
+
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 UNKNOWN = "und"
@@ -165,7 +167,8 @@ def train(documents: DataFrame, per_language: int = 800, sample: int = 8000) ->
             frequency[bucket] = n
     idf = np.log((1 + documents_in_all) / (1 + frequency)) + 1
     # A share of each language's hashes, so that rare languages are seen as often as frequent ones.
-    shares = known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
+    # Stored: a few rows whose size Spark knows, so the many rows of one language needn't meet in a task.
+    shares = stored(known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share")))
     place = F.pmod("mark", F.lit(1_000_003)) / 1_000_003
     marks = (known.select("mark", "lang").join(shares, "lang").where(place < F.col("share")).select("mark", "lang").distinct()
              .orderBy("mark", "lang").limit(sample))
