@@ -233,12 +233,13 @@ def _resplit(length: int, width: int):
 
 def resolve(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Places of bands all of whose starts are repeated, and of those that must be split: one of each different whole."""
-    shared = bands.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
+    # Stored, so that both sides of each join are plain exchanges: Spark can split those of a hot core.
+    shared = stored(bands.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"))
     open_cores = stored(bands.join(shared, "c", "left_semi"))
     wholes = stored(open_cores.groupBy("c", "f").agg(F.count("*").alias("n"), F.min("place").alias("place"),
                                                     F.min_by("skip", "place").alias("skip")))
     repeated = open_cores.join(wholes.where("n > 1").select("c", "f"), ["c", "f"], "left_semi").select("place", "skip")
-    undecided = wholes.where("n = 1").select("c").distinct()
+    undecided = stored(wholes.where("n = 1").select("c").distinct())
     return stored(repeated), stored(wholes.join(undecided, "c", "left_semi").select("place", "skip"))
 
 
@@ -292,7 +293,7 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
     repeated, pending = resolve(parsed.where("n_bytes IS NULL").select("c", "f", "place", "skip"))
     partly = gathered(repeated).select("key", "n_bytes", "bands").mapInArrow(_uncovered(length), "key binary")
     # Only texts that are split further or keep a part are needed again, one of each.
-    wanted = partly.union(_located(pending, pages).select("key")).distinct()
+    wanted = stored(partly.union(_located(pending, pages).select("key")).distinct())
     needed = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
     found = repeated
     for width in BANDS[1:]:
@@ -301,8 +302,9 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
         more, pending = resolve(bands)
         found = found.union(more)
     # Copies have the same spans: one of them is enough.
-    one = gathered(found).groupBy("key").agg(F.min("base").alias("base"))
-    spans = gathered(found).join(one, ["base", "key"], "left_semi").join(needed, "key", "left")
+    whole = stored(gathered(found))
+    one = whole.groupBy("key").agg(F.min("base").alias("base"))
+    spans = whole.join(one, ["base", "key"], "left_semi").join(needed, "key", "left")
     return stored(spans.select("key", "n_bytes", "text", "bands").mapInArrow(
         _spans(length), "key binary, spans array<struct<start:long,end:long>>, kept binary, kept_text string"))
 
