@@ -25,6 +25,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -137,13 +138,17 @@ def links(fps: DataFrame, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
         groups = [level[i:i + per] for i in range(0, len(level), per)]
         chosen = _literal(groups[0]) if depth == 0 else F.get(F.array(*map(_literal, groups)), F.col("tab"))
         bucketed = _bucketed(rows, chosen, per)
-        shared = bucketed.groupBy("tab", "key").agg(F.count("*").alias("members")).where("members > 1")
+        # Stored, so that the join has plain exchanges on both sides, which Spark can split where a bucket is hot.
+        shared = settle(bucketed.groupBy("tab", "key").agg(F.count("*").alias("members")).where("members > 1"))
         sized = settle(bucketed.join(shared, ["tab", "key"]))
         if depth == 2:
-            return found[0].union(found[1]).union(_edges_of(sized, radius))
+            found.append(_edges_of(sized, radius))
+            break
         found.append(_edges_of(sized.where(F.col("members") <= bucket_limit), radius))
         rows = sized.where(F.col("members") > bucket_limit).select("fp", "tab")
-    raise AssertionError
+        if rows.isEmpty():
+            break
+    return reduce(DataFrame.union, found)
 
 
 def classified(documents: DataFrame, size: int = 3, radius: int = 3, bucket_limit: int = 64) -> DataFrame:
