@@ -55,11 +55,12 @@ def shingles(text: Column, size: int) -> Column:
 def fingerprints(texts: DataFrame, size: int = 3) -> DataFrame:
     """``key`` and ``fp`` (64 bits as a long) of every different text with words.
 
-    ``texts`` has columns key (the same for equal texts only) and text. Repeated
-    texts change no majority, so they needn't be removed. Two counters share a
-    long: each holds 32 bits.
+    ``texts`` has columns key (the same for equal texts only) and text. One text
+    of each key is counted, the map tasks drop most copies. Two counters share a
+    long, 32 bits each: a text of 2 GB, the most there can be, has 2**30 shingles.
     """
-    rows = texts.where(F.btrim("text", F.lit(BLANKS)) != "").select("key", F.inline(shingles(F.col("text"), size)))
+    different = texts.where(F.btrim("text", F.lit(BLANKS)) != "").groupBy("key").agg(F.first("text").alias("text"))
+    rows = different.select("key", F.inline(shingles(F.col("text"), size)))
     hashed = rows.select("key", F.xxhash64(F.concat_ws(" ", *(f"w{i}" for i in range(size)))).alias("h"))
     pair = F.lit((1 << 32) | 1)
     sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(pair)).alias(f"s{i}") for i in range(32)]

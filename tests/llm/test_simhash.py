@@ -47,6 +47,24 @@ def test_documents(documents, rows):
     assert kept.columns == documents.columns and kept.count() == len(set(roots))
 
 
+def rows_out(plan, name):
+    """How many rows the nodes of a name have made in an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    inner = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else [
+        plan.children().apply(i) for i in range(plan.children().size())]
+    made = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == name else 0
+    return made + sum(rows_out(p, name) for p in inner)
+
+
+def test_copies_are_not_counted(spark):
+    """A counter has 32 bits, so it may count the shingles of one text, not those of all copies."""
+    text = "na na na na Na na na"
+    texts = spark.createDataFrame([(text,)] * 500 + [("one other text here",)] * 2 + [(" ",)], "text string").repartition(4)
+    found = simhash.fingerprints(texts.select(simhash.text_key(texts["text"]).alias("key"), "text"))
+    assert sorted(r.fp % (1 << 64) for r in found.collect()) == sorted([fingerprint(text), fingerprint("one other text here")])
+    assert rows_out(found._jdf.queryExecution().executedPlan(), "Generate") == 5 + 2
+
+
 @pytest.mark.parametrize("radius", [1, 3])
 def test_every_pair_within_the_radius_shares_a_mask(radius):
     for masks in (simhash.covering_masks(list(range(64)), radius), simhash.covering_masks(list(range(5, 40)), radius)):
