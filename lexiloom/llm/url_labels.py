@@ -9,8 +9,6 @@ http://www.casino-royal.example.com/slots/1
 https://casino-bonus.example.net/en/win
 https://www.best-casino.example.org/jackpot
 http://m.online-casino.example.com/play?id=4
-https://blog.casino-win.example.net/de/20
-https://win-casino.example.org/fr/5.html
 http://poker-casino.example.com/en/free-spins
 https://casino777.example.net/register
 https://www.poker-stars-bonus.example.com/en/99
@@ -18,8 +16,6 @@ https://sports-betting.example.net/odds
 https://www.bet-and-win.example.org/live-bets
 http://slots-jackpot.example.com/en/12
 https://lottery-winner.example.net/claim
-http://cheap-pills.example.org/buy
-https://www.cheap-pills-online.example.com/en/450
 https://m.buy-pills.example.net/viagra
 https://pills-discount.example.org/de/3
 http://cheap-viagra.example.com/order
@@ -29,7 +25,6 @@ https://cheap-meds.example.com/fr/77
 http://weight-loss-pills.example.net/en/8
 https://diet-pills.example.org/trial
 https://adult-videos.example.com/watch/1
-http://www.adult-x.example.org/en/31
 https://m.adult-dating.example.net/join
 https://adult-chat.example.com/de/640
 https://xxx-adult.example.net/gallery
@@ -49,14 +44,16 @@ https://get-rich-quick.example.net/en/1
 https://warez-crack.example.org/keygen
 http://torrent-crack.example.com/download
 https://spyware-free-download.example.net/exe
-https://link-farm.example.org/en/3
-http://seo-spam-links.example.com/de/88
-https://www.spam-mail.example.net/fr/41
-https://ads-server.example.com/click
 http://ad-tracking.example.net/pixel
-https://track-ads.example.org/en/banner
-http://www.free-bets-today.example.net/es/6
 https://bonus-bets.example.com/en/27
+https://banner-popups.example.com/click
+http://popup-clicks.example.org/en/banner
+https://bulk-mailer.example.net/fr/41
+http://backlink-seller.example.com/de/88
+https://www.roulette-spins.example.net/es/6
+https://blackjack-tables.example.org/fr/5.html
+https://www.pharma-discount.example.com/en/450
+https://erotic-clips.example.org/en/31
 """
 WANTED = """
 https://www.city-news.example.com/en/2021/council
@@ -79,36 +76,30 @@ https://history.example.com/en/323.html
 https://www.school.example.org/teachers
 https://physics.example.net/lecture/notes
 http://cinema.example.com/de/503
-https://www.farmers.example.org/market
 https://blog.photography.example.net/en/189
 https://health.gov.example.org/vaccines
 https://bank.example.com/en/contact
 https://parks.example.net/trails/7
-https://therth.example.com/en/17
-https://www.ththre.example.net/de/956
-https://blog.tionth.example.org/en/552?utm_source=feed
-http://m.theren.example.com/fr/357?page=2&ref=x
-https://ererth.example.net/es/970
-https://www.anding.example.org/en/471
-http://blog.ththor.example.com/en/104
-https://inthe.example.net/en/864?page=2&ref=x
-https://m.tioned.example.org/en/518.html
-https://www.ndther.example.com/es/319/
-http://blog.eaing.example.net/de/945.html
-https://lying.example.org/fr/65
-https://stther.example.com/en/48
-https://m.ouand.example.net/fr/510/
-https://www.reshe.example.org/de/571?utm_source=feed
-https://blog.hation.example.com/en/912/
-https://ortion.example.net/en/234#top
-https://atble.example.org/de/180#top
-http://www.enther.example.com/en/843.html
 https://www.athletics.example.org/track-and-field
-https://m.farm-shop.example.com/en/apples
-https://therin.example.com/en/27
-https://www.ththor.example.net/es/6
-http://ththing.example.org/fr/41
-https://ththnt.example.com/de/88
+https://orchard.example.com/en/17
+https://www.bakery.example.net/de/956
+https://blog.astronomy.example.org/en/552?utm_source=feed
+http://m.railway.example.com/fr/357?page=2&ref=x
+https://pottery.example.net/es/970
+https://www.choir.example.org/en/471
+http://blog.cycling.example.com/en/104
+https://botany.example.net/en/864?page=2&ref=x
+https://m.hiking.example.org/en/518.html
+https://www.hospital.example.com/es/319/
+http://blog.sailing.example.net/de/945.html
+https://grammar.example.org/fr/65
+https://puzzles.example.com/en/48
+https://m.cookbook.example.net/fr/510/
+https://www.archive.example.org/de/571?utm_source=feed
+https://blog.chemistry.example.com/en/912/
+https://geology.example.net/en/234#top
+https://volunteers.example.org/de/180#top
+http://www.carpentry.example.com/en/843.html
 """
 
 

@@ -56,6 +56,15 @@ def test_held_out_accuracy(spark):
     assert hits / len(rows) > 0.7  # of words that no other labelled url may hold; half by chance
 
 
+def test_labels_hold_no_host_of_the_test_pages(spark):
+    def words(url):
+        name = parts(url)[0].rsplit(".example.", 1)[0].rsplit(".", 1)[-1]
+        return frozenset(name.split("-"))
+    pages = {words(r.url) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").where("url LIKE '%.example.%'").collect()}
+    for r in labelled_urls(spark).collect():
+        assert not any(w and w <= words(r.url) for w in pages - {frozenset([""])}), r.url
+
+
 def test_tables_of_one_class_and_none(spark):
     def score(rows):
         made = url_filter.train(spark.createDataFrame(rows, "url string, label int"))
