@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm import (
-    bpe, hamming_search, language_id, packing, quality_rules, simhash, suffix_dedup, token_counts, url_filter, warc,
+    bpe, centroids, hamming_search, hard_negatives, language_id, minhash, packing, quality_rules, simhash, suffix_dedup, token_counts,
+    url_filter, warc,
 )
 from lexiloom.llm.frames import load
 from lexiloom.llm.url_labels import labelled_urls
@@ -134,3 +135,66 @@ d AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(64 - list_sum(list_transform(l
   lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance FROM v a, v b WHERE a.vec_id % 100 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank FROM d)
 SELECT query_id, vec_id, distance, rank FROM r WHERE rank <= 10"""
+
+
+@query
+def op11_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after three rounds from 16 seeds."""
+    return centroids.clustered(load(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=16, rounds=3, components=64, scale=64, salt="1:")
+
+
+# Floored division of a sum by a count, for negative sums too.
+_MOVED = """m{r} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+  SELECT k, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, (SELECT unnest(range(1, 65)) AS i) GROUP BY k, i) GROUP BY k),
+c{s} AS (SELECT c{r}.k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k))"""
+_ASSIGNED = """a{r} AS (SELECT p, vec_id, any_value(x) AS x, arg_min(k, (d, k)) AS k, min(d) AS d FROM (
+  SELECT p, vec_id, x, k, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM v, c{r}) GROUP BY p, vec_id)"""
+ORACLES["op11_ns_bounds"] = """
+WITH v AS (SELECT row_number() OVER () AS p, vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k, x AS c FROM v ORDER BY k LIMIT 16),
+""" + ",\n".join(part for r in range(3) for part in (_ASSIGNED.format(r=r), _MOVED.format(r=r, s=r + 1))) + ",\n" + _ASSIGNED.format(r=3) + """
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a3 JOIN c3 USING (k)"""
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document, by 4-word shingles."""
+    return minhash.near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), size=4, percent=80)
+
+
+ORACLES["op12_minhash"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles FROM w),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(node, reached) AS (SELECT a, b FROM p UNION SELECT r.node, p.b FROM r JOIN p ON r.reached = p.a),
+c AS (SELECT node, min(reached) AS least FROM r GROUP BY node)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id,
+  least(doc_id, coalesce(least, doc_id)) = doc_id AS kept FROM s LEFT JOIN c ON doc_id = node"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten negatives for each of the five positives of every vector whose id is divisible by 100."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    rows = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").select("vec_id", "embedding", moved)
+    return hard_negatives.mine(hard_negatives.prepared(rows, scale=256), "vec_id % 100 = 0", positives=5, negatives=10,
+                               least_percent=30, most_percent=90)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
