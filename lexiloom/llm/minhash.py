@@ -9,13 +9,15 @@ a pair at the threshold 0.8 shares no bucket with a chance of 5 in 10**8.
 
 **Candidates.** Sets that are equal are one node. In a bucket, one node (the
 centre) is paired with the others: a star, no more pairs than members. Pairs are
-confirmed on the full sets and links give components. A bucket whose members are
-one component is settled, since more links would change nothing. In any other
-bucket the centre, which has met everyone, is taken out, and the least members
-of its components (those of fewest members first) are the centres of the next
-stars: 8 of them, then 64, and so on, until every bucket is settled. So no link
-between two members of a bucket is lost, and pairs within a component that is
-known aren't made.
+confirmed on the full sets and links give components. A bucket whose members
+(but the centre, which has met everyone) are one component is settled, since
+more links would change nothing. The other buckets are searched in blocks: their
+members are cut into chunks of about ``CHUNK_SHINGLES`` numbers, and a block is
+two chunks. Inside a block, pairs of different components whose signatures agree
+in ``LEAST_AGREEING`` bins (at a similarity of 0.8, all but 5 in 10**12 do) are
+confirmed on the full sets, unless what is known of the block joins them
+already. Only links leave a block, never pairs. So no link between two members
+of a bucket is lost.
 
 Only numbers travel: texts are read a second time for the nodes that share a
 bucket, and only their sets are stored.
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.components import connected_components
@@ -47,8 +49,8 @@ from lexiloom.llm.frames import stored, without_nulls
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
-#: Centres of a bucket in the rounds after the first.
-CENTRES = 8
+CHUNK_SHINGLES = 1 << 16
+LEAST_AGREEING = 72
 #: Hashes of words that a task keeps: a limit of memory, not of results.
 KEPT_WORDS = 1 << 18
 BATCH_BYTES = 4 << 20
@@ -103,8 +105,8 @@ def signature(ordered: np.ndarray) -> np.ndarray:
     return values
 
 
-def band_hashes(ordered: np.ndarray) -> np.ndarray:
-    rows = signature(ordered).reshape(BANDS, ROWS)
+def hashes_of_bands(bins: np.ndarray) -> np.ndarray:
+    rows = bins.reshape(BANDS, ROWS)
     total = np.zeros(BANDS, np.uint64)
     for i in range(ROWS):
         total = _mixed(total * _STEPS[32 + i] + rows[:, i])
@@ -121,7 +123,7 @@ def _described(size: int):
                 found = shingles.of(text.as_py())
                 counts.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                bands.append(band_hashes(found) if len(found) else None)
+                bands.append(hashes_of_bands(signature(found)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text_key", "n", "key", "bands"])
@@ -166,16 +168,61 @@ def _within_size(percent: int) -> Column:
     return F.lit(100) * F.least("n", "n_c") >= F.lit(percent) * F.greatest("n", "n_c")
 
 
-def _components(roots: DataFrame | None, links: DataFrame) -> DataFrame:
-    edges = links if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
-    return stored(connected_components(edges))
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with their component, of the buckets that hold more than one, and the number of chunks of each bucket."""
+    placed = stored(members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"))
+    chunks = F.ceil(F.sum("n") / F.lit(CHUNK_SHINGLES)).cast("int").alias("chunks")
+    mixed = stored(placed.groupBy("band", "h").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), chunks)
+                   .where("x <> y").select("band", "h", "chunks"))
+    return stored(placed.join(mixed, ["band", "h"]))
 
 
-def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members with their component, of the buckets that hold more than one."""
-    placed = stored(members.drop("comp").join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"))
-    mixed = stored(placed.groupBy("band", "h").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band", "h"))
-    return stored(placed.join(mixed, ["band", "h"], "left_semi"))
+def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two ascending sets have ``percent`` of their union in common."""
+    at = np.searchsorted(one, other)
+    common = int((one[np.minimum(at, len(one) - 1)] == other).sum())
+    return 100 * common >= percent * (len(one) + len(other) - common)
+
+
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links that join what is linked in a block: between its two chunks, or within its only one.
+
+    A pair is left to the first band whose bucket it shares: that bucket is open as well.
+    """
+    nodes, comps, chunks = (table[c].to_numpy() for c in ("node", "comp", "chunk"))
+    band, low, high = (table[c][0].as_py() for c in ("band", "low", "high"))
+    sets = [s.values.to_numpy().view(np.uint64) for s in table["shingles"]]
+    sizes = np.array([len(s) for s in sets])
+    bins = np.stack([signature(s) for s in sets])
+    buckets = np.stack([hashes_of_bands(b) for b in bins])
+    root = {c: c for c in comps.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    made: list[tuple[int, int]] = []
+    for i in range(len(nodes)):
+        others = np.flatnonzero((comps != comps[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])))
+        others = others[others > i] if low == high else others[chunks[others] == high] if chunks[i] == low else others[:0]
+        others = others[~(buckets[others, :band] == buckets[i, :band]).any(1)]
+        others = others[(bins[others] == bins[i]).sum(1) >= LEAST_AGREEING]
+        for j in others.tolist():
+            a, b = find(int(comps[i])), find(int(comps[j]))
+            if a != b and similar(sets[i], sets[j], percent):
+                root[max(a, b)] = min(a, b)
+                made.append((int(nodes[i]), int(nodes[j])))
+    return pa.table({"a": pa.array([a for a, _ in made], pa.int64()), "b": pa.array([b for _, b in made], pa.int64())})
+
+
+def _links_in_blocks(pending: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    dealt = pending.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = dealt.select("band", "h", "node", "comp", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+    return (blocks.join(sets, "node").groupBy("band", "h", "low", "high")
+            .applyInArrow(lambda table: _block_links(table, percent), "a long, b long"))
 
 
 def link(members: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
@@ -184,24 +231,13 @@ def link(members: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
     centres = stored(members.groupBy(*bucket).agg(F.min_by(F.struct("node", "n"), "node").alias("c"))
                      .select(*bucket, F.col("c.node").alias("centre"), F.col("c.n").alias("n_c")))
     others = stored(members.join(centres, bucket).where("node <> centre"))
-    tested = stored(others.where(_within_size(percent)).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
-    roots = _components(None, confirmed(tested, sets, percent))
-    pending = _placed(others.select(*bucket, "node", "n"), roots)
-    limit = CENTRES
-    while not pending.isEmpty():
-        least = pending.groupBy(*bucket, "comp").agg(F.min_by(F.struct("node", "n"), "node").alias("c"), F.count("*").alias("size"))
-        place = F.row_number().over(Window.partitionBy(*bucket).orderBy("size", "c.node"))
-        centres = stored(least.withColumn("place", place).where(F.col("place") <= limit).select(
-            *bucket, F.col("c.node").alias("centre"), F.col("c.n").alias("n_c"), F.col("comp").alias("comp_c")))
-        met = pending.join(centres, bucket).where((F.col("comp") != F.col("comp_c")) & _within_size(percent))
-        pairs = met.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
-        fresh = stored(pairs.join(tested, ["a", "b"], "left_anti"))
-        roots = _components(roots, confirmed(fresh, sets, percent))
-        tested = stored(tested.union(fresh))
-        used = centres.select(*bucket, F.col("centre").alias("node"))
-        pending = _placed(pending.join(used, [*bucket, "node"], "left_anti"), roots)
-        limit *= CENTRES
-    return roots
+    pairs = stored(others.where(_within_size(percent)).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+    stars = stored(connected_components(confirmed(pairs, sets, percent)))
+    pending = _open(others.select(*bucket, "node", "n"), stars)
+    if pending.isEmpty():
+        return stars
+    more = stored(_links_in_blocks(pending, sets, percent))
+    return stored(connected_components(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)))
 
 
 def near_duplicates(documents: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:

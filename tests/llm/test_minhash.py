@@ -5,6 +5,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pytest
 from data import prose
 
 from lexiloom.llm import minhash
@@ -55,8 +56,10 @@ def changed(rng, words, n):
     return " ".join(words)
 
 
-def test_clouds(spark):
+@pytest.mark.parametrize("chunk", [1 << 16, 900])
+def test_clouds(spark, monkeypatch, chunk):
     """Texts around a few centres at all similarities, so that stars leave links between their members."""
+    monkeypatch.setattr(minhash, "CHUNK_SHINGLES", chunk)
     rng = random.Random(4)
     rows = []
     for _ in range(4):
@@ -74,11 +77,19 @@ def test_clouds(spark):
     assert result(df) == plain(rows)
 
 
-def test_links_between_members_that_the_centre_lacks(spark):
-    """One bucket of all: the centre is linked with none of them, and they are linked in two groups."""
+@pytest.mark.parametrize("chunk", [1 << 16, 250])
+def test_links_between_members_that_the_centre_lacks(spark, monkeypatch, chunk):
+    """Buckets of all nodes: the centre is linked with none of them, and they are linked in two groups."""
+    monkeypatch.setattr(minhash, "CHUNK_SHINGLES", chunk)
+    rng = np.random.default_rng(9)
+    values = rng.integers(0, 1 << 63, 1500, np.uint64) * np.uint64(2)
     sets = {0: range(1000, 1100), **{i: range(i, i + 100) for i in (1, 3, 5, 7)}, **{i: range(i, i + 100) for i in (200, 203, 206)}}
-    members = spark.createDataFrame([(0, 7, node, 100) for node in sets], "band int, h long, node long, n long")
-    table = spark.createDataFrame([(node, list(s)) for node, s in sets.items()], "node long, shingles array<long>")
+    sets = {node: np.unique(values[list(s)]) for node, s in sets.items()}
+    # Their real bands, and one that no pair shares first: a bucket by decree.
+    rows = [(band, int(h), node, 100) for node, s in sets.items() for band, h in enumerate(bands(s))]
+    rows += [(0, 7, node, 100) for node in sets]
+    members = spark.createDataFrame(rows, "band int, h long, node long, n long")
+    table = spark.createDataFrame([(node, s.view(np.int64).tolist()) for node, s in sets.items()], "node long, shingles array<long>")
     found = {r.node: r.root for r in minhash.link(members, table).collect()}
     assert found == {3: 1, 5: 1, 7: 1, 203: 200, 206: 200}
 
@@ -94,6 +105,10 @@ def test_bins_agree_as_often_as_sets_are_similar():
         assert abs(np.mean(agree) - common / (common + 2 * extra)) < 0.03
 
 
+def bands(values):
+    return minhash.hashes_of_bands(minhash.signature(values))
+
+
 def test_recall_of_bands_at_the_threshold():
     rng = np.random.default_rng(2)
     missed = 0
@@ -101,7 +116,7 @@ def test_recall_of_bands_at_the_threshold():
         for _ in range(300):
             values = rng.integers(0, 1 << 63, size, np.uint64) * np.uint64(2)
             a, b = np.unique(values), np.unique(values[:size * 4 // 5])
-            missed += not (minhash.band_hashes(a) == minhash.band_hashes(b)).any()
+            missed += not (bands(a) == bands(b)).any()
     assert missed == 0
 
 
