@@ -323,6 +323,19 @@ def x2_custom_check(spark, sf):
         "sample_id", "method", "failed_rule")
 
 
+def _polite(original: str, augmented: str, entities: list[dict]) -> bool:
+    return "Please" not in augmented and len(entities) < 3
+
+
+@query("x2_python_check", O.sql(O.CAND, """
+SELECT sample_id, method, CASE WHEN failed_rule IS NULL AND (contains(a, 'Please') OR len(ae) >= 3) THEN 'user_rule' ELSE failed_rule END AS failed_rule,
+  failed_rule IS NULL AND NOT contains(a, 'Please') AND len(ae) < 3 AS quality_passed FROM variants"""))
+def x2_python_check(spark, sf):
+    """An ordinary Python function as a check."""
+    found = augment.candidates(T.utterances(spark, sf), SETTINGS, extra_checks={"user_rule": quality.python_check(_polite)})
+    return found.select("sample_id", "method", "failed_rule", "quality_passed")
+
+
 @query("x3_extended_vocabulary", O.sql(O.UTT, f"""
 SELECT sample_id, array_to_string(list_filter([{', '.join(
     f"CASE WHEN len(entities) >= {i + 1} THEN CASE WHEN contains(lower(entities[{i + 1}].type), 'device') AND contains(lower(entities[{i + 1}].filler), 'zu') AND NOT ({' OR '.join(f"contains(lower(entities[{i + 1}].filler), {O.q(t)}) OR lower(entities[{i + 1}].filler) IN ({', '.join(O.q(x) for x in s)})" for t, s in O.VOCABULARY.devices.items())}) THEN 'nach' ELSE '-' END END" for i in range(3))}], lambda x: x IS NOT NULL), ';') AS added FROM utt"""))
@@ -371,9 +384,10 @@ def g1_rarity_profile(spark, sf):
 
 @query("s4_settings_file", O.sql(O.UTT + ",\n" + _RARE.replace("t * 2 // 5", "t * 3 // 5"), "SELECT dimension, label, n, rare FROM rarity"))
 def s4_settings_file(spark, sf):
-    """Thresholds from a settings file."""
+    """Thresholds from a settings file that has sections without content."""
     n, path = T.load(spark, sf, "documents").count(), work_folder(spark)
-    text = f"augmentation:\n  min_intent_frequency: {n * 2}\n  min_entity_frequency: {n * 3 // 5}\n"
+    text = (f"vocabularies:\nquality_control:\naugmentation:\n  min_intent_frequency: {n * 2}\n  min_entity_frequency: {n * 3 // 5}\n"
+            "  sample_augmentation_methods:\n")
     spark.range(1).select(F.lit(text)).write.text(path)
     return profile.rarity_profile(T.utterances(spark, sf), load_settings(spark, f"{path}/part-*"))
 
@@ -401,11 +415,12 @@ def g2_distribution(spark, sf):
 
 
 @query("g3_generation_statistics", O.sql(O.CAND4, """
-SELECT method, count(DISTINCT sample_id) AS processed_samples,
+SELECT method, (SELECT count(*) FROM utt) AS processed_samples, count(DISTINCT sample_id) AS tried_samples,
   count(*) FILTER (WHERE failed_rule IS NULL) AS generated, count(*) FILTER (WHERE failed_rule IS NOT NULL) AS failed,
   count(*) FILTER (WHERE failed_rule IS NULL)::DOUBLE / count(*) AS success_rate FROM variants GROUP BY ROLLUP (method)"""))
 def g3_generation_statistics(spark, sf):
-    return profile.generation_statistics(variants(spark, sf, ALL_METHODS))
+    u, settings = frequent(spark, sf)
+    return profile.generation_statistics(augment.candidates(u, ALL_METHODS), settle(profile.rarity_profile(u, settings)))
 
 
 _VALUES = """vals AS (SELECT kind, value, count(*) AS n FROM (
@@ -663,12 +678,24 @@ def g7_review_analysis(spark, sf):
     return review.review_analysis(T.reviews(spark, sf), SETTINGS)
 
 
-@query("g8_review_progress", O.sql(O.REVIEW, """
-SELECT m AS method, count(*) AS total, count(*) FILTER (WHERE lower(ap) = 'yes') AS approved, count(*) FILTER (WHERE lower(ap) = 'no') AS rejected,
+_PROGRESS = """count(*) AS total, count(*) FILTER (WHERE lower(ap) = 'yes') AS approved, count(*) FILTER (WHERE lower(ap) = 'no') AS rejected,
   count(*) FILTER (WHERE lower(ap) IS NULL OR lower(ap) NOT IN ('yes', 'no')) AS pending,
-  count(*) FILTER (WHERE lower(ap) = 'yes')::DOUBLE / count(*) AS approval_rate FROM review GROUP BY ROLLUP (m)"""))
-def g8_review_progress(spark, sf):
-    return review.review_progress(T.reviews(spark, sf)).withColumnRenamed("Augmentation_Method", "method")
+  coalesce(count(*) FILTER (WHERE lower(ap) = 'yes')::DOUBLE / nullif(count(*), 0), 0) AS approval_rate"""
+
+
+def progress_query(name: str, method: str, where: str, method_sql: str, where_sql: str) -> None:
+    def run(spark, sf):
+        rows = T.reviews(spark, sf).withColumn("Augmentation_Method", F.expr(method)).filter(where)
+        return review.review_progress(rows).withColumnRenamed("Augmentation_Method", "method")
+    source = f"SELECT {method_sql} AS method, ap FROM review WHERE {where_sql}"
+    query(name, O.sql(O.REVIEW, f"""SELECT method, {_PROGRESS}, false AS is_total FROM ({source}) GROUP BY method
+UNION ALL SELECT NULL, {_PROGRESS}, true FROM ({source})"""))(run)
+
+
+progress_query("g8_review_progress", "Augmentation_Method", "true", "m", "true")
+progress_query("g8_rows_without_method", "CASE WHEN CAST(Sample_ID AS BIGINT) % 3 > 0 THEN Augmentation_Method END", "true",
+               "CASE WHEN doc_id % 3 > 0 THEN m END", "true")
+progress_query("g8_review_without_rows", "Augmentation_Method", "Original_Intent = 'none of them'", "m", "oi = 'none of them'")
 
 
 _REPORT = f"""count(*) AS total_samples_in_review_file,
@@ -1042,7 +1069,7 @@ def j4_chain_final(spark, sf):
 
 
 @query("j1_statistics", O.sql(_J1, """
-SELECT method, count(DISTINCT sample_id) AS processed_samples,
+SELECT method, (SELECT count(*) FROM every) AS processed_samples, count(DISTINCT sample_id) AS tried_samples,
   count(*) FILTER (WHERE failed_rule IS NULL) AS generated, count(*) FILTER (WHERE failed_rule IS NOT NULL) AS failed,
   count(*) FILTER (WHERE failed_rule IS NULL)::DOUBLE / count(*) AS success_rate FROM variants GROUP BY ROLLUP (method)"""))
 def j1_statistics(spark, sf):
@@ -1054,7 +1081,7 @@ def j1_statistics(spark, sf):
 SELECT (SELECT count(*) FROM utt) AS input_samples, count(*) AS final_samples,
   (count(*)::DOUBLE / (SELECT count(*) FROM utt) - 1) * 100 AS augmentation_ratio FROM variants WHERE failed_rule IS NULL"""))
 def j4_generate_and_integrate(spark, sf):
-    """All variants reviewed, not just a batch: the batch limit is set to the table's size."""
+    """All variants reviewed and integrated, not just a batch."""
     u = stored(spark, sf)
     every = replace(SETTINGS, min_intent_frequency=2 ** 62)
     generation = jobs.generate(u, every)

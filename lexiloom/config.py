@@ -131,19 +131,20 @@ def load_settings(spark: SparkSession, path: str) -> Settings:
     except ImportError as missing:
         raise RuntimeError("reading a settings file needs the yaml package") from missing
     text = spark.read.text(path, wholetext=True).first()
-    return settings_from(yaml.safe_load(text["value"]) if text else {})
+    return settings_from(yaml.safe_load(text["value"]) if text else None)
 
 
-def settings_from(document: dict) -> Settings:
-    words = document.get("vocabularies", {})
-    polite = words.get("politeness", {})
+def settings_from(document: dict | None) -> Settings:
+    """Settings of a document; an empty one, a section without content and a value left blank keep the defaults."""
+    document = document or {}
+    words = document.get("vocabularies") or {}
+    polite = words.get("politeness") or {}
     vocabulary = Vocabulary(
-        words.get("devices", {}), words.get("locations", {}), words.get("actions", {}),
-        words.get("time_expressions", {}), polite.get("prefixes", []), polite.get("suffixes", []),
+        *({term: list(synonyms or []) for term, synonyms in (words.get(kind) or {}).items()}
+          for kind in ("devices", "locations", "actions", "time_expressions")),
+        polite.get("prefixes") or [], polite.get("suffixes") or [],
     ) if words else default_vocabulary()
-    generate = document.get("augmentation", {})
-    quality = document.get("quality_control", {})
-    merge = document.get("integration", {})
+    generate, quality, merge = (document.get(section) or {} for section in ("augmentation", "quality_control", "integration"))
     given = {
         "min_intent_frequency": generate.get("min_intent_frequency"),
         "min_entity_frequency": generate.get("min_entity_frequency"),
@@ -151,10 +152,10 @@ def settings_from(document: dict) -> Settings:
         "augment_rare_entities": generate.get("augment_rare_entities"),
         "max_variations": generate.get("max_variations_per_sample"),
         **{name: generate.get(name) for name in ("prefix_chance", "suffix_chance", "seed", "require_present", "keep_tail")},
-        **{name: tuple(generate.get(name, ())) or None for name in ("time_markers", "place_markers")},
+        **{name: tuple(generate.get(name) or ()) or None for name in ("time_markers", "place_markers")},
         "min_quality": quality.get("min_quality_score"),
         "min_naturalness": quality.get("min_naturalness_score"),
-        "methods": tuple(generate.get("sample_augmentation_methods", ())) or None,
+        "methods": tuple(generate.get("sample_augmentation_methods") or ()) or None,
         "min_length_ratio": quality.get("min_length_ratio"),
         "max_length_ratio": quality.get("max_length_ratio"),
         "check_entity_preservation": quality.get("check_entity_preservation"),

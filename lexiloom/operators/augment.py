@@ -19,7 +19,7 @@ from lexiloom.functions.entities import listed
 from lexiloom.functions.text import (
     BLANK, let, replace_first, replace_first_match, strip, whole_term_pattern, words,
 )
-from lexiloom.operators.quality import first_failed_rule
+from lexiloom.operators.quality import first_failed_rule, with_user_checks
 from lexiloom.schema import ENTITIES_DDL
 
 Method = Callable[[Column, Column, Column, Settings], Column]
@@ -232,6 +232,7 @@ def candidates(
     One row per utterance and method, for the first ``num_variations`` methods
     of the settings. ``quality_passed`` is the gate's verdict, ``failed_rule``
     the first rule broken, ``error`` set where no verdict is possible.
+    ``extra_checks`` are the user's rules, see ``quality.with_user_checks``.
     """
     known = {**METHODS, **(extra_methods or {})}
     wanted = settings.methods[:settings.max_variations if num_variations is None else num_variations]
@@ -254,7 +255,7 @@ def candidates(
     def judged(t: Column) -> Column:
         size = F.when(t["low"].isNull(), was).otherwise(F.size(t["low"]))
         rule = first_failed_rule(sentence, t["out"]["sentence"], entities, t["out"]["entities"],
-                                 was, size, t["low"], settings, extra_checks)
+                                 was, size, t["low"], settings)
         return F.struct(
             t["method"].alias("method"),
             t["out"]["sentence"].alias("augmented_sentence"),
@@ -274,7 +275,7 @@ def candidates(
                              F.posexplode(tries).alias("method_no", "_try"))
     made_one = F.col("_try.augmented_sentence").isNotNull()
     error = F.when(was == 0, "division by zero").when(~made_one, "no synonym to choose")
-    return fanned.select(
+    variants = fanned.select(
         *carried, "method_no",
         sentence.alias("original_sentence"),
         F.col("_try.augmented_sentence"),
@@ -294,6 +295,7 @@ def candidates(
         F.col("_try.failed_rule"),
         error.alias("error"),
     )
+    return with_user_checks(variants, extra_checks or {})
 
 
 def accepted(variants: DataFrame) -> DataFrame:

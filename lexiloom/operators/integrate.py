@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
 from lexiloom.functions.text import strip
+from lexiloom.operators import ranks
 from lexiloom.operators.profile import INTENT, TYPE, distribution_summary, label_counts
 from lexiloom.operators.rarity import with_any_label
 from lexiloom.session import settle
@@ -23,34 +24,27 @@ def first_n_per_group(df: DataFrame, group: str, targets: DataFrame, order: str
     """The first ``target`` rows of each group in ``order``; groups without a target are dropped.
 
     A group may hold most of the table, so no group is ever sorted in one
-    place. The fields of ``order`` are taken coarse to fine: rows are counted
-    per group and field value, a running sum over those counts finds the value
-    in which the group's limit falls, and the next field splits only the rows
-    under that value. What comes out is the key of each group's last row; the
-    table itself is then filtered against it without a shuffle. ``targets``
-    holds ``(group, target)`` with targets above zero.
+    place. Rows are counted per group and leading field of ``order``, and the
+    limit of each group falls in one value of it; the other fields split only
+    the rows under that value. Both steps find the value with ``ranks.cut``,
+    whose windows have a size of their own. What comes out is the key of each
+    group's last row; the table itself is then filtered against it without a
+    shuffle. ``targets`` holds ``(group, target)`` with targets above zero.
     """
-    levels = df.schema[order].dataType.names
-    at = {level: f"_at_{level}" for level in levels}
-    cut = targets.select(group, F.col("target").cast("bigint").alias("_left"))
-    for depth, level in enumerate(levels):
-        known = [at[f] for f in levels[:depth]]
-        here = df.select(group, *[F.col(f"{order}.{f}").alias(at[f]) for f in levels[:depth + 1]])
-        counts = (
-            here.join(cut, [group, *known])
-            .groupBy(group, *known, "_left", at[level]).agg(F.count("*").alias("_n"))
-        )
-        earlier = Window.partitionBy(group).orderBy(at[level]).rowsBetween(Window.unboundedPreceding, -1)
-        cut = settle(
-            counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-            .filter("_before < _left")
-            .groupBy(group).agg(F.max_by(
-                F.struct(*known, at[level], (F.col("_left") - F.col("_before")).alias("_left")),
-                F.col(at[level])).alias("_cut"))
-            .select(group, "_cut.*")
-        )
-    last = cut.select(group, F.struct(*[F.col(at[f]).alias(f) for f in levels]).alias("_last"))
-    return df.join(last, group).filter(F.col(order) <= F.col("_last")).select(*df.columns)
+    first, *others = df.schema[order].dataType.names
+    left = targets.select(group, F.col("target").cast("bigint").alias("_left"))
+    head = df.select(group, F.col(f"{order}.{first}").alias("_head"), *([F.struct(*[f"{order}.{f}" for f in others]).alias("_rest")] if others else []))
+
+    def counted(rows: DataFrame, value: str) -> DataFrame:
+        return settle(rows.groupBy(group, value, "_left").agg(F.count("*").alias("_n")))
+
+    found = settle(ranks.cut(counted(head.join(left, group), "_head"), group, "_head"))
+    last = F.struct(F.col("_head").alias(first))
+    if others:
+        inside = settle(ranks.cut(counted(head.join(found, [group, "_head"]), "_rest"), group, "_rest"))
+        found = inside.join(found.select(group, "_head"), group)
+        last = F.struct(F.col("_head").alias(first), *[F.col(f"_rest.{f}").alias(f) for f in others])
+    return df.join(found.select(group, last.alias("_last")), group).filter(F.col(order) <= F.col("_last")).select(*df.columns)
 
 
 def balance_targets(original_counts: DataFrame) -> DataFrame:

@@ -79,20 +79,24 @@ def top(counts: DataFrame, k: int | None, key: str = "label") -> DataFrame:
     return ranked if k is None else ranked.limit(k)
 
 
-def generation_statistics(variants: DataFrame) -> DataFrame:
-    """Processed samples, accepted, dropped and success rate per method; the row without a method is the total.
+def generation_statistics(variants: DataFrame, profile: DataFrame) -> DataFrame:
+    """Samples tried, accepted and dropped variants and their share per method; the row without a method is the total.
 
-    Every method is tried on every sample, so the total of samples is that of any method.
+    ``processed_samples`` counts the whole input, rare or not: it is read off
+    ``profile``, the settled ``rarity_profile`` of the input. Every method is
+    tried on every rare sample, so the total of those is that of any method.
     """
     each = variants.groupBy("method").agg(
-        F.count("*").alias("processed_samples"), F.count_if("quality_passed").alias("generated"), F.count_if(~F.col("quality_passed")).alias("failed"))
+        F.count("*").alias("tried_samples"), F.count_if("quality_passed").alias("generated"), F.count_if(~F.col("quality_passed")).alias("failed"))
     zero = F.lit(0).cast("bigint")
     # A total of zeros where nothing was generated.
-    total = each.agg(F.coalesce(F.max("processed_samples"), zero).alias("processed_samples"),
+    total = each.agg(F.coalesce(F.max("tried_samples"), zero).alias("tried_samples"),
                      *(F.coalesce(F.sum(c), zero).alias(c) for c in ("generated", "failed")))
+    size = profile.filter(F.col("dimension") == INTENT).agg(F.sum("n")).first()[0] or 0
     tried = F.col("generated") + F.col("failed")
     rate = F.when(tried == 0, 0.0).otherwise(F.col("generated") / tried)
-    return each.unionByName(total, allowMissingColumns=True).withColumn("success_rate", rate)
+    rows = each.unionByName(total, allowMissingColumns=True)
+    return rows.withColumns({"success_rate": rate, "processed_samples": F.lit(size).cast("bigint")})
 
 
 def entity_values(df: DataFrame) -> DataFrame:

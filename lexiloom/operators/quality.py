@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,15 +54,11 @@ def same_types_sorted(before: Column, after: Column) -> Column:
 def first_failed_rule(
     original: Column, augmented: Column, original_entities: Column, augmented_entities: Column,
     n_original: Column, n_augmented: Column, low_words: Column, settings: Settings,
-    extra_checks: Mapping[str, Callable[[Column, Column, Column], Column]] | None = None,
 ) -> Column:
     """Name of the first gate rule broken; NULL when the variant passes.
 
     ``low_words`` are the lower-case words of the variant; they are read only
     where it differs from its original.
-
-    ``extra_checks`` are user rules ``(original, augmented, augmented entities)
-    → boolean``; a NULL result counts as broken.
     """
     ratio = n_augmented / F.nullif(n_original, F.lit(0))
     rule = (
@@ -75,10 +72,38 @@ def first_failed_rule(
         rule = rule.when(~same_types_sorted(original_entities, augmented_entities), "entity_types")
     if settings.require_vietnamese_characters:
         rule = rule.when(~has_vietnamese_letters(augmented), "vietnamese_characters")
-    rule = rule.when(~coherent(low_words), "coherence")
-    for name, check in (extra_checks or {}).items():
-        rule = rule.when(~F.coalesce(check(original, augmented, augmented_entities), F.lit(False)), name)
-    return rule
+    return rule.when(~coherent(low_words), "coherence")
+
+
+def python_check(fn: Callable[[str, str, list[dict]], bool]) -> Callable[[Column, Column, Column], Column]:
+    """A user check from an ordinary function ``(original, augmented, entities) → valid``.
+
+    It is called for variants that have passed everything before it, batch by
+    batch; entities are dictionaries of type and filler.
+    """
+    @F.arrow_udf("boolean")
+    def checked(original: pa.Array, augmented: pa.Array, entities: pa.Array) -> pa.Array:
+        rows = zip(original.to_pylist(), augmented.to_pylist(), entities.to_pylist())
+        return pa.array([None if a is None else bool(fn(o, a, e)) for o, a, e in rows], pa.bool_())
+
+    return checked
+
+
+def with_user_checks(variants: DataFrame, checks: Mapping[str, Callable[[Column, Column, Column], Column]]) -> DataFrame:
+    """Applies user rules ``(original, augmented, augmented entities) → boolean`` to variants that the gate has passed.
+
+    A rule is a function of columns: an expression, a pandas or Arrow function,
+    or ordinary Python by way of ``python_check``. Rules run one after the other
+    on the fanned-out rows; a row that is out already reaches them as NULL. The
+    first one broken names the row, and a NULL result counts as broken.
+    """
+    for name, check in checks.items():
+        seen = [F.when(F.col("quality_passed"), F.col(c)) for c in ("original_sentence", "augmented_sentence", "augmented_entities")]
+        broken = F.col("quality_passed") & ~F.coalesce(check(*seen), F.lit(False))
+        variants = variants.withColumn("_broken", broken).withColumns({
+            "failed_rule": F.when(F.col("_broken"), name).otherwise(F.col("failed_rule")),
+            "quality_passed": F.col("quality_passed") & ~F.col("_broken")}).drop("_broken")
+    return variants
 
 
 # --- pair checks -----------------------------------------------------------

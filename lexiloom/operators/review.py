@@ -86,14 +86,18 @@ def status() -> Column:
 
 
 def review_progress(review: DataFrame) -> DataFrame:
-    """Totals by status per method; the row without a method is the total."""
-    return review.withColumn("_status", status()).rollup("Augmentation_Method").agg(
-        F.count("*").alias("total"),
-        F.count_if(F.col("_status") == "approved").alias("approved"),
-        F.count_if(F.col("_status") == "rejected").alias("rejected"),
-        F.count_if(F.col("_status") == "pending").alias("pending"),
-        F.avg((F.col("_status") == "approved").cast("double")).alias("approval_rate"),
-    )
+    """Counts by status per method, and their total (``is_total``), which is there without rows too.
+
+    Rows without a method are a group of their own.
+    """
+    statuses = ("approved", "rejected", "pending")
+    each = review.withColumn("_status", status()).groupBy("Augmentation_Method").agg(
+        F.count("*").alias("total"), *(F.count_if(F.col("_status") == s).alias(s) for s in statuses))
+    zero = F.lit(0).cast("bigint")
+    total = each.agg(*(F.coalesce(F.sum(c), zero).alias(c) for c in ("total", *statuses)))
+    rows = each.withColumn("is_total", F.lit(False)).unionByName(
+        total.withColumn("is_total", F.lit(True)), allowMissingColumns=True)
+    return rows.withColumn("approval_rate", F.when(F.col("total") == 0, 0.0).otherwise(F.col("approved") / F.col("total")))
 
 
 def filter_by_scores(review: DataFrame, min_quality: float = 3.0, min_naturalness: float = 3.0) -> DataFrame:

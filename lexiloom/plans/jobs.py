@@ -55,7 +55,7 @@ def generate(df: DataFrame, settings: Settings, test_mode: bool = False, max_rev
         augmentations=passed,
         issues=rejected(variants),
         review=review.review_batch(passed, max_review_samples),
-        statistics=profile.generation_statistics(variants),
+        statistics=profile.generation_statistics(variants, rarity),
     )
 
 

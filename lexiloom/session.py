@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """This application's part of the folder named by ``spark.checkpoint.dir``.
 
     It must be visible to every executor, so a machine-local one is made up only
     for a local master on which none is configured.
@@ -20,7 +20,7 @@ def _root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="lexiloom-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/lexiloom"
+    return f"{root.rstrip('/')}/lexiloom/{spark.sparkContext.applicationId}"
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -29,7 +29,7 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def clear_work(spark: SparkSession) -> None:
-    """Deletes all intermediate files, at the end of a job: results that are still to be computed need them."""
+    """Deletes the intermediate files of this application, at the end of a job: results that are still to be computed need them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

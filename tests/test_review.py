@@ -111,7 +111,7 @@ def test_filter_progress_auto_approve(spark):
     assert ids(review.filter_review(df, term="ĐÈN")) == ["1", "2"]
     assert ids(review.filter_review(df, wanted="pending")) == ["3"]
     assert ids(review.filter_review(df, method="m", wanted="approved")) == ["1"]
-    total = [r for r in review.review_progress(df).collect() if r["Augmentation_Method"] is None][0]
+    total = [r for r in review.review_progress(df).collect() if r["is_total"]][0]
     assert (total["total"], total["approved"], total["rejected"], total["pending"]) == (3, 1, 1, 1)
     said = [r["Approved_Yes_No"] for r in review.auto_approve(df, S).collect()]
     assert said == ["YES", "no", "yes"]
