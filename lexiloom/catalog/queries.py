@@ -360,6 +360,18 @@ def n2_vocabulary_lookup(spark, sf):
     return vocabulary.lookup_terms(fillers, terms, "filler").select("filler", "original", big("ord", "ord"))
 
 
+@query("n2_long_vocabulary", O.sql(O.TURNS + """,
+terms AS (SELECT original, -length(original) AS ord FROM (
+  SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS original FROM benchmark UNION SELECT 'q') WHERE length(original) > 3 OR original = 'q')""", """
+SELECT text, arg_min(original, (ord, original)) AS original, min(ord) AS ord
+FROM (SELECT DISTINCT sentence AS text FROM turns) JOIN terms ON contains(lower(text), original) GROUP BY 1"""))
+def n2_long_vocabulary(spark, sf):
+    """All words of the benchmark items, longest first, and one letter."""
+    words_of = T.load(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("original")).filter(F.char_length("original") > 3)
+    terms = words_of.union(spark.range(1).select(F.lit("q"))).distinct().select("original", (-F.char_length("original")).alias("ord"))
+    return vocabulary.lookup_terms(T.turns(spark, sf), terms, "sentence").withColumnRenamed("sentence", "text")
+
+
 # --- profiles --------------------------------------------------------------
 
 def frequent(spark, sf, several_passes: bool = True):
@@ -714,10 +726,14 @@ def j2_integration_report(spark, sf):
 def lines_folder(spark, sf) -> str:
     """Utterances as JSON lines, some cut off, some without a field, some blank."""
     path = work_folder(spark)
-    u = T.utterances(spark, sf)
-    i = F.col("seq.sent") % 10
+    T.utterances(spark, sf).select(odd_line(F.col("seq.sent") % 10).alias("value")).write.text(path)
+    return path
+
+
+def odd_line(i: Column) -> Column:
+    """An utterance as a JSON line, with a fault by its number."""
     whole = F.to_json(F.struct("sentence", "intent", "entities"))
-    line = (
+    return (
         F.when(i == 1, F.substring(whole, F.lit(1), F.char_length(whole) - 4))
         .when(i == 2, F.to_json(F.struct("sentence", "entities")))
         .when(i == 3, F.to_json(F.struct("intent", "entities")))
@@ -725,8 +741,6 @@ def lines_folder(spark, sf) -> str:
         .when(i == 5, F.lit("   "))
         .otherwise(whole)
     )
-    u.select(line.alias("value")).write.text(path)
-    return path
 
 
 @query("s1_validated_jsonl", O.sql(O.UTT, f"""
@@ -814,6 +828,46 @@ def s3_review_csv(spark, sf):
     return review_columns(readers.read_review(spark, path))
 
 
+@query("s3_by_records", O.sql(O.REVIEW, f"SELECT {_REVIEW_COLUMNS} FROM review"))
+def s3_by_records(spark, sf):
+    """The records of review files found first, so that files split anywhere."""
+    path = work_folder(spark)
+    writers.write_review(T.reviews(spark, sf), path)
+    return review_columns(readers.read_review(spark, path, by_records=True))
+
+
+@query("s3_drop_short", O.sql(O.REVIEW, """
+SELECT sid AS sample_id, os AS original_sentence, CASE WHEN doc_id % 4 = 2 THEN NULL ELSE nullif(ap, '') END AS approved FROM review WHERE doc_id % 4 <> 1"""))
+def s3_drop_short(spark, sf):
+    """Rows cut off go; rows with more cells than the header stay, whatever their last named cell."""
+    path, row, i = work_folder(spark), T.reviews(spark, sf), F.col("Sample_ID").cast("bigint") % 4
+    cells = row.withColumn("Approved_Yes_No", F.when(i == 2, None).otherwise(F.col("Approved_Yes_No")))
+    quoted = [F.when(F.coalesce(c, F.lit("")) == "", "").otherwise(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+              for c in map(F.col, row.columns)]
+    line = F.concat_ws(",", *quoted)
+    odd = F.when(i == 1, F.concat_ws(",", *quoted[:7])).when(i > 1, F.concat(line, F.lit(",more,cells"))).otherwise(line)
+    # Each file begins with the header: a partition's first row, by its number.
+    numbered = settle(cells.select(odd.alias("line"), F.monotonically_increasing_id().alias("at")))
+    first = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    text = F.concat(F.when(first, ",".join(row.columns) + "\n").otherwise(""), "line")
+    numbered.select(F.shiftright("at", 33).alias("file"), text.alias("value"), "at").repartition("file").sortWithinPartitions("file", "at") \
+        .select("file", "value").write.partitionBy("file").text(path)
+    found = readers.read_review(spark, f"{path}/file=*", drop_short=True)
+    return found.select(F.col("Sample_ID").alias("sample_id"), F.col("Original_Sentence").alias("original_sentence"), F.col("Approved_Yes_No").alias("approved"))
+
+
+@query("s1_line_numbers", O.sql(O.UTT, """
+SELECT doc_id % 8 AS file, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id, sent_no) - 1 AS line, sentence FROM utt
+QUALIFY sent_no % 10 NOT IN (1, 2, 3, 5)"""))
+def s1_line_numbers(spark, sf):
+    """The number of every valid line in its file, bad and blank lines counted."""
+    path = work_folder(spark)
+    rows = T.utterances(spark, sf).select((F.col("seq.doc") % 8).alias("file"), "seq", odd_line(F.col("seq.sent") % 10).alias("value"))
+    rows.repartition("file").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
+    found = readers.read_utterances(spark, f"{path}/file=*", numbered=True)
+    return found.select(F.regexp_extract("seq.file", "file=([0-9]+)", 1).cast("bigint").alias("file"), "seq.line", "sentence")
+
+
 @query("s5_newest_batch", O.sql(O.REVIEW, "SELECT sid AS sample_id FROM review WHERE oi <> 'en'"))
 def s5_newest_batch(spark, sf):
     path = work_folder(spark)
@@ -842,9 +896,9 @@ def s7_k1_training_roundtrip(spark, sf):
 
 @query("s7_k2_json_roundtrip", O.sql(O.UTT, f"SELECT sentence, intent, {O.flat('entities')} AS entities FROM utt"))
 def s7_k2_json_roundtrip(spark, sf):
-    """A training set exported as JSON in several part files, read back whole."""
-    path = writers.export_for_training(T.utterances(spark, sf).repartition(4), work_folder(spark), "json")
-    return readers.read_training_set(spark, path).select("sentence", "intent", flat("entities").alias("entities"))
+    """A training set exported as one JSON array by several tasks, read back by several."""
+    path = writers.export_for_training(T.utterances(spark, sf), work_folder(spark), "json")
+    return readers.read_training_set(spark, path, one_array=True).select("sentence", "intent", flat("entities").alias("entities"))
 
 
 @query("s3_mixed_headers", O.sql(O.REVIEW, """
@@ -1007,7 +1061,7 @@ SELECT sid AS sample_id, comments || '=' || oi AS original_entities,
 def k10_reviewed_json(spark, sf):
     path = writers.export_reviewed(T.reviews(spark, sf), work_folder(spark), "json")
     ent = "array<struct<type:string,filler:string>>"
-    back = spark.read.schema(f"Sample_ID string, Original_Entities {ent}, Augmented_Entities {ent}").json(path)
+    back = readers.read_array(spark, path, f"Sample_ID string, Original_Entities {ent}, Augmented_Entities {ent}")
     return back.select(
         F.col("Sample_ID").alias("sample_id"), flat("Original_Entities").alias("original_entities"),
         flat("Augmented_Entities").alias("augmented_entities"))

@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 
 from lexiloom.functions.entities import is_object, objects
 from lexiloom.schema import REVIEW_COLUMNS, REVIEW_REQUIRED, UTTERANCE
+from lexiloom.sources import pieces
+from lexiloom.sources.arrays import elements
+from lexiloom.sources.quoted import records
 
 _CORRUPT = "_corrupt"
 # Whether a line parsed depends on the columns asked for, so the test names them
@@ -52,21 +55,28 @@ def _any_entities(extra_fields: list[T.StructField] | None) -> T.StructType:
 
 
 def scan_utterances(spark: SparkSession, path: str | list[str],
-                    extra_fields: list[T.StructField] | None = None) -> DataFrame:
+                    extra_fields: list[T.StructField] | None = None, numbered: bool = False) -> DataFrame:
     """JSON lines as read, unparsable ones held in ``_corrupt``; blank lines are skipped.
 
     Entities may have any shape: what is an object counts, the rest is left to
     ``odd_entities``. Keys outside the schema are kept by naming them in ``extra_fields``.
+
+    ``numbered`` counts the lines first: ``seq`` is then (file, line), the same
+    however the files are split, for one more pass over them.
     """
     schema = _any_entities(extra_fields)
+    if numbered:
+        lines = pieces.numbered(spark, path).filter(F.trim("value") != "")
+        parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+        return lines.select(F.struct("file", "line").alias("seq"), parsed.alias("_row")).select("_row.*", "seq")
     rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
     return _with_order(rows)
 
 
 def read_utterances(spark: SparkSession, path: str | list[str],
-                    extra_fields: list[T.StructField] | None = None) -> DataFrame:
+                    extra_fields: list[T.StructField] | None = None, numbered: bool = False) -> DataFrame:
     """Lines that parse and have a sentence and an intent; entities default to none."""
-    rows = scan_utterances(spark, path, extra_fields)
+    rows = scan_utterances(spark, path, extra_fields, numbered)
     good = rows.filter(f"{_PARSED} AND sentence IS NOT NULL AND intent IS NOT NULL")
     return _with_id(good.drop(_CORRUPT).withColumn("entities", objects(F.col("entities"))))
 
@@ -93,9 +103,9 @@ def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_lenient(spark: SparkSession, path: str | list[str],
-                 extra_fields: list[T.StructField] | None = None) -> DataFrame:
+                 extra_fields: list[T.StructField] | None = None, numbered: bool = False) -> DataFrame:
     """Every line that parses, whatever it lacks."""
-    rows = scan_utterances(spark, path, extra_fields)
+    rows = scan_utterances(spark, path, extra_fields, numbered)
     kept = F.when(F.try_variant_get("entities", "$", "array<variant>").isNotNull(), objects(F.col("entities")))
     return _with_id(rows.filter(_PARSED).drop(_CORRUPT).withColumn("entities", kept))
 
@@ -110,45 +120,61 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return kept.withColumn("sample_id", F.md5(content))
 
 
+def read_array(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """The objects of files that are one JSON array each, with ``seq`` (file, block, row), their order."""
+    parsed = elements(spark, path).select(F.struct("file", "block", "row").alias("seq"), F.from_json("text", schema).alias("_row"))
+    return parsed.select("_row.*", "seq")
+
+
 def read_training_set(spark: SparkSession, path: str | list[str], one_array: bool = False) -> DataFrame:
-    """A training set: JSON lines or, with ``one_array``, files that are one JSON array each (a task per file)."""
+    """A training set: JSON lines or, with ``one_array``, files that are one JSON array each, split like others."""
     provenance = "_augmented boolean, _augmentation_method string, _original_sentence string, " \
         "_quality_score int, _naturalness_score int, _review_timestamp string, _sample_id bigint"
     schema = T.StructType(UTTERANCE.fields + T.StructType.fromDDL(provenance).fields)
-    rows = spark.read.schema(schema).option("multiLine", one_array).json(path)
-    return _with_id(_with_order(rows))
+    if one_array:
+        return _with_id(read_array(spark, path, schema))
+    return _with_id(_with_order(spark.read.schema(schema).json(path)))
 
 
-def _headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files of a batch by their header. Only first lines, one of each file, reach the driver."""
+def _headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], tuple[list[str], int]]:
+    """The files of a batch by their header, and the size of the largest. Only first lines, one of each file, reach the driver."""
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("row"), "value").filter("block = 0")
-    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"))
-    files = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    return {tuple(next(csv.reader([r["header"].lstrip("\ufeff")]), [])): sorted(map(unquote, r["files"])) for r in files}
+    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"), F.max("size").alias("size"))
+    files = first.groupBy("header").agg(F.collect_list("file").alias("files"), F.max("size").alias("size")).collect()
+    return {tuple(next(csv.reader([r["header"].lstrip("\ufeff")]), [])): (sorted(map(unquote, r["files"])), r["size"]) for r in files}
+
+
+def _review_rows(spark: SparkSession, files: list[str], header: tuple[str, ...], by_records: bool, least_cells: int) -> DataFrame:
+    """The rows of files with one header, read by whole files or by records."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    if by_records:
+        found = records(spark, files).filter((F.col("record") > 1) & (F.col("cells") >= least_cells))
+        options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxCharsPerColumn": "-1"}
+        return found.select(F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("_row")).select("_row.*")
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).schema(schema).csv(files)
 
 
-def read_review(spark: SparkSession, path: str | list[str], drop_short: bool = False) -> DataFrame:
+def read_review(spark: SparkSession, path: str | list[str], drop_short: bool = False, by_records: bool | None = None) -> DataFrame:
     """A review table, all text. Raises on a file without the required columns.
 
     Files of one batch may have different headers: each is read under its own.
-    Quoted cells may hold line breaks, so a review file is read by one task;
-    a batch is many files. ``drop_short`` drops rows with fewer cells than the
-    header, instead of padding them; further cells are ignored.
+    Quoted cells may hold line breaks, so files are read whole, one by a task,
+    unless one is larger than a split (or ``by_records`` says so): then records
+    are found first, and every split is a task. ``drop_short`` drops rows with
+    fewer cells than the header, instead of padding them, and keeps longer ones,
+    whose further cells are ignored.
     """
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     tables = []
-    for header, files in sorted(_headers(spark, path).items()):
+    for header, (files, largest) in sorted(_headers(spark, path).items()):
         missing = [c for c in REVIEW_REQUIRED if c not in header]
         if missing:
             raise ValueError(f"Missing required columns: {missing} in {files[0]}")
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _CORRUPT)])
-        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True) \
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
-            .option("columnNameOfCorruptRecord", _CORRUPT).schema(schema).csv(files)
-        if drop_short:
-            rows = rows.filter(F.col(_CORRUPT).isNull() | F.col(f"`{header[-1]}`").isNotNull())
-        tables.append(rows.drop(_CORRUPT).withColumns({c: F.lit(None).cast("string") for c in REVIEW_COLUMNS if c not in header}))
+        rows = _review_rows(spark, files, header, drop_short or (largest > split if by_records is None else by_records), len(header) if drop_short else 0)
+        tables.append(rows.withColumns({c: F.lit(None).cast("string") for c in REVIEW_COLUMNS if c not in header}))
     if not tables:
         raise ValueError(f"Missing required columns: {REVIEW_REQUIRED}")
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

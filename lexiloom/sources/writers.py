@@ -9,6 +9,7 @@ from lexiloom.config import Settings
 from lexiloom.functions.entities import entities_json, listed
 from lexiloom.operators.review import repair_entities
 from lexiloom.schema import ENTITIES
+from lexiloom.session import settle
 
 _ENGINE_COLUMNS = ("seq", "sample_id")
 
@@ -20,6 +21,27 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "error", without: tuple[st
     return path
 
 
+def write_array(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS) -> str:
+    """One JSON array, in the order of ``seq`` where there is one.
+
+    The part files of the folder, one after the other, are the document, and all
+    of them appear at once, when the last is written. No rows give an empty array.
+    """
+    kept = F.struct(*[c for c in df.columns if c not in without])
+    order = F.col("seq") if "seq" in df.columns else F.monotonically_increasing_id()
+    text = df.select(order.alias("_order"), F.to_json(kept, {"ignoreNullFields": "false"}).alias("value"))
+    rows = settle(text.orderBy("_order").select("value", F.monotonically_increasing_id().alias("_at")))
+    ends = rows.agg(F.min("_at").alias("first"), F.max("_at").alias("last")).first()
+    if ends["first"] is None:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode(mode).text(path)
+        return path
+    opening = F.when(F.col("_at") == ends["first"], "[").otherwise(",")
+    closing = F.when(F.col("_at") == ends["last"], "]").otherwise("")
+    # Files are read in no order, so the rows are put in theirs again, part by part.
+    rows.orderBy("_at").select(F.concat(opening, "value", closing).alias("value")).write.mode(mode).text(path)
+    return path
+
+
 def _write_csv(df: DataFrame, path: str, mode: str) -> str:
     df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"') \
         .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False) \
@@ -58,8 +80,10 @@ def flattened(df: DataFrame, settings: Settings) -> DataFrame:
 def write_dataset(df: DataFrame, path: str, settings: Settings, mode: str = "error") -> str:
     """A merged dataset in the format of the settings; metadata is dropped unless it is on."""
     kept = df if settings.add_metadata else df.drop("metadata")
-    if settings.output_format in ("jsonl", "json"):
+    if settings.output_format == "jsonl":
         return write_jsonl(kept, path, mode)
+    if settings.output_format == "json":
+        return write_array(kept, path, mode)
     if settings.output_format == "csv":
         return _write_csv(flattened(kept, settings), path, mode)
     raise ValueError(f"Unsupported format: {settings.output_format}")
@@ -74,9 +98,11 @@ def training_table(df: DataFrame) -> DataFrame:
 
 
 def export_for_training(df: DataFrame, folder: str, fmt: str = "jsonl", mode: str = "error") -> str:
-    """A folder of JSON lines (``json`` and ``jsonl`` are the same) or of CSV."""
-    if fmt in ("jsonl", "json"):
+    """A folder of JSON lines, of one JSON array or of CSV."""
+    if fmt == "jsonl":
         return write_jsonl(df, f"{folder}/training_data.jsonl", mode)
+    if fmt == "json":
+        return write_array(df, f"{folder}/training_data.json", mode)
     if fmt == "csv":
         return _write_csv(training_table(df), f"{folder}/training_data.csv", mode)
     raise ValueError(f"Unsupported format: {fmt}")
@@ -102,7 +128,7 @@ def export_reviewed(review: DataFrame, path: str, fmt: str = "csv", mode: str =
     if fmt == "csv":
         return _write_csv(repair_entities(review).drop("repaired"), path, mode)
     if fmt == "json":
-        return write_jsonl(parsed_review(review), path, mode)
+        return write_array(parsed_review(review), path, mode)
     raise ValueError(f"Unsupported format: {fmt}")
 
 
