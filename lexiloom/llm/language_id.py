@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.frames import stored
+from lexiloom.llm.frames import give_back, stored, tidied
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -157,7 +157,7 @@ def train(documents: DataFrame, per_language: int = 800, sample: int = 8000) ->
     """Fits on the documents (doc_id, text, lang) that aren't held out."""
     known = documents.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         "text", "lang", F.xxhash64(F.lit("sample"), "doc_id").alias("mark"))
-    counted = known.select("text").mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = known.select("text").mapInArrow(tidied(_frequencies), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     frequency = np.zeros(BUCKETS)
     documents_in_all = 0
     for bucket, n in counted.collect():  # one row for each bucket at most
@@ -174,7 +174,7 @@ def train(documents: DataFrame, per_language: int = 800, sample: int = 8000) ->
              .orderBy("mark", "lang").limit(sample))
     # ``sample`` pairs of a number and a language at most, so the texts needn't be shuffled.
     chosen = known.join(F.broadcast(marks), ["mark", "lang"]).select("mark", "lang", "text").limit(sample)
-    rows = chosen.mapInArrow(_vectors, "mark long, lang string, buckets array<int>, counts array<int>").toArrow()
+    rows = chosen.mapInArrow(tidied(_vectors), "mark long, lang string, buckets array<int>, counts array<int>").toArrow()
     if not rows.num_rows:
         return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     names = rows["lang"].to_pylist()
@@ -194,6 +194,7 @@ def prediction(text: Column, model: Model) -> Column:
     @F.arrow_udf("lang_pred string, score double")
     def predicted(texts: pa.Array) -> pa.Array:
         found = [model.predict(t.as_py()) for t in texts]
+        give_back()
         return pa.StructArray.from_arrays(
             [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], ["lang_pred", "score"])
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm import trees
+from lexiloom.llm.frames import give_back, tidied
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -104,7 +105,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = 20_000) -> tree
             if batch.num_rows:
                 features = _measured(batch.column("text"))[1]
                 yield pa.RecordBatch.from_pydict({"x": list(features), "y": batch.column("quality").cast(pa.int32())})
-    rows = (labelled_sample(documents, labels, sample).mapInArrow(run, "x array<double>, y int")
+    rows = (labelled_sample(documents, labels, sample).mapInArrow(tidied(run), "x array<double>, y int")
             .limit(sample).toArrow())  # ids may repeat in documents: the bound holds all the same
     y = rows["y"].to_numpy()
     if not len(y):
@@ -119,6 +120,7 @@ def verdict(text: Column, forest: trees.Forest | None, threshold: float = 0.5) -
     @F.arrow_udf(", ".join([*(f"{c} long" for c in BASE), "base_failed boolean, score double, kept boolean"]))
     def judged(texts: pa.Array) -> pa.Array:
         base, features = _measured(texts)
+        give_back()
         n, repeated = base[:, 0], base[:, 4]
         failed = (n < 50) | (100 * repeated > 50 * n)
         score = forest.probability(features) if forest else np.ones(len(base))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.components import connected_components
-from lexiloom.llm.frames import without_nulls
+from lexiloom.llm.frames import tidied, without_nulls
 from lexiloom.session import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,7 +124,7 @@ def _forest(radius: int):
 
 def _edges_of(small: DataFrame, radius: int) -> DataFrame:
     lists = small.groupBy("tab", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return lists.select("fps").mapInArrow(_forest(radius), "a long, b long")
+    return lists.select("fps").mapInArrow(tidied(_forest(radius)), "a long, b long")
 
 
 def links(fps: DataFrame, radius: int = 3, bucket_limit: int = 64) -> DataFrame:

@@ -43,13 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.frames import stored, without_nulls
+from lexiloom.llm.frames import stored, tidied, without_nulls
 
 TRIGGER = 16
 #: One position in 64 is a trigger, on average.
 TRIGGER_BITS = 6
 BANDS = (128, 16, 1)
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 # A place is 18 bits of partition, 37 of an address in it (of the band's anchor) and 8 of the width down to the least start.
 # Every document starts at a page of its own.
 WIDTH_BITS, ADDRESS_BITS, PAGE_BITS = 8, 37, 14
@@ -64,6 +64,10 @@ class Names:
 
     powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint64),) * 2] * 2
 
+    @classmethod
+    def forget(cls) -> None:
+        cls.powers = [(np.ones(1, np.uint64),) * 2] * 2
+
     def __init__(self, data: np.ndarray):
         self.size = len(data)
         self.sums = []
@@ -280,7 +284,7 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
     ``kept_text`` lacks the characters that were cut in two.
     """
     texts = documents.select(without_nulls("text")).withColumn("key", key_of(F.col("text")))
-    parsed = stored(texts.mapInArrow(_parse(length), "c long, f long, place long, skip int, key binary, n_bytes long"))
+    parsed = stored(texts.mapInArrow(tidied(_parse(length), Names.forget), "c long, f long, place long, skip int, key binary, n_bytes long"))
     heads = parsed.where("n_bytes IS NOT NULL").select(F.shiftright("place", WIDTH_BITS).alias("base"), "key", "n_bytes")
     pages = heads.select("*", F.explode(F.sequence(
         F.shiftright("base", PAGE_BITS), F.shiftright("base", PAGE_BITS) + F.shiftright("n_bytes", PAGE_BITS))).alias("page"))
@@ -291,14 +295,14 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
             F.collect_list(F.struct("anchor", "low", "high")).alias("bands"))
 
     repeated, pending = resolve(parsed.where("n_bytes IS NULL").select("c", "f", "place", "skip"))
-    partly = gathered(repeated).select("key", "n_bytes", "bands").mapInArrow(_uncovered(length), "key binary")
+    partly = gathered(repeated).select("key", "n_bytes", "bands").mapInArrow(tidied(_uncovered(length)), "key binary")
     # Only texts that are split further or keep a part are needed again, one of each.
     wanted = stored(partly.union(_located(pending, pages).select("key")).distinct())
     needed = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
     found = repeated
     for width in BANDS[1:]:
         listed = gathered(pending).join(needed, "key").select("base", "text", "bands")
-        bands = stored(listed.mapInArrow(_resplit(length, width), "c long, f long, place long, skip int"))
+        bands = stored(listed.mapInArrow(tidied(_resplit(length, width), Names.forget), "c long, f long, place long, skip int"))
         more, pending = resolve(bands)
         found = found.union(more)
     # Copies have the same spans: one of them is enough.
@@ -306,7 +310,7 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
     one = whole.groupBy("key").agg(F.min("base").alias("base"))
     spans = whole.join(one, ["base", "key"], "left_semi").join(needed, "key", "left")
     return stored(spans.select("key", "n_bytes", "text", "bands").mapInArrow(
-        _spans(length), "key binary, spans array<struct<start:long,end:long>>, kept binary, kept_text string"))
+        tidied(_spans(length)), "key binary, spans array<struct<start:long,end:long>>, kept binary, kept_text string"))
 
 
 def cut_documents(documents: DataFrame, length: int = 400) -> DataFrame:
