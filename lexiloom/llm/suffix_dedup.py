@@ -51,8 +51,8 @@ TRIGGER_BITS = 6
 BANDS = (128, 16, 1)
 CHUNK = 1 << 18
 # A place is 18 bits of partition, 37 of an address in it (of the band's anchor) and 8 of the width down to the least start.
-# Every document starts at a page of its own.
-WIDTH_BITS, ADDRESS_BITS, PAGE_BITS = 8, 37, 14
+# Every document starts at a page of its own. Inputs of more partitions are read by as many tasks as have a number.
+PARTITION_BITS, WIDTH_BITS, ADDRESS_BITS, PAGE_BITS = 18, 8, 37, 14
 _random = np.random.default_rng(20)
 _BYTES = _random.integers(1, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
 _BASES = (6364136223846793005, 3935559000370003845)
@@ -167,6 +167,13 @@ def first_bands(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     return tuple(np.append(x, y) for x, y in zip((document[bands[5]], *bands[:5]), (owner[of][more[5]], *more[:5])))
 
 
+def first_address(partition: int, page: int) -> int:
+    """The address of a page of a partition; refuses what has no number of its own."""
+    if partition >> PARTITION_BITS or page >> (ADDRESS_BITS - PAGE_BITS):
+        raise OverflowError(f"partition {partition}, page {page}: more than 2**{PARTITION_BITS} partitions, or one of more than 2**{ADDRESS_BITS} bytes")
+    return (partition << ADDRESS_BITS) + (page << PAGE_BITS)
+
+
 def _parse(length: int):
     """Rows of bands (c, f, place) and of documents (place, key, n_bytes) of at least ``length`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +191,9 @@ def _parse(length: int):
                 starts, ends = offsets[rows] - first, offsets[rows + 1] - first
                 owner, anchor, low, skip, c, f = first_bands(whole[first:offsets[rows[-1] + 1]], starts, ends, length)
                 pages = ((ends - starts) >> PAGE_BITS) + 1
-                base = (partition << ADDRESS_BITS) + ((page + pages.cumsum() - pages) << PAGE_BITS)
+                base = first_address(partition, page) + ((pages.cumsum() - pages) << PAGE_BITS)
                 page += int(pages.sum())
+                first_address(partition, page)
                 place = ((base[owner] + anchor - starts[owner]) << WIDTH_BITS) + (anchor - low + 1)
                 n, d = len(place), len(rows)
                 yield pa.RecordBatch.from_pydict({
@@ -284,7 +292,8 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
     ``kept_text`` lacks the characters that were cut in two.
     """
     texts = documents.select(without_nulls("text")).withColumn("key", key_of(F.col("text")))
-    parsed = stored(texts.mapInArrow(tidied(_parse(length), Names.forget), "c long, f long, place long, skip int, key binary, n_bytes long"))
+    # No shuffle: partitions are only put together where there are more than numbers for them.
+    parsed = stored(texts.coalesce(1 << PARTITION_BITS).mapInArrow(tidied(_parse(length), Names.forget), "c long, f long, place long, skip int, key binary, n_bytes long"))
     heads = parsed.where("n_bytes IS NOT NULL").select(F.shiftright("place", WIDTH_BITS).alias("base"), "key", "n_bytes")
     pages = heads.select("*", F.explode(F.sequence(
         F.shiftright("base", PAGE_BITS), F.shiftright("base", PAGE_BITS) + F.shiftright("n_bytes", PAGE_BITS))).alias("page"))

@@ -5,9 +5,9 @@ import random
 from collections import Counter
 
 import pytest
-
 from data import prose
-from lexiloom.llm import suffix_dedup
+
+from lexiloom.llm import queries, suffix_dedup
 
 
 def expected(texts, length):
@@ -55,6 +55,20 @@ def test_edited_copies(spark, seed):
     assert found(df, 400) == expected(texts, 400)
 
 
+def test_query(spark, documents, rows, tmp_path):
+    """All five columns, by brute force."""
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    want = expected([r[1] for r in rows], 400)
+    lines = []
+    for r in rows:
+        raw = (r[1] or "").encode()
+        spans, kept = want.get(hashlib.sha256(raw).digest(), ([], raw))
+        lines.append((r[0], len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+    got = queries.QUERIES["op1_suffix_dedup"](spark, str(tmp_path))
+    assert got.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=str) == sorted(lines, key=str)
+
+
 def test_cut_documents(documents, rows):
     want = expected([r[1] for r in rows], 400)
     cut = suffix_dedup.cut_documents(documents, 400)
@@ -69,3 +83,22 @@ def test_cut_documents(documents, rows):
 def test_empty(nothing):
     assert suffix_dedup.repeated_spans(nothing).count() == 0
     assert suffix_dedup.cut_documents(nothing).count() == 0
+
+
+def test_places_of_many_partitions():
+    """Partitions beyond the numbers are refused, and the last number is unlike the first."""
+    last = (1 << suffix_dedup.PARTITION_BITS) - 1
+    assert 0 == suffix_dedup.first_address(0, 0) < suffix_dedup.first_address(last, 0) < 1 << (63 - suffix_dedup.WIDTH_BITS)
+    for partition in (1 << 18, 1 << 19, 800_000):
+        with pytest.raises(OverflowError):
+            suffix_dedup.first_address(partition, 0)
+    with pytest.raises(OverflowError):
+        suffix_dedup.first_address(0, 1 << (suffix_dedup.ADDRESS_BITS - suffix_dedup.PAGE_BITS))
+
+
+def test_more_partitions_than_numbers(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PARTITION_BITS", 2)
+    shared = "".join(chr(97 + i * i % 23) for i in range(500))
+    rows = [(f"{i} {shared} {i * 7}",) for i in range(40)]
+    found = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "text string").repartition(9)).collect()
+    assert len(found) == 40
