@@ -222,6 +222,17 @@ def _union(low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
     return np.stack([low[opens], end[np.append(opens[1:] - 1, len(end) - 1)]], 1)
 
 
+def _without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each key in a task; 16 bytes are kept of each."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        fresh = []
+        for key in batch.column("key").to_pylist():
+            fresh.append(key[:16] not in seen)
+            seen.add(key[:16])
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def _uncovered(length: int):
     """The keys of texts that keep a part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +318,9 @@ def repeated_spans(documents: DataFrame, length: int = 400) -> DataFrame:
     partly = gathered(repeated).select("key", "n_bytes", "bands").mapInArrow(tidied(_uncovered(length)), "key binary")
     # Only texts that are split further or keep a part are needed again, one of each.
     wanted = stored(partly.union(_located(pending, pages).select("key")).distinct())
-    needed = stored(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
+    # Copies go where they are read, so a hot text sends one of each task to the join.
+    fewer = texts.select("key", "text").mapInArrow(tidied(_without_copies), "key binary, text string")
+    needed = stored(fewer.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
     found = repeated
     for width in BANDS[1:]:
         listed = gathered(pending).join(needed, "key").select("base", "text", "bands")
