@@ -16,14 +16,16 @@ Defined results
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.llm.frames import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_RULES = 1000
 
@@ -43,10 +45,13 @@ class Rule:
 
 @dataclass(frozen=True)
 class Model:
-    """A fitted regression, or a constant score where the table had one class only."""
+    """Weights of the buckets of n-grams, and the margin of a url without any.
+
+    Where the table had one class only, there are no weights and ``constant`` is the score.
+    """
 
-    hashing: HashingTF
-    fitted: object | None
+    weights: list[float]
+    intercept: float
     constant: float
 
 
@@ -77,26 +82,35 @@ def url_features(urls: DataFrame, column: str = "url", sizes: tuple[int, ...] =
         grams(F.coalesce(host, F.lit("")), "h", sizes), grams(F.translate("_path", UPPER, LOWER), "p", sizes)))
 
 
-def train(labelled: DataFrame, buckets: int = 1 << 14, strength: float = 0.01, rounds: int = 60) -> Model:
-    """Fits on ``labelled`` (url, label: 1 unwanted, 0 wanted)."""
+def buckets_of(grams: Column, buckets: int) -> Column:
+    """The different buckets that hashed n-grams fall into."""
+    return F.array_distinct(F.transform(grams, lambda g: F.pmod(F.hash(g), F.lit(buckets))))
+
+
+def train(labelled: DataFrame, buckets: int = 1 << 12, strength: float = 0.01, rounds: int = 60) -> Model:
+    """Fits on ``labelled`` (url, label: 1 unwanted, 0 wanted), a small table: its rows become vectors of ``buckets`` numbers."""
     rows = labelled.where("url IS NOT NULL AND label IS NOT NULL").select(
         "url", F.col("label").cast("double").alias("label"))
-    hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=buckets, binary=True)
     classes, share = rows.agg(F.count_distinct("label"), F.coalesce(F.avg("label"), F.lit(0.0))).first()
     if classes < 2:
-        return Model(hashing, None, float(share))
-    regression = LogisticRegression(featuresCol="_features", regParam=strength, maxIter=rounds)
-    return Model(hashing, regression.fit(hashing.transform(url_features(rows))), float(share))
+        return Model([], 0.0, float(share))
+    # Stored, so that the buckets of a url are made once and not for each place of its vector.
+    held = stored(url_features(rows).select("label", buckets_of(F.col("_grams"), buckets).alias("_held")))
+    marks = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.array_contains(F.col("_held"), i).cast("double"))
+    vectors = held.select("label", array_to_vector(marks).alias("_features"))
+    fitted = LogisticRegression(featuresCol="_features", regParam=strength, maxIter=rounds).fit(vectors)
+    return Model([float(f"{w:.9g}") for w in fitted.coefficients.toArray()], float(fitted.intercept), float(share))
 
 
 def unwanted(featured: DataFrame, model: Model) -> DataFrame:
-    """Adds ``score``, the probability that a url is unwanted."""
-    if model.fitted is None:
+    """Adds ``score``, the probability that a url is unwanted, by expressions over the weights."""
+    if not model.weights:
         return featured.withColumn("score", F.lit(model.constant))
-    drop = ("_features", "_raw", "_chances", "_class")
-    fitted = model.fitted.copy().setRawPredictionCol("_raw").setProbabilityCol("_chances").setPredictionCol("_class")
-    scored = fitted.transform(model.hashing.transform(featured))
-    return scored.withColumn("score", F.get(vector_to_array("_chances"), F.lit(1))).drop(*drop)
+    # One constant for the optimizer, which folds the parsing away.
+    weights = F.from_json(F.lit(json.dumps(model.weights)), "array<double>")
+    held = buckets_of(F.col("_grams"), len(model.weights))
+    margin = F.aggregate(held, F.lit(model.intercept), lambda total, b: total + F.get(weights, b))
+    return featured.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
 
 
 def fits(rule: Rule, host: Column, path: Column) -> Column:
