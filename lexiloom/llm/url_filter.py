@@ -73,7 +73,7 @@ def grams(text: Column, mark: str, sizes: tuple[int, ...]) -> Column:
     return F.concat(*(of(n) for n in sizes))
 
 
-def url_features(urls: DataFrame, column: str = "url", sizes: tuple[int, ...] = (3, 4)) -> DataFrame:
+def url_features(urls: DataFrame, column: str = "url", sizes: tuple[int, ...] = (2, 3, 4)) -> DataFrame:
     """``_host``, ``_path`` and ``_grams`` beside the input."""
     # Marks at both ends of the host and the start of the path make short grams specific.
     parts = urls.withColumns({"_host": host_of(F.col(column)), "_path": path_of(F.col(column))})
@@ -87,7 +87,7 @@ def buckets_of(grams: Column, buckets: int) -> Column:
     return F.array_distinct(F.transform(grams, lambda g: F.pmod(F.hash(g), F.lit(buckets))))
 
 
-def train(labelled: DataFrame, buckets: int = 1 << 12, strength: float = 0.01, rounds: int = 60) -> Model:
+def train(labelled: DataFrame, buckets: int = 1 << 14, strength: float = 0.01, rounds: int = 60) -> Model:
     """Fits on ``labelled`` (url, label: 1 unwanted, 0 wanted), a small table: its rows become vectors of ``buckets`` numbers."""
     rows = labelled.where("url IS NOT NULL AND label IS NOT NULL").select(
         "url", F.col("label").cast("double").alias("label"))
