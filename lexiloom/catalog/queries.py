@@ -20,7 +20,7 @@ from lexiloom.functions.entities import normalise, parse_entities, repair_json
 from lexiloom.functions.text import clean_text, has_diacritics, has_vietnamese_letters, words
 from lexiloom.operators import augment, integrate, profile, quality, review, vocabulary
 from lexiloom.operators.rarity import rare_samples
-from lexiloom.plans import jobs
+from lexiloom.plans import jobs, runs
 from lexiloom.session import settle, work_folder
 from lexiloom.sources import readers, writers
 
@@ -1135,7 +1135,7 @@ def j1_statistics(spark, sf):
 SELECT (SELECT count(*) FROM utt) AS input_samples, count(*) AS final_samples,
   (count(*)::DOUBLE / (SELECT count(*) FROM utt) - 1) * 100 AS augmentation_ratio FROM variants WHERE failed_rule IS NULL"""))
 def j4_generate_and_integrate(spark, sf):
-    """All variants reviewed and integrated, not just a batch."""
+    """The steps of the chain over all variants: each is reviewed and integrated, not just a batch of them."""
     u = stored(spark, sf)
     every = replace(SETTINGS, min_intent_frequency=2 ** 62)
     generation = jobs.generate(u, every)
@@ -1144,6 +1144,31 @@ def j4_generate_and_integrate(spark, sf):
     return profile.augmentation_ratio(u, result.final)
 
 
+@query("j4_resume_after_review", O.sql(O.CAND, """
+SELECT sample_id, original_sentence, augmented_sentence, augmentation_method, (SELECT count(*) FROM utt) AS input_samples,
+  count(*) OVER () AS final_samples, (count(*) OVER ()::DOUBLE / (SELECT count(*) FROM utt) - 1) * 100 AS augmentation_ratio
+FROM (SELECT row_number() OVER (ORDER BY doc_id, sent_no, method_no) AS sample_id, sentence AS original_sentence, a AS augmented_sentence,
+  method AS augmentation_method FROM variants WHERE failed_rule IS NULL ORDER BY doc_id, sent_no, method_no LIMIT 100) WHERE sample_id % 3 <> 0"""))
+def j4_resume_after_review(spark, sf):
+    """The chain stopped at its review batch, gone on with after people rejected every third row, and resumed once more."""
+    every = replace(SETTINGS, min_intent_frequency=2 ** 62)
+    path = work_folder(spark)
+    runs.start(stored(spark, sf), every, path, "batch", max_review_samples=100)
+    if runs.resume(spark, every, path) is not None:
+        raise AssertionError("resumed without a review")
+    batch = readers.read_review(spark, f"{path}/review/review_samples_batch.csv")
+    decided = review.stamp_decisions(batch).withColumn(
+        "Approved_Yes_No", F.when(F.col("Sample_ID").cast("bigint") % 3 == 0, "no").otherwise("yes"))
+    writers.write_review(decided, f"{path}/review/reviewed_samples_1.csv")
+    runs.resume(spark, every, path)
+    log = runs.resume(spark, every, path)
+    schema = "_sample_id bigint, _original_sentence string, sentence string, _augmentation_method string"
+    return spark.read.schema(schema).json(f"{path}/final/batch=batch").select(
+        F.col("_sample_id").alias("sample_id"), F.col("_original_sentence").alias("original_sentence"),
+        F.col("sentence").alias("augmented_sentence"), F.col("_augmentation_method").alias("augmentation_method"),
+        *(F.lit(log[c]).alias(c) for c in ("input_samples", "final_samples", "augmentation_ratio")))
+
+
 @query("j5_audit_labels", O.sql(O.UTT, f"""
 SELECT value, count(*) AS n FROM (SELECT {_CLEAN('e.type')} AS value, {_CLEAN('e.filler')} AS f FROM (SELECT unnest(entities) AS e FROM utt))
 WHERE value <> '' AND f <> '' GROUP BY 1 ORDER BY n DESC, value LIMIT 20"""))
@@ -1151,3 +1176,56 @@ def j5_audit_labels(spark, sf):
     u = T.utterances(spark, sf)
     raw = u.select("sample_id", "seq", "sentence", "intent", F.parse_json(F.to_json("entities")).alias("entities"))
     return jobs.audit(raw, u).top_types
+
+
+_TIDY = lambda x: O.strip(f"regexp_replace(regexp_replace({O.strip(x)}, '{O.WS}+', ' ', 'g'), '[^a-zA-Z0-9_ .,!?\\p{{L}}\\p{{N}}-]', '', 'g')")
+_AUDIT = _ODD + f""",
+cl AS (SELECT sample_id, intent, {_TIDY('sentence')} AS sentence, list_filter(list_transform(entities,
+  lambda e: {{'type': {_CLEAN('e.type')}, 'filler': {_CLEAN('e.filler')}}}), lambda e: e.type <> '' AND e.filler <> '') AS entities FROM utt),
+ce AS (SELECT unnest(entities) AS e FROM cl),
+vals AS (SELECT 'type' AS kind, e.type AS value, count(*) AS n FROM ce GROUP BY ALL UNION ALL SELECT 'filler', e.filler, count(*) FROM ce GROUP BY ALL),
+roles AS (SELECT intent AS value, count(*) AS n FROM cl GROUP BY 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, value) AS p FROM vals),
+tags AS (SELECT value, row_number() OVER (ORDER BY value) AS i FROM vals WHERE kind = 'type'),
+issues AS ({ORACLES['g5_format_issues'].split(_ODD)[1]}),
+report AS ({ORACLES['g5_format_report'].split(_ODD)[1]}),
+marked AS (SELECT count(*) FILTER (WHERE regexp_matches(lower(sentence), '[{O.DIA}]')) AS n FROM cl)"""
+
+
+@query("j5_audit_outputs", O.sql(_AUDIT, f"""
+SELECT 'format_issues' AS output, issue AS key, n::DOUBLE AS value FROM issues
+UNION ALL SELECT 'format_report', metric, value FROM report
+UNION ALL SELECT 'cleaned', 'rows', count(*) FROM cl
+UNION ALL SELECT 'cleaned', 'digest', sum(('0x' || substr(md5(concat_ws('|', sample_id, sentence, intent, {O.flat('entities')})), 1, 6))::BIGINT) FROM cl
+UNION ALL SELECT 'entity_statistics', 'total_entities', (SELECT count(*) FROM ce)
+UNION ALL SELECT 'entity_statistics', 'samples_with_entities', count(*) FILTER (WHERE len(entities) > 0) FROM cl
+UNION ALL SELECT 'entity_statistics', 'samples_without_entities', count(*) FILTER (WHERE len(entities) = 0) FROM cl
+UNION ALL SELECT 'entity_statistics', 'average_entities_per_sample', (SELECT count(*) FROM ce)::DOUBLE / count(*) FROM cl
+UNION ALL SELECT 'entity_statistics', 'unique_entity_' || kind || 's', count(*) FROM vals GROUP BY kind
+UNION ALL SELECT 'top_' || kind || 's', value, n FROM ranked WHERE p <= 20
+UNION ALL SELECT 'label_map', tag || value, i * 2 - (tag = 'B-')::BIGINT FROM tags, (VALUES ('B-'), ('I-')) v(tag)
+UNION ALL SELECT 'label_map', 'O', 0
+UNION ALL SELECT 'quality_report/totals', k, CASE k WHEN 'samples_with_vietnamese' THEN (SELECT n FROM marked) ELSE (SELECT count(*) FROM cl) END
+  FROM (VALUES ('total_samples'), ('passed_all_checks'), ('samples_with_vietnamese')) t(k)
+UNION ALL SELECT * FROM (SELECT 'quality_report/intents', value, n FROM roles ORDER BY n DESC, value LIMIT 10)
+UNION ALL SELECT 'quality_report/entity_types', value, n FROM ranked WHERE kind = 'type' AND p <= 10"""))
+def j5_audit_outputs(spark, sf):
+    """Every output of the audit; the cleaned rows by their number and an order-free digest."""
+    found = jobs.audit(readers.read_raw(spark, odd_folder(spark, sf)), T.utterances(spark, sf))
+    tail = F.expr("substr(issue, char_length('Sample ' || sample_id) + 1)")
+    row = F.concat_ws("|", "sample_id", "sentence", "intent", flat("entities"))
+    cleaned = found.cleaned.agg(F.count("*").alias("rows"), F.sum(F.conv(F.substring(F.md5(row), 1, 6), 16, 10).cast("bigint")).alias("digest"))
+    outputs = {
+        "format_issues": found.format_issues.groupBy(tail.alias("key")).agg(F.count("*").alias("value")),
+        "format_report": found.format_report,
+        "cleaned": cleaned.unpivot([], ["rows", "digest"], "key", "value"),
+        "entity_statistics": found.entity_statistics,
+        "top_types": found.top_types, "top_fillers": found.top_fillers, "label_map": found.label_map,
+    }
+    tables = [t.toDF("key", "value").select(F.lit(name).alias("output"), "key", F.col("value").cast("double")) for name, t in outputs.items()]
+    tables.append(found.quality_report.select(
+        F.concat(F.lit("quality_report/"), F.col("section")).alias("output"), "key", F.col("n").cast("double").alias("value")))
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = whole.unionByName(table)
+    return whole

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
 from lexiloom.functions.entities import is_object, listed, types_of
-from lexiloom.functions.text import has_text, strip
+from lexiloom.functions.text import has_diacritics, has_text, strip
 
 INTENT, TYPE, PAIR = "intent", "entity_type", "entity_type_intent"
 
@@ -180,20 +180,18 @@ def format_report(raw: DataFrame) -> DataFrame:
         F.col("entities").isNotNull().alias("e"), F.size(_items()).alias("n"),
         F.transform(good, lambda e: _text_of(e, "type")).alias("types"),
     )
-    totals = shaped.agg(
-        F.count("*").alias("total_samples"),
-        F.count_if(F.col("s") & F.col("i")).alias("valid_samples"),
-        F.count_if("s").alias("sentence_coverage"),
-        F.count_if("i").alias("intent_coverage"),
-        F.count_if("e").alias("entities_coverage"),
-        F.coalesce(F.sum(F.size("types")), F.lit(0)).alias("total_entities"),
-        F.count_if(F.col("n") > 0).alias("samples_with_entities"),
-    )
-    kinds = (
-        shaped.select(F.explode("types").alias("type")).distinct()
-        .agg(F.count("*").alias("unique_entity_types"))
-    )
-    return _as_metrics(totals).unionByName(_as_metrics(kinds))
+    totals = {
+        "total_samples": F.lit(1), "valid_samples": F.col("s") & F.col("i"), "sentence_coverage": F.col("s"),
+        "intent_coverage": F.col("i"), "entities_coverage": F.col("e"), "total_entities": F.size("types"),
+        "samples_with_entities": F.col("n") > 0,
+    }
+    # One pass: the totals and the types are counted in one table, whose types are then counted themselves.
+    counted = _tallied(shaped, F.concat(
+        F.array(*(_tally("metric", F.lit(name), n) for name, n in totals.items())),
+        F.transform("types", lambda t: _tally("type", t, F.lit(1)))))
+    metric = lambda name: F.coalesce(F.sum(F.when((F.col("section") == "metric") & (F.col("key") == name), F.col("n"))), F.lit(0))
+    return _as_metrics(counted.agg(*(metric(name).alias(name) for name in totals),
+                                   F.count_if(F.col("section") == "type").alias("unique_entity_types")))
 
 
 def label_map(df: DataFrame) -> DataFrame:
@@ -203,15 +201,98 @@ def label_map(df: DataFrame) -> DataFrame:
     """
     types = df.select(F.explode(F.transform(listed(F.col("entities")), lambda e: e["type"])).alias("type")) \
         .filter("type IS NOT NULL").distinct()
+    return _tags(types)
+
+
+def _tags(types: DataFrame) -> DataFrame:
     ranked = types.withColumn("i", F.row_number().over(Window.orderBy("type")))
     tagged = ranked.select(F.inline(F.array(
         F.struct(F.concat(F.lit("B-"), F.col("type")).alias("label"), (F.col("i") * 2 - 1).alias("id")),
         F.struct(F.concat(F.lit("I-"), F.col("type")).alias("label"), (F.col("i") * 2).alias("id")),
     )))
-    outside = df.sparkSession.range(1).select(F.lit("O").alias("label"), F.lit(0).alias("id"))
+    outside = types.sparkSession.range(1).select(F.lit("O").alias("label"), F.lit(0).alias("id"))
     return outside.unionByName(tagged)
 
 
+def _tally(section: str, key: Column, n: Column) -> Column:
+    return F.struct(F.lit(section).alias("section"), key.alias("key"), n.cast("bigint").alias("n"))
+
+
+def _tallied(df: DataFrame, tallies: Column) -> DataFrame:
+    """``(section, key, n)``: what the rows tally, summed in each task before the shuffle."""
+    return (df.select(F.inline(F.filter(tallies, lambda t: t["n"] > 0)))
+            .groupBy("section", "key").agg(F.sum("n").alias("n")))
+
+
+def audit_counts(df: DataFrame) -> DataFrame:
+    """All that an audit counts of utterances, in one pass: ``(section, key, n)``.
+
+    Sections are ``totals``, the labels of ``label_counts``, the values of
+    ``entity_values`` (``value_type``, ``value_filler``) and the types as they
+    stand (``tag``).
+    """
+    entities = listed(F.col("entities"))
+    trimmed = lambda e, kind: strip(F.coalesce(e[kind], F.lit("")))
+    one = F.lit(1)
+
+    def values(kind: str) -> Column:
+        kept = F.filter(F.transform(entities, lambda e: trimmed(e, kind)), lambda v: v != "")
+        return F.transform(kept, lambda v: _tally(f"value_{kind}", v, one))
+
+    tags = F.filter(F.transform(entities, lambda e: e["type"]), lambda t: t.isNotNull())
+    return _tallied(df, F.concat(
+        F.array(
+            _tally("totals", F.lit("samples"), one),
+            _tally("totals", F.lit("entities"), F.size(F.filter(entities, lambda e: trimmed(e, "type") != ""))),
+            _tally("totals", F.lit("with_entities"), F.size(entities) > 0),
+            _tally("totals", F.lit("diacritics"), F.coalesce(has_diacritics(F.col("sentence")), F.lit(False))),
+            _tally(INTENT, F.coalesce("intent", F.lit("unknown")), one),
+        ),
+        F.transform(types_of(F.col("entities"), "unknown"), lambda t: _tally(TYPE, t, one)),
+        values("type"), values("filler"),
+        F.transform(tags, lambda t: _tally("tag", t, one))))
+
+
+def _total(key: str) -> Column:
+    return F.coalesce(F.sum(F.when((F.col("section") == "totals") & (F.col("key") == key), F.col("n"))), F.lit(0))
+
+
+def counted_values(counts: DataFrame) -> DataFrame:
+    """``entity_values`` read off ``audit_counts``."""
+    return counts.filter(F.col("section").startswith("value_")).select(
+        F.substring("section", 7, 100).alias("kind"), F.col("key").alias("value"), "n")
+
+
+def counted_labels(counts: DataFrame) -> DataFrame:
+    """Intents and types of ``label_counts``, read off ``audit_counts``."""
+    return counts.filter(F.col("section").isin(INTENT, TYPE)).select(F.col("section").alias("dimension"), F.col("key").alias("label"), "n")
+
+
+def counted_label_map(counts: DataFrame) -> DataFrame:
+    return _tags(counts.filter(F.col("section") == "tag").select(F.col("key").alias("type")))
+
+
+def counted_statistics(counts: DataFrame) -> DataFrame:
+    """``entity_statistics`` read off ``audit_counts``."""
+    samples, entities = _total("samples"), _total("entities")
+    return _as_metrics(counts.agg(
+        entities.alias("total_entities"),
+        _total("with_entities").alias("samples_with_entities"),
+        (samples - _total("with_entities")).alias("samples_without_entities"),
+        (entities / F.nullif(samples, F.lit(0))).alias("average_entities_per_sample"),
+        F.count_if(F.col("section") == "value_type").alias("unique_entity_types"),
+        F.count_if(F.col("section") == "value_filler").alias("unique_entity_fillers"),
+    ))
+
+
+def counted_quality(counts: DataFrame) -> DataFrame:
+    """The totals of a quality report on final samples, all of which count as valid."""
+    samples, marked = _total("samples"), _total("diacritics")
+    share = lambda n: F.coalesce(n / F.nullif(samples, F.lit(0)), F.lit(0.0))
+    return counts.agg(samples.alias("total_samples"), samples.alias("passed_all_checks"), marked.alias("samples_with_vietnamese"),
+                      share(samples).alias("quality_rate"), share(marked).alias("vietnamese_rate"))
+
+
 def augmentation_ratio(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: both sizes and the growth in percent."""
     counted = before.select(F.lit(1).alias("was"), F.lit(0).alias("now")) \

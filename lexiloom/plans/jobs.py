@@ -59,14 +59,14 @@ def generate(df: DataFrame, settings: Settings, test_mode: bool = False, max_rev
     )
 
 
-def write_generation(result: Generation, folder: str, stamp: str) -> None:
+def write_generation(result: Generation, folder: str, stamp: str, mode: str = "error") -> None:
     writers.write_augmentations(
-        result.augmentations.withColumn("timestamp", F.lit(stamp)), f"{folder}/augmented/augmented_data_{stamp}", stamp)
-    writers.write_review(result.review, f"{folder}/review/review_samples_{stamp}.csv")
+        result.augmentations.withColumn("timestamp", F.lit(stamp)), f"{folder}/augmented/augmented_data_{stamp}", stamp, mode)
+    writers.write_review(result.review, f"{folder}/review/review_samples_{stamp}.csv", mode)
     base = f"{folder}/augmented/generation_stats_{stamp}"
-    writers.write_jsonl(result.profile, f"{base}/dataset_analysis")
-    writers.write_report(result.statistics, f"{base}/generation_statistics")
-    writers.write_jsonl(result.issues.withColumn("timestamp", F.lit(stamp)), f"{base}/quality_issues")
+    writers.write_jsonl(result.profile, f"{base}/dataset_analysis", mode)
+    writers.write_report(result.statistics, f"{base}/generation_statistics", mode)
+    writers.write_jsonl(result.issues.withColumn("timestamp", F.lit(stamp)), f"{base}/quality_issues", mode)
 
 
 @dataclass
@@ -89,11 +89,12 @@ def integrate_review(reviewed: DataFrame, settings: Settings, strategy: str = "b
     )
 
 
-def write_integration(result: Integration, folder: str, stamp: str, fmt: str = "jsonl") -> None:
+def write_integration(result: Integration, folder: str, stamp: str, fmt: str = "jsonl", mode: str = "error") -> None:
+    """The final set under its batch, which a rerun replaces, and the report."""
     writers.write_final(result.training, f"{folder}/final", stamp, fmt)
     writers.write_report(
         result.report.withColumn("report_generated_at", F.current_timestamp().cast("string")),
-        f"{folder}/report/integration_report_{stamp}")
+        f"{folder}/report/integration_report_{stamp}", mode)
 
 
 @dataclass
@@ -168,25 +169,33 @@ class Audit:
 
 
 def audit(raw: DataFrame, typed: DataFrame) -> Audit:
-    """Format check of a raw scan; cleaning, statistics, labels and quality of a typed one."""
+    """Format check of a raw scan; cleaning, statistics, labels and quality of a typed one.
+
+    The typed table is cleaned and counted in one pass; all outputs but the
+    cleaned rows themselves are read off those counts.
+    """
     cleaned = typed.withColumns({"sentence": clean_text(F.col("sentence")), "entities": normalise(F.col("entities"))})
-    values = settle(profile.entity_values(cleaned))
+    counts = settle(profile.audit_counts(cleaned))
+    values = profile.counted_values(counts)
     return Audit(
         format_issues=profile.format_issues(raw),
         format_report=profile.format_report(raw),
         cleaned=cleaned,
-        entity_statistics=profile.entity_statistics(cleaned, values),
+        entity_statistics=profile.counted_statistics(counts),
         top_types=profile.top_values(values, "type"),
         top_fillers=profile.top_values(values, "filler"),
-        label_map=profile.label_map(cleaned),
-        quality_report=quality_report(quality.validate_samples(cleaned), settle(profile.label_counts(cleaned, pairs=False))),
+        label_map=profile.counted_label_map(counts),
+        quality_report=_report(profile.counted_quality(counts), None, profile.counted_labels(counts)),
     )
 
 
 def quality_report(validated: DataFrame, counts: DataFrame, sentence: str = "sentence",
                    pairs: bool = False) -> DataFrame:
     """``(section, position, key, n, rate)``: totals, failed checks, ten commonest intents and types."""
-    totals = quality.quality_summary(validated, sentence, pairs)
+    return _report(quality.quality_summary(validated, sentence, pairs), quality.failed_check_counts(validated), counts)
+
+
+def _report(totals: DataFrame, failed: DataFrame | None, counts: DataFrame) -> DataFrame:
     rate = F.lit(None).cast("double")
     summary = totals.select(F.inline(F.array(
         F.struct(F.lit("totals").alias("section"), F.lit(1).alias("position"), F.lit("total_samples").alias("key"),
@@ -206,9 +215,9 @@ def quality_report(validated: DataFrame, counts: DataFrame, sentence: str = "sen
     def dimension(name: str) -> DataFrame:
         return counts.filter(F.col("dimension") == name).select("label", "n")
 
+    checked = summary if failed is None else summary.unionByName(ranked(failed, "failed_checks", "check", None))
     return (
-        summary
-        .unionByName(ranked(quality.failed_check_counts(validated), "failed_checks", "check", None))
+        checked
         .unionByName(ranked(dimension(profile.INTENT), "intents", "label", 10))
         .unionByName(ranked(dimension(profile.TYPE), "entity_types", "label", 10))
     )
