@@ -3,6 +3,8 @@
 The regression runs on hashed character n-grams of host and path. It is
 trained on a small labelled table; scoring is one narrow stage of JVM
 expressions, without a shuffle, so a hot host costs no more than any other.
+Rules are a table of any length: the different hosts meet the rules of their
+domains by equality, and a url then looks through its own host's rules only.
 
 Defined results
 - a url that is null or has no ``://`` has an empty host and path; no rule
@@ -17,17 +19,17 @@ Defined results
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.frames import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_RULES = 1000
 
 
 @dataclass(frozen=True)
@@ -113,26 +115,45 @@ def unwanted(featured: DataFrame, model: Model) -> DataFrame:
     return featured.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
 
 
-def fits(rule: Rule, host: Column, path: Column) -> Column:
-    return ((host == rule.host) | host.endswith(f".{rule.host}")) & path.startswith(rule.path)
+def domains(host: Column) -> Column:
+    """A host and its parent domains: all that stands behind a dot, and the whole."""
+    labels = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
-def judge(urls: DataFrame, rules: list[Rule], model: Model, threshold: float = 0.5) -> DataFrame:
+def rule_table(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
+    """Rules as rows (verdict, host, path)."""
+    listed = [{"verdict": r.verdict, "host": r.host, "path": r.path} for r in set(rules)]
+    made = F.from_json(F.lit(json.dumps(listed)), "array<struct<verdict:string,host:string,path:string>>")
+    return spark.range(1).select(F.inline(made))
+
+
+def rules_of_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """``_host`` and its rules, the one that wins first, for the hosts that have any.
+
+    The size of an array is the number of rules for a host and its domains.
+    """
+    text = F.concat("host", "path")
+    each = rules.select(F.col("host").alias("_domain"), F.struct(
+        (-F.char_length(text)).alias("order"), text.alias("rule"), "path", "verdict").alias("_rule")).distinct()
+    # Copies of a host go in the map tasks, before anything is joined.
+    pairs = hosts.select("_host").distinct().select("_host", F.explode(F.array_distinct(domains(F.col("_host")))).alias("_domain"))
+    return pairs.join(each, "_domain").groupBy("_host").agg(F.sort_array(F.collect_list("_rule")).alias("_rules"))
+
+
+def judge(urls: DataFrame, rules: list[Rule] | DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """Adds host, path, rule, verdict and score to each url.
 
-    The rules are literals of the plan, so there may be ``MAX_RULES`` at most.
+    ``rules`` are a list, or a table (verdict, host, path).
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are allowed")
-    ordered = sorted(set(rules), key=lambda r: (-len(r.text), r.text))
+    table = rules if isinstance(rules, DataFrame) else rule_table(urls.sparkSession, rules)
     kept = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "score")]
     rows = urls.select(F.struct(*kept).alias("row"), F.col("url"))
-    scored = unwanted(url_features(rows), model)
-    host, path = F.col("_host"), F.col("_path")
-    first = F.coalesce(F.lit(None), *(
-        F.when(fits(r, host, path), F.struct(F.lit(r.text).alias("rule"), F.lit(r.verdict).alias("verdict")))
-        for r in ordered)) if ordered else F.lit(None).cast("struct<rule:string,verdict:string>")
+    # Stored, so that the join knows its size: it is broadcast only below Spark's threshold, and a hot host's side can be split.
+    ruled = stored(rules_of_hosts(rows.select(host_of(F.col("url")).alias("_host")), table))
+    joined = unwanted(url_features(rows), model).join(ruled, "_host", "left")
+    first = F.get(F.filter("_rules", lambda r: F.col("_path").startswith(r["path"])), F.lit(0))
     learned = F.when(F.col("score") > threshold, "block").otherwise("allow")
-    return scored.withColumn("_first", first).select(
-        "row.*", host.alias("host"), path.alias("path"), F.col("_first.rule").alias("rule"),
+    return joined.withColumn("_first", first).select(
+        "row.*", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_first.rule").alias("rule"),
         F.coalesce(F.col("_first.verdict"), learned).alias("verdict"), "score")

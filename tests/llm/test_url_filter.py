@@ -70,5 +70,29 @@ def test_tables_of_one_class_and_none(spark):
         made = url_filter.train(spark.createDataFrame(rows, "url string, label int"))
         return url_filter.judge(spark.createDataFrame([("http://a/",)], "url string"), [], made).first().score
     assert score([]) == 0 and score([(None, 1), ("x", None)]) == 0 and score([("http://a/", 1)]) == 1
-    with pytest.raises(ValueError):
-        url_filter.judge(spark.createDataFrame([("http://a/",)], "url string"), [url_filter.Rule("block", f"h{i}") for i in range(1001)], None)
+
+
+def test_rules_of_any_number(spark):
+    """100,000 rules as a table, with repeated ones and rules for a domain, its parent and several paths."""
+    made = spark.range(100_000).selectExpr("'block' AS verdict", "concat('h', id, '.com') AS host", "'/' AS path").unionByName(
+        spark.createDataFrame([("allow", "h7.com", "/ok/"), ("allow", "h7.com", "/ok/"), ("block", "h7.com", "/ok/no"), ("allow", "com", "/"),
+                               ("block", "www.h7.com", "/")], "verdict string, host string, path string"))
+    urls = ["http://h7.com/", "http://h7.com/ok/x", "http://H7.com/ok/now", "http://www.h7.com/ok/", "http://a.b.h99999.com/z", "http://xh7.com/",
+            "http://h7.com", "http://org/", None]
+    got = {r.url: (r.rule, r.verdict) for r in url_filter.judge(
+        spark.createDataFrame([(u,) for u in urls], "url string"), made, url_filter.Model([], 0.0, 0.0)).collect()}
+    assert [got[u] for u in urls] == [
+        ("h7.com/", "block"), ("h7.com/ok/", "allow"), ("h7.com/ok/no", "block"), ("www.h7.com/", "block"), ("h99999.com/", "block"),
+        ("com/", "allow"), (None, "allow"), (None, "allow"), (None, "allow")]
+
+
+def test_a_hot_host(spark):
+    """A host of most rows: whole results with the broadcast of its rules switched off."""
+    urls = spark.range(20_000).selectExpr("id", "if(id % 10 = 0, concat('http://s', id, '.org/fr/'), 'http://hot.example.net/en/') AS url")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = url_filter.judge(urls, URL_RULES, url_filter.Model([], 0.0, 0.0)).groupBy("rule", "verdict").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert sorted(map(tuple, rows)) == [("example.net/en/", "allow", 18_000), ("org/fr/", "allow", 2_000)]
