@@ -94,10 +94,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to archives, and read back through their index."""
+    """Every page written to archives, and read back by looking up every page's url in their index."""
     pages = load(spark, sf_dir, "pages", "page_id", "url", "html")
     archive = warc.write(pages, least_bytes=0)
-    found = warc.read(archive, warc.captures(archive))
+    found = warc.read(archive, warc.lookup(archive, pages.select("url")))
     kind = pages.schema["page_id"].dataType
     return found.select(F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                         F.col("refers_to").cast(kind).alias("refers_to"))

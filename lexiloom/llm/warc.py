@@ -4,7 +4,8 @@ Archives are written by the tasks that hold the pages: each record is a gzip
 member of its own, so it can be read by range. The index holds a line for each
 capture, sorted by the url's key (host reversed) and cut into compressed blocks;
 a sparse directory (first key, last key, place of each block) finds a block by
-binary search, and the block finds the record.
+binary search, and the block finds the record. Directory and wanted keys are
+ranged by key together, so a task searches its range of the directory only.
 
 Files go to a folder that all executors see, under names that no other attempt
 of a task uses; only files named in a stored manifest count, so a lost or
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.llm.frames import stored, without_nulls
@@ -43,7 +44,7 @@ from lexiloom.session import work_folder
 ID = "urn:lexiloom:page:"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-MAX_KEYS = 100_000
+HEADS = 100_000  # directory entries in a task's memory
 CAPTURE = "key string, file string, offset long, length long"
 RECORD = ("page string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary")
 DIRECTORY = "first_key string, last_key string, file string, offset long, length long, captures long"
@@ -236,28 +237,73 @@ def captures(archive: Archive) -> DataFrame:
     return archive.directory.repartition(archive.parts(), "file", "offset").mapInArrow(run, CAPTURE)
 
 
-def lookup(archive: Archive, urls: list[str]) -> DataFrame:
-    """The captures of some urls (``MAX_KEYS`` at most, as they go to every task).
-
-    A task looks its part of the directory over, reads only the blocks whose keys
-    may hold a wanted one, and searches these.
-    """
-    if len(urls) > MAX_KEYS:
-        raise ValueError(f"{len(urls)} urls; at most {MAX_KEYS} are allowed")
-    spark, folder = archive.directory.sparkSession, archive.folder
-    literals = F.explode(F.array(*map(F.lit, urls))) if urls else F.explode(F.array().cast("array<string>"))
-    keys = sorted({r.key for r in spark.range(1).select(literals.alias("url")).select(url_key(F.col("url")).alias("key")).collect()})
-
+def _search_directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each range (part): its directory entries come first, by key, and then the wanted keys, each searched for among them."""
+    part, firsts, blocks = None, [], []
+    for batch in batches:
+        found = []
+        for row in batch.to_pylist():
+            if row["part"] != part:
+                part, firsts, blocks = row["part"], [], []
+            if row["block"] is not None:
+                firsts.append(row["key"])
+                blocks.append(row["block"])
+                continue
+            # The last block that starts before the key; blocks that start with it are found by equality.
+            at = bisect_left(firsts, row["key"]) - 1
+            if at >= 0 and blocks[at]["last_key"] >= row["key"]:
+                found.append((row["key"], blocks[at]["file"], blocks[at]["offset"], blocks[at]["length"]))
+        yield _as_captures(found)
+
+
+def _search_blocks(folder: str):
+    """The captures of the wanted keys, which come block by block and in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, lines, known = None, [], []
         for batch in batches:
-            bounds = zip(batch.column("first_key").to_pylist(), batch.column("last_key").to_pylist())
-            wanted = [i for i, (a, b) in enumerate(bounds) if bisect_left(keys, a) < bisect_right(keys, b)]
-            for lines in _lines_of(folder, batch.take(pa.array(wanted, pa.int64()))):
-                known = [line[0] for line in lines]
-                inside = keys[bisect_left(keys, known[0]):bisect_right(keys, known[-1])]
-                yield _as_captures([x for k in inside for x in lines[bisect_left(known, k):bisect_right(known, k)]])
-
-    return archive.directory.mapInArrow(run, CAPTURE)
+            found = []
+            for row in batch.to_pylist():
+                here = (row["file"], row["offset"], row["length"])
+                if here != place:
+                    place, data = here, next(read_ranges(folder, iter([here])))
+                    lines = [json.loads(line) for line in zlib.decompress(data, 31).decode().split("\n")]
+                    known = [line[0] for line in lines]
+                found += lines[bisect_left(known, row["key"]):bisect_right(known, row["key"])]
+            yield _as_captures(found)
+    return run
+
+
+def lookup(archive: Archive, urls: list[str] | DataFrame) -> DataFrame:
+    """The captures of some urls: a list, or a table (url) of any length; repeated ones count once.
+
+    A key's blocks are those that start with it (a frequent key has many), and
+    the last one that starts before it, if it reaches the key. The latter is
+    found by binary search in the part of the directory that has the key's
+    range; a block is then read once by each task that searches it.
+    """
+    directory, spark = archive.directory, archive.directory.sparkSession
+    if not isinstance(urls, DataFrame):
+        urls = spark.createDataFrame([(u,) for u in urls], "url string")
+    wanted = stored(urls.select(url_key(F.col("url")).alias("key")).distinct())
+    # Of the blocks that start with the same key the last alone can reach beyond it. So no key occurs twice on either side.
+    heads = directory.groupBy(F.col("first_key").alias("key")).agg(F.max(F.struct("last_key", "file", "offset", "length")).alias("block"))
+    nothing = F.lit(None).cast(heads.schema["block"].dataType)
+    both = heads.unionByName(wanted.withColumn("block", nothing))
+    ranges = max(1, (directory.count() + wanted.count()) // HEADS)
+    ranged = stored(both.repartitionByRange(ranges, "key").withColumn("part", F.spark_partition_id()))
+    # A range may begin inside a block: it gets the last entry of the ranges before it. One row for each range.
+    last = ranged.where("block IS NOT NULL").groupBy("part").agg(F.max(F.struct("key", "block")).alias("last"))
+    parts = ranged.select("part").distinct().join(last, "part", "left")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select("part", F.last("last", ignorenulls=True).over(before).alias("_before")).where("_before IS NOT NULL").select(
+        F.col("_before.key").alias("key"), F.col("_before.block").alias("block"), "part")
+    searched = ranged.select("key", "block", "part").unionByName(carried).repartition(ranges, "part").sortWithinPartitions(
+        "part", F.col("block").isNull(), "key").mapInArrow(_search_directory, CAPTURE)
+    starting = wanted.join(directory, wanted["key"] == directory["first_key"]).select("key", "file", "offset", "length")
+    places = stored(searched.unionByName(starting))
+    # By key too, so that very many keys of one block are several tasks' work.
+    return places.repartitionByRange(archive.parts(), "file", "offset", "key").sortWithinPartitions("file", "offset", "key").mapInArrow(
+        _search_blocks(archive.folder), CAPTURE)
 
 
 def read(archive: Archive, chosen: DataFrame) -> DataFrame:

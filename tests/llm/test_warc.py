@@ -45,8 +45,24 @@ def test_lookup(spark):
     assert warc.lookup(archive, []).count() == 0
 
 
+def test_lookup_of_any_number(spark, monkeypatch):
+    """Many ranges of the directory, a key of many blocks, absent keys before, between and behind, against a plain search."""
+    monkeypatch.setattr(warc, "HEADS", 7)
+    hosts = [f"h{i:03d}" for i in range(60)]
+    rows = [(i, f"http://{'h030' if i % 3 == 0 else hosts[i % 60]}.com/{i % 5}", str(i), "e") for i in range(600)] + [(1000, None, "n", "e")]
+    archive = warc.write(table(spark, rows), block_lines=4)
+    urls = [f"http://{h}.com/{i}" for h in hosts[::2] for i in (0, 3, 9)] + ["http://h030.com/0", "http://h.aa/", "http://h.zz/", None, None]
+    held = [None if u is None else u for u in urls]
+    for wanted in (urls, spark.createDataFrame([(u,) for u in held], "url string")):
+        found = [r.page for r in warc.read(archive, warc.lookup(archive, wanted)).collect()]
+        assert sorted(found) == sorted(str(page) for page, url, _, _ in rows if url in urls)
+    every = warc.read(archive, warc.lookup(archive, table(spark, rows).select("url"))).count()
+    assert every == len(rows) == warc.captures(archive).count()
+
+
 def test_empty(spark):
     archive = warc.write(table(spark).limit(0))
+    assert warc.lookup(archive, ["http://a.com/"]).count() == 0
     assert warc.read(archive, warc.captures(archive)).count() == 0
 
 
