@@ -247,32 +247,28 @@ def candidates(
         key.alias("_key"), F.size(words(F.col("sentence"))).alias("_was"))
     sentence, entities, was = F.col("sentence"), F.col("entities"), F.col("_was")
 
-    def split_once(t: Column) -> Column:
-        # Most variants of some methods equal their original, whose words are counted already.
-        low = F.when(t["out"]["sentence"] != sentence, words(F.lower(t["out"]["sentence"])))
-        return F.struct(t["method"].alias("method"), t["out"].alias("out"), low.alias("low"))
-
-    def judged(t: Column) -> Column:
-        size = F.when(t["low"].isNull(), was).otherwise(F.size(t["low"]))
-        rule = first_failed_rule(sentence, t["out"]["sentence"], entities, t["out"]["entities"],
-                                 was, size, t["low"], settings)
+    # Columns of their own, so that each method is compiled and evaluated once: lambdas are interpreted.
+    outs, lows = [f"_out{i}" for i in range(len(wanted))], [f"_low{i}" for i in range(len(wanted))]
+    made = prepared.withColumns({o: known[m](sentence, entities, F.col("_key"), settings) for o, m in zip(outs, wanted)})
+    # Most variants of some methods equal their original, whose words are counted already.
+    split = made.withColumns({
+        low: F.when(F.col(f"{o}.sentence") != sentence, words(F.lower(F.col(f"{o}.sentence")))) for o, low in zip(outs, lows)})
+
+    def judged(method: str, out: Column, low: Column) -> Column:
+        size = F.when(low.isNull(), was).otherwise(F.size(low))
+        rule = first_failed_rule(sentence, out["sentence"], entities, out["entities"], was, size, low, settings)
         return F.struct(
-            t["method"].alias("method"),
-            t["out"]["sentence"].alias("augmented_sentence"),
-            t["out"]["entities"].alias("augmented_entities"),
+            F.lit(method).alias("method"),
+            out["sentence"].alias("augmented_sentence"),
+            out["entities"].alias("augmented_entities"),
             size.alias("augmented_length"),
-            F.when((was > 0) & t["out"]["sentence"].isNotNull(), rule).alias("failed_rule"),
+            F.when((was > 0) & out["sentence"].isNotNull(), rule).alias("failed_rule"),
         )
 
-    # A variant is judged where it is made, before the explode: a later filter on
-    # the verdict then reads a field and never re-evaluates the rewriting.
-    made = F.array(*[
-        F.struct(F.lit(m).alias("method"), known[m](sentence, entities, F.col("_key"), settings).alias("out"))
-        for m in wanted
-    ])
-    tries = F.transform(F.transform(made, split_once), judged)
-    fanned = prepared.select(*carried, "sentence", "intent", "entities", "_was",
-                             F.posexplode(tries).alias("method_no", "_try"))
+    # A variant is judged before the explode: a later filter on the verdict then
+    # reads a field and never re-evaluates the rewriting.
+    tries = F.array(*[judged(m, F.col(o), F.col(low)) for m, o, low in zip(wanted, outs, lows)])
+    fanned = split.select(*carried, "sentence", "intent", "entities", "_was", F.posexplode(tries).alias("method_no", "_try"))
     made_one = F.col("_try.augmented_sentence").isNotNull()
     error = F.when(was == 0, "division by zero").when(~made_one, "no synonym to choose")
     variants = fanned.select(
