@@ -267,8 +267,11 @@ def candidates(
 
     # A variant is judged before the explode: a later filter on the verdict then
     # reads a field and never re-evaluates the rewriting.
+    # The array is a column too: what stands inside a generator is interpreted, whatever it is. The outer form, as
+    # the optimizer would repeat the whole rewriting below it to test that the array isn't empty.
     tries = F.array(*[judged(m, F.col(o), F.col(low)) for m, o, low in zip(wanted, outs, lows)])
-    fanned = split.select(*carried, "sentence", "intent", "entities", "_was", F.posexplode(tries).alias("method_no", "_try"))
+    fanned = split.select(*carried, "sentence", "intent", "entities", "_was", tries.alias("_tries")).select(
+        *carried, "sentence", "intent", "entities", "_was", F.posexplode_outer("_tries").alias("method_no", "_try"))
     made_one = F.col("_try.augmented_sentence").isNotNull()
     error = F.when(was == 0, "division by zero").when(~made_one, "no synonym to choose")
     variants = fanned.select(
