@@ -16,6 +16,7 @@ Defined results
   own row included; with fewer than k rows, all of them;
 - vectors that are null, hold nulls or have other than ``BITS`` components have
   no code: they are neither queries nor neighbours;
+- a component that is NaN sets its bit, as Spark orders NaN above all numbers;
 - ids that repeat with the same code count once; an empty table gives no rows.
 """
 
@@ -62,11 +63,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, segments: int =
     index = stored(codes.select("code", "ids", F.posexplode(cut(F.col("code"))).alias("segment", "value")))
     pending = stored(queries.where("code IS NOT NULL").select(
         F.col("vec_id").alias("query_id"), F.col("code").alias("q"), F.lit(BITS).alias("bound")).distinct())
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best, done = None, []
     distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
     for s in range(width + 1):
         near = F.explode(masks(width, s))
-        parts = pending.select("query_id", "q", "bound", F.posexplode(cut(F.col("q"))).alias("part_no", "part")).withColumn("mask", near)
+        # Dealt out by query first, into a stated number: a few bytes of queries make millions of probes, and
+        # Spark would merge partitions by those bytes.
+        dealt = pending.repartition(tasks, "query_id", "q")
+        parts = dealt.select("query_id", "q", "bound", F.posexplode(cut(F.col("q"))).alias("part_no", "part")).withColumn("mask", near)
         probes = parts.select("query_id", "q", "bound", "part_no", F.col("part").bitwiseXOR(F.col("mask")).alias("probe"))
         # What is farther than the kth so far can't be among the best. Probes outgrow the
         # statistics of the table they are made of, so they must never be the broadcast side.
