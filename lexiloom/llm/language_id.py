@@ -166,12 +166,17 @@ def train(documents: DataFrame, per_language: int = 800, sample: int = 8000) ->
         else:
             frequency[bucket] = n
     idf = np.log((1 + documents_in_all) / (1 + frequency)) + 1
-    # A share of each language's hashes, so that rare languages are seen as often as frequent ones.
-    # Stored: a few rows whose size Spark knows, so the many rows of one language needn't meet in a task.
-    shares = stored(known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share")))
+    # A share of each language's hashes, so that rare languages are seen as often as frequent ones, and all of them
+    # within ``sample``. Stored: a few rows whose size Spark knows, so the many rows of one language needn't meet in a task.
     place = F.pmod("mark", F.lit(1_000_003)) / 1_000_003
-    marks = (known.select("mark", "lang").join(shares, "lang").where(place < F.col("share")).select("mark", "lang").distinct()
-             .orderBy("mark", "lang").limit(sample))
+    sizes = stored(known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")))
+    each = min(per_language, max(sample // max(sizes.count(), 1), 1))
+    shares = sizes.select("lang", "least", (F.lit(float(each)) / F.col("n")).alias("share"))
+    # ``last`` is a mark's place among those of its language, so the cut falls on all languages alike, but for the first row of each.
+    first = place == F.col("least")
+    marks = (known.select("mark", "lang").join(shares, "lang").where(first | (place < F.col("share")))
+             .select(F.when(first, 0.0).otherwise(place / F.col("share")).alias("last"), "mark", "lang").distinct()
+             .orderBy("last", "mark", "lang").limit(sample).select("mark", "lang"))
     # ``sample`` pairs of a number and a language at most, so the texts needn't be shuffled.
     chosen = known.join(F.broadcast(marks), ["mark", "lang"]).select("mark", "lang", "text").limit(sample)
     rows = chosen.mapInArrow(tidied(_vectors), "mark long, lang string, buckets array<int>, counts array<int>").toArrow()

@@ -23,6 +23,13 @@ def test_labels_of_held_out_documents_are_not_learned(spark, documents):
     assert one.languages == two.languages and (one.weights == two.weights).all()
 
 
+def test_every_language_is_learned(spark):
+    """Many languages, a small sample, and one language with a single row."""
+    rows = [(i, f"word{i % 40} text number {i}", f"l{i % 40:02}") for i in range(4000)] + [(9001, "the only row", "rare")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=300)
+    assert model.languages == sorted({lang for _, _, lang in rows})
+
+
 def test_odd_inputs(documents, rows, nothing):
     model = language_id.train(documents)
     found = language_id.predict(documents, model)
