@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Every step is a grouped minimum with map-side combining and a join whose large
-side Spark can split where a node has very many edges. Nothing but two numbers
+Every step is a grouped minimum with map-side combining, stored, and a join
+with it: as both sides come from plain exchanges, Spark can split the large one
+where a node has very many edges. Nothing but two numbers
 per round reaches the driver. Each round is written to the shared work folder,
 so a lost executor costs a re-read.
 """
@@ -23,7 +24,7 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is tied to the node's least neighbour (itself included)."""
     both = edges.union(edges.select("b", "a"))
-    least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+    least = settle(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")))
     return (both.join(least, both["a"] == least["u"]).where("b > a")
             .select(F.col("b").alias("a"), F.least("m", "u").alias("b")).distinct())
 
@@ -31,7 +32,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each smaller neighbour of a node, and the node, are tied to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+    least = settle(down.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")))
     others = down.join(least, down["u"] == least["w"]).where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return others.union(least.select(F.col("w").alias("a"), F.col("m").alias("b"))).distinct()
 

@@ -101,3 +101,16 @@ def test_long_chain(spark):
 def test_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0
     assert simhash.one_of_each(nothing).count() == 0
+
+
+def test_hub_with_every_join_shuffled(spark):
+    """One node with most of the edges, beside small components, where nothing is broadcast."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.range(100_000).selectExpr("500000L AS a", "id + 1 AS b").union(
+            spark.range(300).selectExpr("600000L + id * 2 AS a", "600001L + id * 2 AS b"))
+        roots = connected_components(edges).groupBy("root").count().collect()
+        assert sorted((r["root"], r["count"]) for r in roots) == [(1, 100_000)] + [(600_000 + 2 * i, 1) for i in range(300)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
