@@ -37,6 +37,23 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(load(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, model)
 
 
+@query
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules alone say of every page's url."""
+    judged = url_filter.judge(load(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, url_filter.Model([], 0.0, 0.0))
+    return judged.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
+
+
+_FITS = "((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+ORACLES["url_rules"] = r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT *, CASE """ + " ".join(
+    "WHEN " + _FITS.format(h=r.host, p=r.path) + f" THEN '{r.text}'" for r in sorted(URL_RULES, key=lambda r: -len(r.text))) + """ END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE """ + " ".join(f"WHEN rule = '{r.text}' THEN '{r.verdict}'" for r in URL_RULES) + " END AS ruled FROM r"
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -52,6 +69,29 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents, forest).drop("text")
 
 
+@query
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the quality rules count in every document, without a model."""
+    found = quality_rules.judge(load(spark, sf_dir, "documents", "doc_id", "text"), None)
+    return found.select("doc_id", *quality_rules.BASE, "base_failed")
+
+
+ORACLES["quality_statistics"] = r"""
+WITH d AS (SELECT row_number() OVER () AS p, doc_id, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+e AS (SELECT p, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS three
+  FROM (SELECT p, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+m AS (SELECT p, i FROM e QUALIFY count(*) OVER (PARTITION BY p, three) > 1),
+r AS (SELECT p, count(DISTINCT i + j) AS n FROM m, (SELECT unnest(range(3)) AS j) GROUP BY p),
+s AS (SELECT d.p, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(n, 0) AS n_repeat_words
+  FROM d LEFT JOIN r ON d.p = r.p)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s"""
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that aren't held out."""
