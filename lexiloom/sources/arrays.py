@@ -31,24 +31,24 @@ def elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
         outside = F.regexp_replace(F.regexp_replace(text, r'"[^"]*"', ""), r'"[^"]*$', "")
         return _size_without(outside, "{[") - _size_without(outside, "]") - F.when(end, 0).otherwise(1)
 
-    rows = pieces.running(cut, pieces.SPLIT, "i").withColumns({
+    rows = pieces.running(cut, pieces.RUN, "i").withColumns({
         "shift0": shift(F.col("start0"), F.col("after0")), "shift1": shift(F.col("start1"), F.col("after1"))})
-    splits = pieces.split_starts(rows, shift0=F.sum("shift0"), shift1=F.sum("shift1"))
-    splits = splits.withColumn("shift", F.when(F.col("inside"), F.col("shift1")).otherwise(F.col("shift0")))
-    starts = settle(splits.select(*pieces.SPLIT, F.col("inside").alias("_inside"), pieces.before(splits, "shift").alias("_depth")))
+    runs = pieces.run_starts(rows, shift0=F.sum("shift0"), shift1=F.sum("shift1"))
+    runs = runs.withColumn("shift", F.when(F.col("inside"), F.col("shift1")).otherwise(F.col("shift0")))
+    starts = settle(runs.select(*pieces.RUN, F.col("inside").alias("_inside"), pieces.before(runs, "shift").alias("_depth")))
 
-    place = Window.partitionBy(*pieces.SPLIT).orderBy("i")
+    place = Window.partitionBy(*pieces.RUN).orderBy("i")
     chosen = {name: F.when(F.col("_inside"), F.col(f"{name}1")).otherwise(F.col(f"{name}0")) for name in ("after", "shift")}
-    placed = rows.join(starts, pieces.SPLIT).withColumns(chosen)
+    placed = rows.join(starts, pieces.RUN).withColumns(chosen)
     deep = placed.withColumn("depth", F.col("_depth") + F.sum("shift").over(place))
-    closes = deep.withColumn("closes", ~F.col("after") & (F.col("depth") <= 1)).select(*pieces.SPLIT, "i", "value", "closes")
-    # An element is named after the piece behind which it starts: of its split, or of an earlier one.
+    closes = deep.withColumn("closes", ~F.col("after") & (F.col("depth") <= 1)).select(*pieces.RUN, "i", "value", "closes")
+    # An element is named after the piece behind which it starts: of its run, or of an earlier one.
     behind = closes.withColumn("_behind", F.last(F.when(F.col("closes"), F.col("i")), True).over(place.rowsBetween(Window.unboundedPreceding, -1)))
-    last = settle(closes.groupBy(*pieces.SPLIT).agg(F.max(F.when(F.col("closes"), F.col("i"))).alias("i")))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(*pieces.SPLIT, F.last(F.when(F.col("i").isNotNull(), F.struct("block", "i")), True).over(earlier).alias("_carried"))
+    last = settle(closes.groupBy(*pieces.RUN).agg(F.max(F.when(F.col("closes"), F.col("i"))).alias("i")))
+    earlier = Window.partitionBy("file").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*pieces.RUN, F.last(F.when(F.col("i").isNotNull(), F.struct("block", "i")), True).over(earlier).alias("_carried"))
     record = F.coalesce(F.when(F.col("_behind").isNotNull(), F.struct("block", F.col("_behind").alias("i"))), F.col("_carried"),
                         F.struct(F.lit(-1).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("i")))
-    whole = pieces.gathered(behind.join(carried, pieces.SPLIT).withColumn("record", record), "}")
+    whole = pieces.gathered(behind.join(carried, pieces.RUN).withColumn("record", record), "}")
     text = F.concat(F.regexp_replace("text", r"^[\s,\[]+", ""), F.lit("}"))
     return whole.select("file", F.col("record.block").alias("block"), F.col("record.i").alias("row"), text.alias("text")).filter(F.contains("text", F.lit("{")))

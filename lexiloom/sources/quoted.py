@@ -45,17 +45,17 @@ def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     walked = F.arrow_udf(_walked, "end0 boolean, end1 boolean, cells0 long, cells1 long")
     lines = pieces.scan(spark, path, "\n").withColumn("_w", walked(F.col("value"))).select("*", "_w.*").drop("_w")
-    rows = pieces.running(lines, pieces.SPLIT, "i")
+    rows = pieces.running(lines, pieces.RUN, "i")
 
     def opened(state: str):
         return F.sum(F.when(F.col(state), 0).otherwise(1))
 
-    splits = pieces.split_starts(rows, opened0=opened("start0"), opened1=opened("start1"))
-    splits = splits.withColumn("opened", F.when(F.col("inside"), F.col("opened1")).otherwise(F.col("opened0")))
-    starts = splits.select(*pieces.SPLIT, F.col("inside").alias("_inside"), pieces.before(splits, "opened").alias("_earlier"))
+    runs = pieces.run_starts(rows, opened0=opened("start0"), opened1=opened("start1"))
+    runs = runs.withColumn("opened", F.when(F.col("inside"), F.col("opened1")).otherwise(F.col("opened0")))
+    starts = runs.select(*pieces.RUN, F.col("inside").alias("_inside"), pieces.before(runs, "opened").alias("_earlier"))
     inside = F.when(F.col("_inside"), F.col("start1")).otherwise(F.col("start0"))
-    here = F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(pieces.Window.partitionBy(*pieces.SPLIT).orderBy("i"))
-    placed = rows.join(starts, pieces.SPLIT).withColumn("inside", inside).withColumn("record", F.col("_earlier") + here)
+    here = F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(pieces.Window.partitionBy(*pieces.RUN).orderBy("i"))
+    placed = rows.join(starts, pieces.RUN).withColumn("inside", inside).withColumn("record", F.col("_earlier") + here)
     counted = placed.withColumn("cells", F.when(F.col("inside"), F.col("cells1")).otherwise(F.col("cells0")))
     whole = pieces.gathered(counted, "\n", "cells")
     text = F.regexp_replace(F.regexp_replace("text", "\r\n", "\n"), "\r$", "")

@@ -107,6 +107,17 @@ def test_another_split_in_the_second_pass_fails(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_no_window_holds_a_whole_split(spark, tmp_path):
+    """A split of very many pieces is cut into runs, and elements go on from one run to the next."""
+    rows = [{"sentence": f's {i} }}"', "intent": "{" * (i % 3), "entities": [{"type": "t", "filler": "f"}] * (i % 4)} for i in range(5000)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    cut = pieces.scan(spark, f"{tmp_path}/a.json", "}")
+    assert cut.select("block").distinct().count() == 1 and cut.count() > 10_000
+    assert cut.groupBy(*pieces.RUN).count().agg(F.max("count")).first()[0] <= 4096
+    got = readers.read_training_set(spark, f"{tmp_path}/a.json", one_array=True).orderBy("seq").collect()
+    assert [{"sentence": r["sentence"], "intent": r["intent"], "entities": [e.asDict() for e in r["entities"]]} for r in got] == rows
+
+
 def odd_rows(n):
     rng = random.Random(n)
     texts = ["plain", 'a "quoted" } {', "br\\ack\\\\", "]}", "[{", "\n", '"', "", "ü }"]
