@@ -220,9 +220,12 @@ def _count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["block", "island", "bins", "best"])
 
 
-def pack(items: DataFrame, capacity: int = 1024, block: int = 2048, levels: int = 3, islands: int = 2,
-         epochs: int = 2, generations: int = 4, size: int = 4) -> DataFrame:
-    """row, sequence_id and offset of each item (row: unique, length: 1 to ``capacity``)."""
+def pack(items: DataFrame, capacity: int = 1024, block: int = 2048, levels: int = 3, islands: int = 4,
+         epochs: int = 3, generations: int = 16, size: int = 8) -> DataFrame:
+    """row, sequence_id and offset of each item (row: unique, length: 1 to ``capacity``).
+
+    Each of the ``islands`` breeds ``generations`` children in a population of ``size``, ``epochs`` times over.
+    """
     rows, done = items.select("row", "length"), []
     for level in range(levels):
         count = rows.count()

@@ -54,6 +54,19 @@ def test_few_sequences(spark):
     assert len(packed) == 6000 and check(packed, 1024) <= -(-sum(lengths) // 1024) * 1.005 + 1
 
 
+def test_evolution_by_default_does_its_work(spark):
+    """Lengths that best fit packs badly: enough generations save more sequences than a handful."""
+    lengths = np.random.default_rng(2).integers(250, 500, 2048).tolist()
+    items = spark.createDataFrame(list(enumerate(lengths)), "row long, length long")
+
+    def sequences(**how):
+        packed = packing.pack(items, 1024, **how).join(items, "row").collect()
+        assert len(packed) == len(lengths)
+        return check(packed, 1024)
+
+    assert sequences() < sequences(islands=2, epochs=2, generations=4, size=4)
+
+
 def test_crossover_keeps_every_piece():
     rng = np.random.default_rng(4)
     lengths = rng.integers(1, 1025, 400)
