@@ -66,7 +66,7 @@ def write_generation(result: Generation, folder: str, stamp: str, mode: str = "e
     base = f"{folder}/augmented/generation_stats_{stamp}"
     writers.write_jsonl(result.profile, f"{base}/dataset_analysis", mode)
     writers.write_report(result.statistics, f"{base}/generation_statistics", mode)
-    writers.write_jsonl(result.issues.withColumn("timestamp", F.lit(stamp)), f"{base}/quality_issues", mode)
+    writers.write_jsonl(result.issues.withColumn("timestamp", F.lit(stamp)), f"{base}/quality_issues", mode, compression="gzip")
 
 
 @dataclass

@@ -14,10 +14,11 @@ from lexiloom.session import settle
 _ENGINE_COLUMNS = ("seq", "sample_id")
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS) -> str:
+def write_jsonl(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS,
+                compression: str = "none") -> str:
     """UTF-8 JSON lines; NULL fields are written out, the engine's own columns are not."""
     kept = df.select(*[c for c in df.columns if c not in without])
-    kept.write.mode(mode).option("ignoreNullFields", False).json(path)
+    kept.write.mode(mode).option("ignoreNullFields", False).option("compression", compression).json(path)
     return path
 
 
@@ -52,11 +53,12 @@ def _write_csv(df: DataFrame, path: str, mode: str) -> str:
 def write_augmentations(augmentations: DataFrame, path: str, stamp: str, mode: str = "error") -> str:
     """The augmentations as JSON lines and, next to them, one row describing the run.
 
-    The rows are counted while they are written, not by another pass.
+    The rows are counted while they are written, not by another pass. Variants repeat their originals, so the
+    lines are gzipped, which readers of JSON lines unpack as they go.
     """
     counted = Observation()
     watched = augmentations.drop("method_no").observe(counted, F.count(F.lit(1)).alias("n"))
-    write_jsonl(watched, f"{path}/augmentations", mode)
+    write_jsonl(watched, f"{path}/augmentations", mode, compression="gzip")
     envelope = augmentations.sparkSession.range(1).select(
         F.lit(stamp).alias("timestamp"), F.lit(counted.get["n"]).cast("bigint").alias("total_augmentations"),
         F.current_timestamp().cast("string").alias("generation_timestamp"))

@@ -3,6 +3,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
 from lexiloom.operators import profile, quality, review
@@ -116,3 +117,20 @@ def test_audit_equals_its_parts(spark, utterances):
     # The counts are one scan and one shuffle.
     plan = profile.audit_counts(typed)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and plan.count("Generate") == 1
+
+
+def test_a_generation_takes_little_disk(spark, utterances, tmp_path):
+    """Variants repeat their originals: what a run writes of them takes a fraction of its text, and reads as before."""
+    many = utterances.crossJoin(spark.range(200).select(F.col("id").cast("string").alias("copy"))).select(
+        F.struct("seq.n", F.col("copy").cast("int").alias("copy")).alias("seq"), F.concat_ws("-", "sample_id", "copy").alias("sample_id"),
+        "sentence", "intent", "entities").coalesce(2)
+    result = jobs.generate(many, replace(RARE, min_intent_frequency=10 ** 6))
+    jobs.write_generation(result, str(tmp_path), "a")
+    plain = 0
+    for folder, rows in (("augmented_data_a/augmentations", result.augmentations), ("generation_stats_a/quality_issues", result.issues)):
+        lines = spark.read.text(f"{tmp_path}/augmented/{folder}")
+        assert lines.count() == rows.count() > 500
+        plain += lines.agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    written = sum(p.stat().st_size for d in ("augmented_data_a/augmentations", "generation_stats_a/quality_issues")
+                  for p in (tmp_path / "augmented" / d).glob("part-*"))
+    assert written * 4 < plain
