@@ -17,7 +17,7 @@ from lexiloom.catalog import tables as T
 from lexiloom.catalog.tables import SETTINGS
 from lexiloom.config import load_settings, vocabulary_from, vocabulary_table
 from lexiloom.functions.entities import normalise, parse_entities, repair_json
-from lexiloom.functions.text import clean_text, has_diacritics, has_vietnamese_letters, words
+from lexiloom.functions.text import clean_text, has_diacritics, has_text, has_vietnamese_letters, words
 from lexiloom.operators import augment, integrate, profile, quality, review, vocabulary
 from lexiloom.operators.rarity import rare_samples
 from lexiloom.plans import jobs, runs
@@ -239,8 +239,7 @@ def a4_entity_synonym(spark, sf):
 SELECT sample_id, array_to_string(CASE WHEN spot = 0 THEN sw ELSE list_concat(list_concat(sw[1:spot - 1], [{O._ACTION}]), sw[spot + 1:]) END, ' ') AS replaced
 FROM (SELECT *, coalesce({O._ACTION_AT}, 0) AS spot FROM (SELECT sample_id, w AS sw FROM utt))"""))
 def a5_action_word(spark, sf):
-    return T.utterances(spark, sf).select(
-        "sample_id", augment.replace_action(F.col("sentence"), F.col("sample_id"), SETTINGS).alias("replaced"))
+    return augment.replace_action(T.utterances(spark, sf), SETTINGS).select("sample_id", "replaced")
 
 
 @query("a9_time_lookup", O.sql(O.UTT, f"""
@@ -295,7 +294,7 @@ def q2_q3_q4_pair_gate(spark, sf):
     ratio = F.size(words(F.col("augmented_sentence"))) / F.size(words(F.col("original_sentence")))
     return T.turn_pairs(spark, sf).select(
         "sample_id",
-        (quality.has_text(F.col("augmented_sentence")) & (F.col("augmented_sentence") != F.col("original_sentence"))).alias("changed"),
+        (has_text(F.col("augmented_sentence")) & (F.col("augmented_sentence") != F.col("original_sentence"))).alias("changed"),
         ratio.between(SETTINGS.min_length_ratio, SETTINGS.max_length_ratio).alias("words_in_range"),
         quality.same_types_sorted(F.col("original_entities"), F.col("augmented_entities")).alias("same_types"))
 

@@ -24,6 +24,13 @@ WORD = r"a-zA-Z0-9_\p{L}\p{N}"
 # The same class behind a coarse range: letters outside it are ruled out by one
 # or two comparisons instead of one per listed range.
 ONE_BLANK = rf"[\t-\x20\x85\xa0\x{{1680}}-\x{{3000}}&&[{BLANK}]]"
+# The other characters, spelt out: a negated class with ranges beyond Latin-1 is tested slowly.
+NO_BLANK = (
+    r"!-\x84\x86-\x9f\x{a1}-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}"
+    r"\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}\x00-\x08\x0e-\x1b"
+)
+# The ranges that hold all blanks but the space, and some characters more.
+_RARE = r"[\t-\x1f\x85\xa0\x{1680}-\x{3000}]"
 
 # Vietnamese letters that carry a diacritic.
 DIACRITICS = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
@@ -41,7 +48,9 @@ def strip(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(text, f"{ONE_BLANK}+"), "")
+    """Split at blanks. Most texts have no blank but the space, at which they are split without a regular expression."""
+    pieces = F.when(text.rlike(_RARE), F.split(text, f"{ONE_BLANK}+")).otherwise(F.split(text, " "))
+    return F.array_remove(pieces, "")
 
 
 def has_text(text: Column) -> Column:

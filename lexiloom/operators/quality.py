@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lexiloom.config import Settings
 from lexiloom.functions.entities import listed, types_of
 from lexiloom.functions.text import (
-    ONE_BLANK, has_diacritics, has_text, has_vietnamese_letters, let, two_decimals, words,
+    ONE_BLANK, has_diacritics, has_vietnamese_letters, let, two_decimals, words,
 )
 
 # Words that may stand twice in a row.
@@ -58,8 +58,9 @@ def first_failed_rule(
     where it differs from its original.
     """
     ratio = n_augmented / F.nullif(n_original, F.lit(0))
+    # A text without words is a blank one.
     rule = (
-        F.when(~has_text(augmented), "blank")
+        F.when(~F.coalesce(augmented.isNotNull() & (n_augmented > 0), F.lit(False)), "blank")
         .when(augmented == original, "unchanged")
         .when(n_original == 0, "empty_original")
         .when((ratio < settings.min_length_ratio) | (ratio > settings.max_length_ratio), "length_ratio")

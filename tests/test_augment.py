@@ -143,3 +143,44 @@ def test_rewriting_runs_on_a_stream(spark, tmp_path, utterances):
 
 def test_method_names():
     assert list(METHODS) == list(Settings().methods)
+
+
+ODD = [
+    (None, None), ("", []), (" the is\tde la", [("device", "the"), None, ("DEVICE", None)]),
+    ("the THE this\nat ten, đèn", [("device_x", " Đèn "), (None, "đèn"), ("time_at", "sau ")]),
+    ("bật bóng đèn trong phòng ngủ buồng ngủ", [("device", "đèn"), ("space", " buồng ngủ"), ("device", "bóng đèn")]),
+    ("ÎİΣ ΟΔΟΣ BẬT sau", [("duration", "SAU"), ("living_space", "sân")]), ("tắt\x85mở\u3000sau trong\xa0x", [("delay", "xsaux")]),
+]
+
+
+def odd_utterances(spark):
+    entities = "array<struct<type:string,filler:string>>"
+    return spark.createDataFrame([(str(i), s, "x", e) for i, (s, e) in enumerate(ODD)],
+                                 f"sample_id string, sentence string, intent string, entities {entities}").coalesce(1)
+
+
+@pytest.mark.parametrize("settings", [S, replace(S, require_present=False), replace(
+    S, vocabulary=replace(default_vocabulary(), actions={"bật": [], "the": ["$1 \\x"]}, times={"sau": [], "at": ["$1"]}))])
+def test_compiled_tests_and_lambdas_agree(spark, utterances, monkeypatch, settings):
+    """Look-ups compiled for few terms, and in lambdas on every row as for many terms."""
+    settings = replace(settings, max_variations=4)
+    for df in (utterances.drop("seq"), odd_utterances(spark)):
+        compiled = augment.candidates(df, settings).collect()
+        with monkeypatch.context() as m:
+            m.setattr(augment, "MAX_COMPILED", 0)
+            assert augment.candidates(df, settings).collect() == compiled
+
+
+def test_entity_lambdas_are_left_to_rows_that_may_change(utterances):
+    made = augment._made(utterances.withColumn("_key", F.col("sample_id")), {"s": augment.SYNONYMS, "t": augment.TIMES}, S)
+    rows = {r["sample_id"]: r for r in made.collect()}
+    assert [i for i in sorted(rows) if rows[i]["t_swap"] is not None] == ["2", "8"]
+    assert rows["4"]["s_swap"] is None and rows["3"]["s_swap"] is None and rows["8"]["s_swap"] is not None
+
+
+def test_words_split_at_every_blank_and_nowhere_else(spark):
+    from lexiloom.functions.text import BLANKS, NO_BLANK, words
+    chars = [chr(c) for c in (*range(0x3100), 0x180e, 0xfeff, 0x10400, 0x10ffff) if c]
+    df = spark.createDataFrame([(c,) for c in chars], "c string")
+    got = df.select("c", words(F.concat(F.lit("a "), "c", F.lit("b"))).alias("w"), F.col("c").rlike(f"[{NO_BLANK}]").alias("solid")).collect()
+    assert all(r["w"] == (["a", "b"] if r["c"] in BLANKS else ["a", f"{r['c']}b"]) and r["solid"] == (r["c"] not in BLANKS) for r in got)
