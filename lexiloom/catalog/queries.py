@@ -28,6 +28,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 ALL_METHODS = replace(SETTINGS, max_variations=4)
+#: About as many lines does a task write where their order matters.
+LINES_PER_TASK = 200_000
 
 
 def query(name: str, sql: str | None = None):
@@ -859,11 +861,14 @@ def s3_drop_short(spark, sf):
 SELECT doc_id % 8 AS file, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id, sent_no) - 1 AS line, sentence FROM utt
 QUALIFY sent_no % 10 NOT IN (1, 2, 3, 5)"""))
 def s1_line_numbers(spark, sf):
-    """The number of every valid line in its file, bad and blank lines counted."""
+    """The number of every valid line in its text, a folder of part files, bad and blank lines counted."""
     path = work_folder(spark)
     rows = T.utterances(spark, sf).select((F.col("seq.doc") % 8).alias("file"), "seq", odd_line(F.col("seq.sent") % 10).alias("value"))
-    rows.repartition("file").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
-    found = readers.read_utterances(spark, f"{path}/file=*", numbered=True)
+    rows = settle(rows)
+    # Ranges of the order, so that no task sorts and writes more lines than that, however long a text is.
+    ranges = rows.count() // LINES_PER_TASK + 1
+    rows.repartitionByRange(ranges, "file", "seq").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
+    found = readers.read_utterances(spark, f"{path}/file=*", numbered="folder")
     return found.select(F.regexp_extract("seq.file", "file=([0-9]+)", 1).cast("bigint").alias("file"), "seq.line", "sentence")
 
 

@@ -36,20 +36,24 @@ def scan(spark: SparkSession, path: str | list[str], separator: str | None = Non
         F.monotonically_increasing_id().alias("i"), "value").withColumn("run", F.shiftright("i", RUN_BITS))
 
 
-def numbered(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def numbered(spark: SparkSession, path: str | list[str], folders: bool = False) -> DataFrame:
     """``(file, line, value)``: every line with its number in the file, from 0, however the file is split.
 
+    With ``folders`` the part files of a folder, in the order of their names, are one
+    text: ``file`` is then the folder, and the numbers run through its files.
+
     One pass counts the lines of each split, a second one adds what lies before
     it. A second pass that is split in another way than the first would be
     numbered wrongly, so it fails.
     """
     counted = scan(spark, path).groupBy(*SPLIT).agg(F.min("i").alias("_first"), F.count("*").alias("_n"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    text = F.regexp_extract("file", "^(.*)/", 1) if folders else F.col("file")
+    earlier = Window.partitionBy(text).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     splits = settle(counted).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     at = F.col("i") - F.col("_first")
     same = (at >= 0) & (at < F.col("_n"))
     line = F.when(same, F.col("_before") + at).otherwise(F.raise_error(F.lit("the files were split in another way while they were read")).cast("bigint"))
-    return scan(spark, path).join(settle(splits), SPLIT, "left").select("file", line.alias("line"), "value")
+    return scan(spark, path).join(settle(splits), SPLIT, "left").select(text.alias("file"), line.alias("line"), "value")
 
 
 def _odd(n: Column) -> Column:

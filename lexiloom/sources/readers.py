@@ -55,18 +55,19 @@ def _any_entities(extra_fields: list[T.StructField] | None) -> T.StructType:
 
 
 def scan_utterances(spark: SparkSession, path: str | list[str],
-                    extra_fields: list[T.StructField] | None = None, numbered: bool = False) -> DataFrame:
+                    extra_fields: list[T.StructField] | None = None, numbered: bool | str = False) -> DataFrame:
     """JSON lines as read, unparsable ones held in ``_corrupt``; blank lines are skipped.
 
     Entities may have any shape: what is an object counts, the rest is left to
     ``odd_entities``. Keys outside the schema are kept by naming them in ``extra_fields``.
 
     ``numbered`` counts the lines first: ``seq`` is then (file, line), the same
-    however the files are split, for one more pass over them.
+    however the files are split, for one more pass over them. ``numbered="folder"``
+    counts through the part files of each folder, and ``seq`` is (folder, line).
     """
     schema = _any_entities(extra_fields)
     if numbered:
-        lines = pieces.numbered(spark, path).filter(F.trim("value") != "")
+        lines = pieces.numbered(spark, path, folders=numbered == "folder").filter(F.trim("value") != "")
         parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT})
         return lines.select(F.struct("file", "line").alias("seq"), parsed.alias("_row")).select("_row.*", "seq")
     rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
@@ -74,7 +75,7 @@ def scan_utterances(spark: SparkSession, path: str | list[str],
 
 
 def read_utterances(spark: SparkSession, path: str | list[str],
-                    extra_fields: list[T.StructField] | None = None, numbered: bool = False) -> DataFrame:
+                    extra_fields: list[T.StructField] | None = None, numbered: bool | str = False) -> DataFrame:
     """Lines that parse and have a sentence and an intent; entities default to none."""
     rows = scan_utterances(spark, path, extra_fields, numbered)
     good = rows.filter(f"{_PARSED} AND sentence IS NOT NULL AND intent IS NOT NULL")
@@ -103,7 +104,7 @@ def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_lenient(spark: SparkSession, path: str | list[str],
-                 extra_fields: list[T.StructField] | None = None, numbered: bool = False) -> DataFrame:
+                 extra_fields: list[T.StructField] | None = None, numbered: bool | str = False) -> DataFrame:
     """Every line that parses, whatever it lacks."""
     rows = scan_utterances(spark, path, extra_fields, numbered)
     kept = F.when(F.try_variant_get("entities", "$", "array<variant>").isNotNull(), objects(F.col("entities")))

@@ -171,3 +171,13 @@ def test_a_million_rows_as_one_array(spark, tmp_path):
         assert back.rdd.getNumPartitions() > 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_lines_are_numbered_through_the_part_files_of_a_folder(spark, tmp_path):
+    texts = {k: [f"{k} {i}" for i in range(n)] for k, n in (("a", 700), ("b", 1), ("c", 90))}
+    rows = spark.createDataFrame([(k, i, v) for k, lines in texts.items() for i, v in enumerate(lines)], "k string, i int, value string")
+    rows.repartitionByRange(5, "k", "i").sortWithinPartitions("k", "i").select("k", "value").write.partitionBy("k").text(f"{tmp_path}/t")
+    assert len(list((tmp_path / "t" / "k=a").glob("part-*.txt"))) > 1
+    found = pieces.numbered(spark, f"{tmp_path}/t/k=*", folders=True).collect()
+    assert {(r["file"][-1], r["line"], r["value"]) for r in found} == {(k, i, v) for k, lines in texts.items() for i, v in enumerate(lines)}
+    assert len(found) == 791
