@@ -34,6 +34,8 @@ _RARE = r"[\t-\x1f\x85\xa0\x{1680}-\x{3000}]"
 
 # Vietnamese letters that carry a diacritic.
 DIACRITICS = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
+# The same as a class behind a coarse range, as above.
+_DIACRITIC = f"[à-ỹ&&[{DIACRITICS}]]"
 # The plain vowels that the looser letter test accepts as well.
 PLAIN_VOWELS = "aeiouy"
 
@@ -88,13 +90,18 @@ def clean_text(text: Column) -> Column:
     return F.coalesce(strip(F.regexp_replace(collapsed, rf"[^{WORD}{BLANK}\-.,!?]", "")), F.lit(""))
 
 
+def cleans_to_text(text: Column) -> Column:
+    """Whether ``clean_text`` leaves anything, without cleaning; never NULL."""
+    return F.coalesce(text.rlike(rf"[{WORD}\-.,!?]"), F.lit(False))
+
+
 def has_diacritics(text: Column) -> Column:
-    return F.lower(text).rlike(f"[{DIACRITICS}]")
+    return F.lower(text).rlike(_DIACRITIC)
 
 
 def has_vietnamese_letters(text: Column) -> Column:
     """The loose test: plain vowels count too."""
-    return F.lower(text).rlike(f"[{PLAIN_VOWELS}{DIACRITICS}]")
+    return F.lower(text).rlike(f"[[{PLAIN_VOWELS}]{_DIACRITIC}]")
 
 
 def two_decimals(part: Column, whole: Column) -> Column:

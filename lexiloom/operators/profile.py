@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from lexiloom.config import Settings
 from lexiloom.functions.entities import is_object, listed, types_of
-from lexiloom.functions.text import has_diacritics, has_text, strip
+from lexiloom.functions.text import clean_text, cleans_to_text, has_diacritics, has_text, strip
+from lexiloom.schema import ENTITIES_DDL
 
 INTENT, TYPE, PAIR = "intent", "entity_type", "entity_type_intent"
 
@@ -224,33 +225,52 @@ def _tallied(df: DataFrame, tallies: Column) -> DataFrame:
             .groupBy("section", "key").agg(F.sum("n").alias("n")))
 
 
-def audit_counts(df: DataFrame) -> DataFrame:
-    """All that an audit counts of utterances, in one pass: ``(section, key, n)``.
+def audit_counts(df: DataFrame, clean: bool = False) -> DataFrame:
+    """All that an audit counts of utterances, in one pass: ``(intent, marked, some, type, filler, n)``.
+
+    A row counts utterances of an intent, with or without diacritics and
+    entities, where ``marked`` is set, and else entities of a type and filler,
+    as they stand. With ``clean``, ``some`` asks for entities that
+    ``normalise`` keeps; diacritics are letters, which ``clean_text`` keeps.
+    """
+    entities = listed(F.col("entities"))
+    some = F.exists(entities, lambda e: cleans_to_text(e["type"]) & cleans_to_text(e["filler"])) if clean else F.size(entities) > 0
+    nothing = F.array(F.lit(None)).cast(ENTITIES_DDL)
+    # The first element stands for the utterance. Columns before the explode: what stands inside a generator is interpreted.
+    rows = df.select(
+        F.coalesce("intent", F.lit("unknown")).alias("intent"),
+        F.coalesce(has_diacritics(F.col("sentence")), F.lit(False)).alias("marked"), some.alias("some"),
+        F.concat(nothing, entities).alias("items"))
+    whole = F.col("i") == 0
+    return (rows.select("intent", "marked", "some", F.posexplode_outer("items").alias("i", "e"))
+            .groupBy(*(F.when(whole, F.col(c)).alias(c) for c in ("intent", "marked", "some")), "e.type", "e.filler")
+            .agg(F.count("*").alias("n")))
+
+
+def audit_tallies(counts: DataFrame, clean: bool = False) -> DataFrame:
+    """``(section, key, n)`` of ``audit_counts``; with ``clean`` each different entity is cleaned, once.
 
     Sections are ``totals``, the labels of ``label_counts``, the values of
     ``entity_values`` (``value_type``, ``value_filler``) and the types as they
     stand (``tag``).
     """
-    entities = listed(F.col("entities"))
-    trimmed = lambda e, kind: strip(F.coalesce(e[kind], F.lit("")))
-    one = F.lit(1)
-
-    def values(kind: str) -> Column:
-        kept = F.filter(F.transform(entities, lambda e: trimmed(e, kind)), lambda v: v != "")
-        return F.transform(kept, lambda v: _tally(f"value_{kind}", v, one))
-
-    tags = F.filter(F.transform(entities, lambda e: e["type"]), lambda t: t.isNotNull())
-    return _tallied(df, F.concat(
-        F.array(
-            _tally("totals", F.lit("samples"), one),
-            _tally("totals", F.lit("entities"), F.size(F.filter(entities, lambda e: trimmed(e, "type") != ""))),
-            _tally("totals", F.lit("with_entities"), F.size(entities) > 0),
-            _tally("totals", F.lit("diacritics"), F.coalesce(has_diacritics(F.col("sentence")), F.lit(False))),
-            _tally(INTENT, F.coalesce("intent", F.lit("unknown")), one),
-        ),
-        F.transform(types_of(F.col("entities"), "unknown"), lambda t: _tally(TYPE, t, one)),
-        values("type"), values("filler"),
-        F.transform(tags, lambda t: _tally("tag", t, one))))
+    n, row = F.col("n"), F.col("marked").isNotNull()
+    utterances = counts.filter(row).select(F.array(
+        _tally("totals", F.lit("samples"), n),
+        _tally("totals", F.lit("with_entities"), F.when(F.col("some"), n)),
+        _tally("totals", F.lit("diacritics"), F.when(F.col("marked"), n)),
+        _tally(INTENT, F.col("intent"), n)).alias("tallies"))
+    entities = counts.filter(~row)
+    if clean:
+        entities = entities.withColumns({c: clean_text(F.col(c)) for c in ("type", "filler")}).filter("type <> '' AND filler <> ''")
+    trimmed = {c: strip(F.coalesce(c, F.lit(""))) for c in ("type", "filler")}
+    entities = entities.select(F.array(
+        _tally("totals", F.lit("entities"), F.when(trimmed["type"] != "", n)),
+        _tally(TYPE, F.coalesce("type", F.lit("unknown")), n),
+        *(_tally(f"value_{c}", text, F.when(text != "", n)) for c, text in trimmed.items()),
+        _tally("tag", F.col("type"), F.when(F.col("type").isNotNull(), n))).alias("tallies"))
+    return (utterances.unionByName(entities).select(F.inline_outer("tallies")).filter("n > 0")
+            .groupBy("section", "key").agg(F.sum("n").alias("n")))
 
 
 def _total(key: str) -> Column:
@@ -258,13 +278,13 @@ def _total(key: str) -> Column:
 
 
 def counted_values(counts: DataFrame) -> DataFrame:
-    """``entity_values`` read off ``audit_counts``."""
+    """``entity_values`` read off ``audit_tallies``."""
     return counts.filter(F.col("section").startswith("value_")).select(
         F.substring("section", 7, 100).alias("kind"), F.col("key").alias("value"), "n")
 
 
 def counted_labels(counts: DataFrame) -> DataFrame:
-    """Intents and types of ``label_counts``, read off ``audit_counts``."""
+    """Intents and types of ``label_counts``, read off ``audit_tallies``."""
     return counts.filter(F.col("section").isin(INTENT, TYPE)).select(F.col("section").alias("dimension"), F.col("key").alias("label"), "n")
 
 
@@ -273,7 +293,7 @@ def counted_label_map(counts: DataFrame) -> DataFrame:
 
 
 def counted_statistics(counts: DataFrame) -> DataFrame:
-    """``entity_statistics`` read off ``audit_counts``."""
+    """``entity_statistics`` read off ``audit_tallies``."""
     samples, entities = _total("samples"), _total("entities")
     return _as_metrics(counts.agg(
         entities.alias("total_entities"),

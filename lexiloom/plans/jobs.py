@@ -171,11 +171,12 @@ class Audit:
 def audit(raw: DataFrame, typed: DataFrame) -> Audit:
     """Format check of a raw scan; cleaning, statistics, labels and quality of a typed one.
 
-    The typed table is cleaned and counted in one pass; all outputs but the
-    cleaned rows themselves are read off those counts.
+    The typed table is counted in one pass and the different entities among
+    those counts are cleaned; all outputs but the cleaned rows themselves are
+    read off that.
     """
     cleaned = typed.withColumns({"sentence": clean_text(F.col("sentence")), "entities": normalise(F.col("entities"))})
-    counts = settle(profile.audit_counts(cleaned))
+    counts = settle(profile.audit_tallies(profile.audit_counts(typed, clean=True), clean=True))
     values = profile.counted_values(counts)
     return Audit(
         format_issues=profile.format_issues(raw),

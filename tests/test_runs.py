@@ -119,6 +119,18 @@ def test_audit_equals_its_parts(spark, utterances):
     assert plan.count("Aggregate") == 1 and plan.count("Generate") == 1
 
 
+def test_an_audit_cleans_different_entities_once(spark, utterances):
+    """The pass over the rows cleans nothing: equal entities are counted first."""
+    many = utterances.crossJoin(spark.range(50).withColumnRenamed("id", "copy"))
+    counts = profile.audit_counts(many, clean=True)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and plan.count("Generate") == 1 and "regexp_replace" not in plan
+    assert counts.count() == profile.audit_counts(utterances, clean=True).count()
+    tallies = {(r["section"], r["key"]): r["n"] for r in profile.audit_tallies(counts, clean=True).collect()}
+    one = {(r["section"], r["key"]): r["n"] for r in profile.audit_tallies(profile.audit_counts(utterances, clean=True), clean=True).collect()}
+    assert tallies == {key: 50 * n for key, n in one.items()} and one[("totals", "samples")] == utterances.count()
+
+
 def test_a_generation_takes_little_disk(spark, utterances, tmp_path):
     """Variants repeat their originals: what a run writes of them takes a fraction of its text, and reads as before."""
     many = utterances.crossJoin(spark.range(200).select(F.col("id").cast("string").alias("copy"))).select(

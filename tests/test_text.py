@@ -5,7 +5,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import (
-    BLANKS, clean_text, replace_first, replace_first_match, strip, two_decimals, whole_term_pattern, words,
+    BLANKS, DIACRITICS, clean_text, cleans_to_text, has_diacritics, has_vietnamese_letters, replace_first, replace_first_match, strip, two_decimals, whole_term_pattern, words,
 )
 
 ODD = ["", " ", "a b", " a b　", "\x1ca\x1fb\x85", "é é ü", "x​y", "a\tb\nc  d", "😀 ok 😀",
@@ -56,3 +56,15 @@ def test_two_decimals_prints_the_stored_double(spark):
     df = spark.createDataFrame(pairs, "a int, b int")
     got = df.select("a", "b", two_decimals(F.col("a"), F.col("b")).alias("s")).collect()
     assert [(r["a"], r["b"], r["s"]) for r in got] == [(a, b, f"{a / b:.2f}") for a, b in pairs]
+
+
+def test_texts_that_clean_to_nothing_and_diacritics(spark):
+    """The short tests agree with cleaning, and with every single letter."""
+    texts = [None, "", " ", "\u3000", "€", " €\u0301 ", "-", "a", " ١ ", "€ é", "Đ", "K\u0323", "\u2028!", "²", *DIACRITICS, *DIACRITICS.upper(), *"aeiouybcäßçñøæ"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", clean_text(F.col("t")).alias("c"), cleans_to_text(F.col("t")).alias("some"), has_diacritics(F.col("t")).alias("d"),
+                       has_diacritics(clean_text(F.col("t"))).alias("cd"), has_vietnamese_letters(F.col("t")).alias("v")).collect():
+        low = (r["t"] or "").lower()
+        assert r["some"] == (r["c"] != "")
+        assert bool(r["d"]) == r["cd"] == any(ch in DIACRITICS for ch in low)
+        assert bool(r["v"]) == any(ch in DIACRITICS + "aeiouy" for ch in low)
