@@ -81,8 +81,8 @@ def best_fit(order: np.ndarray, lengths: np.ndarray, assigned: np.ndarray, fills
     """Puts pieces, in this order, where the least room is left; opens bins as needed. Changes assigned and fills."""
     wide = len(lengths) + len(fills) + 1
     room = sorted((capacity - f) * wide + b for b, f in enumerate(fills) if 0 < f < capacity)
-    for i in order.tolist():
-        n = int(lengths[i])
+    placed = []
+    for n in lengths[order].tolist():
         k = bisect_left(room, n * wide)
         if k < len(room):
             left, b = divmod(room.pop(k), wide)
@@ -90,14 +90,16 @@ def best_fit(order: np.ndarray, lengths: np.ndarray, assigned: np.ndarray, fills
         else:
             b, left = len(fills), capacity - n
             fills.append(0)
-        assigned[i] = b
+        placed.append(b)
         fills[b] = capacity - left
         if left:
             insort(room, left * wide + b)
+    assigned[order] = placed
 
 
 def compact(assigned: np.ndarray) -> np.ndarray:
-    return np.unique(assigned, return_inverse=True)[1].astype(np.int32)
+    """Bins numbered without gaps, in the same order."""
+    return (np.cumsum(np.bincount(assigned) > 0) - 1)[assigned].astype(np.int32)
 
 
 def fitness(assigned: np.ndarray, lengths: np.ndarray, capacity: int) -> float:

@@ -82,3 +82,21 @@ def test_crossover_keeps_every_piece():
 
 def test_cuts():
     assert packing.cuts(5, 10) == [(0, 5)] and packing.cuts(10, 10) == [(0, 10)] and packing.cuts(25, 10) == [(0, 5), (5, 10), (15, 10)]
+
+
+def test_best_fit_and_numbering_equal_a_plain_search():
+    rng = np.random.default_rng(5)
+    for capacity, n in ((10, 0), (10, 1), (10, 60), (1024, 300)):
+        lengths = rng.integers(1, capacity + 1, n)
+        order, fills, want_fills = rng.permutation(n)[:n - n // 5], [capacity // 2, capacity, 0], [capacity // 2, capacity, 0]
+        assigned, want = np.full(n, -1), np.full(n, -1)
+        packing.best_fit(order, lengths, assigned, fills, capacity)
+        for i in order:
+            fits = [(capacity - f, b) for b, f in enumerate(want_fills) if 0 < f and f + lengths[i] <= capacity]
+            b = min(fits)[1] if fits else len(want_fills)
+            want_fills += [] if fits else [0]
+            want_fills[b] += int(lengths[i])
+            want[i] = b
+        assert assigned.tolist() == want.tolist() and fills == want_fills
+        bins = rng.integers(0, 90, n)
+        assert packing.compact(bins).tolist() == np.searchsorted(np.unique(bins), bins).tolist()
