@@ -9,7 +9,7 @@ from lexiloom.config import Settings
 from lexiloom.functions.entities import entities_json, listed
 from lexiloom.operators.review import repair_entities
 from lexiloom.schema import ENTITIES
-from lexiloom.session import settle
+from lexiloom.session import shuffled_once
 
 _ENGINE_COLUMNS = ("seq", "sample_id")
 
@@ -31,15 +31,16 @@ def write_array(df: DataFrame, path: str, mode: str = "error", without: tuple[st
     kept = F.struct(*[c for c in df.columns if c not in without])
     order = F.col("seq") if "seq" in df.columns else F.monotonically_increasing_id()
     text = df.select(order.alias("_order"), F.to_json(kept, {"ignoreNullFields": "false"}).alias("value"))
-    rows = settle(text.orderBy("_order").select("value", F.monotonically_increasing_id().alias("_at")))
+    # Unlike orderBy, this shuffles whatever order the rows come in, and so the jobs below find them alike.
+    ordered = text.repartitionByRange("_order").sortWithinPartitions("_order").select("value")
+    rows = shuffled_once(ordered).select("value", F.monotonically_increasing_id().alias("_at"))
     ends = rows.agg(F.min("_at").alias("first"), F.max("_at").alias("last")).first()
     if ends["first"] is None:
         df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode(mode).text(path)
         return path
     opening = F.when(F.col("_at") == ends["first"], "[").otherwise(",")
     closing = F.when(F.col("_at") == ends["last"], "]").otherwise("")
-    # Files are read in no order, so the rows are put in theirs again, part by part.
-    rows.orderBy("_at").select(F.concat(opening, "value", closing).alias("value")).write.mode(mode).text(path)
+    rows.select(F.concat(opening, "value", closing).alias("value")).write.mode(mode).text(path)
     return path
 
 

@@ -4,12 +4,15 @@ import csv
 import io
 import json
 import random
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lexiloom.schema import REVIEW_COLUMNS
-from lexiloom.sources import pieces, quoted, readers, writers
+from lexiloom.session import work_folder
+from lexiloom.sources import arrays, pieces, quoted, readers, writers
 
 
 @pytest.fixture
@@ -181,3 +184,87 @@ def test_lines_are_numbered_through_the_part_files_of_a_folder(spark, tmp_path):
     found = pieces.numbered(spark, f"{tmp_path}/t/k=*", folders=True).collect()
     assert {(r["file"][-1], r["line"], r["value"]) for r in found} == {(k, i, v) for k, lines in texts.items() for i, v in enumerate(lines)}
     assert len(found) == 791
+
+
+def plain_walk(piece, inside):
+    """Whether a piece ends inside a string and how it and its brace shift the depth, character by character."""
+    shift, i = 0, 0
+    while i < len(piece):
+        if piece[i] == "\\" and i + 1 < len(piece) and piece[i + 1] != "\n":
+            i += 2
+            continue
+        if piece[i] == '"':
+            inside = not inside
+        elif not inside:
+            shift += {"{": 1, "[": 1, "]": -1}.get(piece[i], 0)
+        i += 1
+    return inside, shift - (not inside)
+
+
+def test_walk_over_pieces_against_a_loop():
+    rng = random.Random(5)
+    for _ in range(500):
+        cut = ["".join(rng.choices('"{[]\\,a\nü', k=rng.choice([0, 1, 4, 30]))) for _ in range(rng.randint(1, 6))]
+        data = [f"{p}}}".encode() for p in cut]
+        walked = arrays.walk(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        for start in (False, True):
+            state = start
+            for k, piece in enumerate(cut):
+                state, shift = plain_walk(piece, state)
+                assert (walked.inside[k] ^ start, walked.shifts[start][k]) == (state, shift), (cut, start)
+
+
+@pytest.fixture
+def stored_bytes(spark):
+    """How many bytes of shuffle and work files have been added since the last call."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    local = [Path(d.getPath()) for d in manager.localDirs()]
+    work, seen = Path(work_folder(spark)).parent, set()
+
+    def added():
+        found = {f: f.stat().st_size for d, name in ((work, "part-*"), *((d, "shuffle_*.data") for d in local)) if d.exists() for f in d.rglob(name)}
+        new = {f: n for f, n in found.items() if f not in seen}
+        seen.update(new)
+        return sum(new.values())
+
+    added()
+    return added
+
+
+def test_an_array_is_shuffled_once_to_write_it_and_not_to_read_it(spark, tmp_path, stored_bytes):
+    rows = spark.range(0, 40_000, 1, 4).select(
+        F.struct(F.hash("id").alias("order")).alias("seq"), *(F.sha2(F.concat(F.lit(name), "id"), 512).alias(name) for name in ("sentence", "intent")))
+    writers.write_array(rows, f"{tmp_path}/out")
+    size = sum(p.stat().st_size for p in (tmp_path / "out").glob("part-*"))
+    assert stored_bytes() < size  # one shuffle; a stored copy or a second shuffle would be more
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        back = readers.read_training_set(spark, f"{tmp_path}/out", one_array=True)
+        assert back.agg(F.count("*"), F.sum(F.xxhash64("sentence", "intent").cast("decimal(38,0)"))).first() == rows.agg(
+            F.count("*"), F.sum(F.xxhash64("sentence", "intent").cast("decimal(38,0)"))).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert stored_bytes() < size / 20
+
+
+def test_elements_longer_than_splits(spark, tmp_path, small_splits):
+    rows = [{"sentence": f"{i} " + "}{" * rng, "intent": "", "entities": [{"type": "[", "filler": "}" * 50}] * (rng // 9)}
+            for i, rng in enumerate([0, 3000, 1, 0, 900, 900, 0])]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    (tmp_path / "b.json").write_text(json.dumps(rows, indent=1))
+    (tmp_path / "cut.json").write_text(json.dumps(rows)[:2500])
+    got = readers.read_training_set(spark, str(tmp_path), one_array=True).withColumn("name", F.regexp_extract("seq.file", "([a-z]+).json", 1)).orderBy("seq")
+    whole = [(r["name"], r["sentence"], [e.asDict() for e in r["entities"]]) for r in got.filter("name <> 'cut'").collect()]
+    assert whole == [(name, r["sentence"], r["entities"]) for name in "ab" for r in rows]
+    assert got.filter("name = 'cut'").first()["sentence"] == "0 "
+
+
+def test_an_array_whose_first_and_last_partitions_are_empty(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 4).select(F.struct("id").alias("seq"), F.col("id").cast("string").alias("sentence"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_array(rows.orderBy("seq").filter("seq.id BETWEEN 490 AND 510"), f"{tmp_path}/out")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))))
+    assert [r["sentence"] for r in document] == [str(i) for i in range(490, 511)]
