@@ -900,8 +900,8 @@ def s7_k1_training_roundtrip(spark, sf):
 
 @query("s7_k2_json_roundtrip", O.sql(O.UTT, f"SELECT sentence, intent, {O.flat('entities')} AS entities FROM utt"))
 def s7_k2_json_roundtrip(spark, sf):
-    """A training set exported as one JSON array by several tasks, read back by several."""
-    path = writers.export_for_training(T.utterances(spark, sf), work_folder(spark), "json")
+    """A training set exported as one JSON array by several tasks, gzipped as it is several times the documents, read back by several."""
+    path = writers.export_for_training(T.utterances(spark, sf), work_folder(spark), "json", compression="gzip")
     return readers.read_training_set(spark, path, one_array=True).select("sentence", "intent", flat("entities").alias("entities"))
 
 

@@ -12,6 +12,8 @@ from lexiloom.schema import ENTITIES
 from lexiloom.session import shuffled_once
 
 _ENGINE_COLUMNS = ("seq", "sample_id")
+#: The rows of a compressed file, which is read by one task.
+_COMPRESSED_ROWS = 200_000
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS,
@@ -22,12 +24,20 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "error", without: tuple[st
     return path
 
 
-def write_array(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS) -> str:
+def write_array(df: DataFrame, path: str, mode: str = "error", without: tuple[str, ...] = _ENGINE_COLUMNS,
+                compression: str = "none") -> str:
     """One JSON array, in the order of ``seq`` where there is one.
 
     The part files of the folder, one after the other, are the document, and all
     of them appear at once, when the last is written. No rows give an empty array.
+    Compressed files can't be split, so there are more of them, of 200,000 rows at most.
     """
+    most = 0 if compression == "none" else _COMPRESSED_ROWS
+
+    def write(lines: DataFrame) -> str:
+        lines.write.mode(mode).option("compression", compression).option("maxRecordsPerFile", most).text(path)
+        return path
+
     kept = F.struct(*[c for c in df.columns if c not in without])
     order = F.col("seq") if "seq" in df.columns else F.monotonically_increasing_id()
     text = df.select(order.alias("_order"), F.to_json(kept, {"ignoreNullFields": "false"}).alias("value"))
@@ -36,16 +46,14 @@ def write_array(df: DataFrame, path: str, mode: str = "error", without: tuple[st
     rows = shuffled_once(ordered).select("value", F.monotonically_increasing_id().alias("_at"))
     ends = rows.agg(F.min("_at").alias("first"), F.max("_at").alias("last")).first()
     if ends["first"] is None:
-        df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode(mode).text(path)
-        return path
+        return write(df.sparkSession.range(1).select(F.lit("[]").alias("value")))
     opening = F.when(F.col("_at") == ends["first"], "[").otherwise(",")
     closing = F.when(F.col("_at") == ends["last"], "]").otherwise("")
-    rows.select(F.concat(opening, "value", closing).alias("value")).write.mode(mode).text(path)
-    return path
+    return write(rows.select(F.concat(opening, "value", closing).alias("value")))
 
 
-def _write_csv(df: DataFrame, path: str, mode: str) -> str:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"') \
+def _write_csv(df: DataFrame, path: str, mode: str, compression: str = "none") -> str:
+    df.write.mode(mode).option("compression", compression).option("header", True).option("quote", '"').option("escape", '"') \
         .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False) \
         .option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
@@ -100,14 +108,14 @@ def training_table(df: DataFrame) -> DataFrame:
     )
 
 
-def export_for_training(df: DataFrame, folder: str, fmt: str = "jsonl", mode: str = "error") -> str:
+def export_for_training(df: DataFrame, folder: str, fmt: str = "jsonl", mode: str = "error", compression: str = "none") -> str:
     """A folder of JSON lines, of one JSON array or of CSV."""
     if fmt == "jsonl":
-        return write_jsonl(df, f"{folder}/training_data.jsonl", mode)
+        return write_jsonl(df, f"{folder}/training_data.jsonl", mode, compression=compression)
     if fmt == "json":
-        return write_array(df, f"{folder}/training_data.json", mode)
+        return write_array(df, f"{folder}/training_data.json", mode, compression=compression)
     if fmt == "csv":
-        return _write_csv(training_table(df), f"{folder}/training_data.csv", mode)
+        return _write_csv(training_table(df), f"{folder}/training_data.csv", mode, compression)
     raise ValueError(f"Unsupported format: {fmt}")
 
 

@@ -1,6 +1,7 @@
 """Files in many splits against the same files read whole."""
 
 import csv
+import gzip
 import io
 import json
 import random
@@ -268,3 +269,16 @@ def test_an_array_whose_first_and_last_partitions_are_empty(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))))
     assert [r["sentence"] for r in document] == [str(i) for i in range(490, 511)]
+
+
+def test_a_gzipped_array_is_one_document_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "_COMPRESSED_ROWS", 40)
+    rows = odd_rows(300)
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "i int, text string").select(
+        F.struct("i").alias("seq"), F.from_json("text", "sentence string, intent string, entities array<struct<type:string,filler:string>>").alias("r")
+    ).select("seq", "r.*").repartition(3)
+    path = writers.export_for_training(df, str(tmp_path), "json", compression="gzip")
+    parts = [gzip.decompress(p.read_bytes()).decode() for p in sorted(Path(path).glob("part-*.gz"))]
+    assert json.loads("".join(parts)) == rows and len(parts) >= 8 and max(len(p.splitlines()) for p in parts) <= 40
+    back = readers.read_training_set(spark, path, one_array=True).orderBy("seq").collect()
+    assert [{"sentence": r["sentence"], "intent": r["intent"], "entities": [e.asDict() for e in r["entities"]]} for r in back] == rows
